@@ -2,7 +2,7 @@
 
 import importlib
 
-for _name in ("activity", "results"):
+for _name in ("activity", "results", "reports"):
     importlib.import_module(f"shiplens.catalog.{_name}")
 
 from shiplens.catalog.registry import ORACLES, QUERIES  # noqa: E402,F401

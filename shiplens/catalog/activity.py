@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shiplens.catalog.registry import Tables, query
 from shiplens.operators import periods, scoring
+from shiplens.functions.stats import rounded
 
 WINDOWS = (7, 14, 30)
 DECAY = {7: 0.50, 14: 0.30, 30: 0.20}
@@ -20,27 +21,27 @@ act AS (
   FROM events, m, w WHERE ts::DATE >= m.d - window_days GROUP BY user_id, window_days),
 bug AS (
   SELECT user_id, window_days, count(*) AS bug_count,
-         round(sum(least(value, 100.0)) / (count(*) * 100), 4) AS severity_weighted_score
+         round((sum(least(value, 100.0)) / (count(*) * 100))::DECIMAL(28,10), 4)::DOUBLE AS severity_weighted_score
   FROM events, m, w WHERE event_type = 'error' AND ts::DATE >= m.d - window_days
   GROUP BY user_id, window_days),
 p AS (
-  SELECT 'commit_count' AS metric, window_days, round(quantile_cont(commit_count::DOUBLE, 0.95), 4) AS p95
+  SELECT 'commit_count' AS metric, window_days, round((quantile_cont(commit_count::DOUBLE, 0.95))::DECIMAL(28,10), 4)::DOUBLE AS p95
   FROM act WHERE commit_count > 0 GROUP BY window_days
-  UNION ALL SELECT 'unique_authors', window_days, round(quantile_cont(unique_authors::DOUBLE, 0.95), 4)
+  UNION ALL SELECT 'unique_authors', window_days, round((quantile_cont(unique_authors::DOUBLE, 0.95))::DECIMAL(28,10), 4)::DOUBLE
   FROM act WHERE unique_authors > 0 GROUP BY window_days
-  UNION ALL SELECT 'bug_count', window_days, round(quantile_cont(bug_count::DOUBLE, 0.95), 4)
+  UNION ALL SELECT 'bug_count', window_days, round((quantile_cont(bug_count::DOUBLE, 0.95))::DECIMAL(28,10), 4)::DOUBLE
   FROM bug WHERE bug_count > 0 GROUP BY window_days),
 wt(window_days, wgt) AS (VALUES (7, 0.5::DOUBLE), (14, 0.3::DOUBLE), (30, 0.2::DOUBLE)),
 churn AS (
-  SELECT user_id, round(sum((least(commit_count / pc.p95, 1.0) * 0.7::DOUBLE
-           + least(unique_authors / pa.p95, 1.0) * 0.3::DOUBLE) * wgt) / sum(wgt), 4) AS churn_score
+  SELECT user_id, round((sum((least(commit_count / pc.p95, 1.0) * 0.7::DOUBLE
+           + least(unique_authors / pa.p95, 1.0) * 0.3::DOUBLE) * wgt) / sum(wgt))::DECIMAL(28,10), 4)::DOUBLE AS churn_score
   FROM act JOIN wt USING (window_days)
   JOIN p pc ON pc.metric = 'commit_count' AND pc.window_days = act.window_days
   JOIN p pa ON pa.metric = 'unique_authors' AND pa.window_days = 14
   GROUP BY user_id),
 defect AS (
-  SELECT user_id, round(sum((least(bug_count / pb.p95, 1.0) * 0.6::DOUBLE
-           + least(severity_weighted_score, 1.0) * 0.4::DOUBLE) * wgt) / sum(wgt), 4) AS defect_score
+  SELECT user_id, round((sum((least(bug_count / pb.p95, 1.0) * 0.6::DOUBLE
+           + least(severity_weighted_score, 1.0) * 0.4::DOUBLE) * wgt) / sum(wgt))::DECIMAL(28,10), 4)::DOUBLE AS defect_score
   FROM bug JOIN wt USING (window_days)
   JOIN p pb ON pb.metric = 'bug_count' AND pb.window_days = bug.window_days
   GROUP BY user_id),
@@ -53,9 +54,9 @@ comp AS (
          (churn_score > 0.5)::INT + (defect_score > 0.5)::INT AS signals_above_50
   FROM sig),
 risk AS (
-  SELECT *, round(least(composite_raw * CASE WHEN signals_above_50 >= 4 THEN 1.25::DOUBLE
+  SELECT *, round((least(composite_raw * CASE WHEN signals_above_50 >= 4 THEN 1.25::DOUBLE
       WHEN signals_above_50 = 3 THEN 1.15::DOUBLE WHEN signals_above_50 = 2 THEN 1.05::DOUBLE
-      ELSE 1.0::DOUBLE END, 1.0), 4) AS composite_risk FROM comp),
+      ELSE 1.0::DOUBLE END, 1.0))::DECIMAL(28,10), 4)::DOUBLE AS composite_risk FROM comp),
 tiers AS (
   SELECT *, CASE WHEN composite_risk >= 0.75 THEN 'CRITICAL' WHEN composite_risk >= 0.5 THEN 'HIGH'
     WHEN composite_risk >= 0.25 THEN 'MEDIUM' ELSE 'LOW' END AS risk_tier FROM risk)
@@ -74,7 +75,7 @@ def _errors(t: Tables) -> DataFrame:
     n = F.count(F.lit(1))
     return rows.groupBy("user_id", "window_days").agg(
         n.alias("bug_count"),
-        F.round(F.sum(F.least("value", F.lit(100.0))) / (n * 100), 4).alias(
+        rounded(F.sum(F.least("value", F.lit(100.0))) / (n * 100), 4).alias(
             "severity_weighted_score"
         ),
     )
@@ -136,13 +137,13 @@ def decayed_score(t):
 
 @query(
     _ACTIVITY
-    + """SELECT user_id, churn_score, defect_score, round(composite_raw, 6) AS composite_raw,
+    + """SELECT user_id, churn_score, defect_score, round((composite_raw)::DECIMAL(28,10), 6)::DOUBLE AS composite_raw,
          signals_above_50, composite_risk, risk_tier FROM tiers"""
 )
 def composite_risk(t):
     return _risk(t).select(
         "user_id", "churn_score", "defect_score",
-        F.round("composite_raw", 6).alias("composite_raw"),
+        rounded("composite_raw", 6).alias("composite_raw"),
         "signals_above_50", "composite_risk", "risk_tier",
     )
 
@@ -157,8 +158,8 @@ def composite_risk(t):
           LEFT JOIN (SELECT * FROM tiers WHERE defect_score > 0) s ON s.user_id = chg.user_id)
     SELECT change_id, count(*) AS n_changed, count(*) FILTER (WHERE k IS NULL) AS n_new,
       count(*) FILTER (WHERE k = 1 AND composite_risk IS NULL) AS n_unscored,
-      coalesce(round(avg(composite_risk), 4), 0) AS avg_risk,
-      coalesce(round(max(composite_risk), 4), 0) AS max_risk,
+      coalesce(round((avg(composite_risk))::DECIMAL(28,10), 4)::DOUBLE, 0) AS avg_risk,
+      coalesce(round((max(composite_risk))::DECIMAL(28,10), 4)::DOUBLE, 0) AS max_risk,
       count(*) FILTER (WHERE risk_tier = 'CRITICAL') AS n_critical,
       count(*) FILTER (WHERE risk_tier = 'HIGH') AS n_high,
       count(*) FILTER (WHERE risk_tier = 'MEDIUM') AS n_medium,
@@ -206,8 +207,8 @@ w(window_days) AS (VALUES (30), (90), (365)), m AS (SELECT max(d) AS e FROM i)
     + """SELECT p_type, window_days, count(*) AS bug_count,
       count(*) FILTER (WHERE source = 'customer') AS customer_reported_count,
       count(*) FILTER (WHERE source = 'internal') AS internal_count,
-      round(coalesce(sum(CASE WHEN source = 'internal' AND sev IS NULL THEN 3.0::DOUBLE
-                              ELSE sev END), 0) / (count(*) * 5), 4) AS severity_weighted_score
+      round((coalesce(sum(CASE WHEN source = 'internal' AND sev IS NULL THEN 3.0::DOUBLE
+                              ELSE sev END), 0) / (count(*) * 5))::DECIMAL(28,10), 4)::DOUBLE AS severity_weighted_score
     FROM i JOIN b USING (p_brand), w, m WHERE d >= e - window_days GROUP BY p_type, window_days"""
 )
 def windowed_defects(t):

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiplens.catalog.registry import Tables, query
+from shiplens.functions.stats import rounded
 from shiplens.operators import periods, scoring, testhealth
 
 
@@ -29,10 +30,10 @@ c AS (SELECT p_brand, count(*) AS builds_with_failures, count(*) FILTER (WHERE n
       FROM f JOIN u USING (l_orderkey) GROUP BY p_brand),
 rate AS (
   SELECT p_brand, test_run_count, failure_count, flaky_count,
-    round(failure_count / test_run_count, 4) AS failure_rate,
+    round((failure_count / test_run_count)::DECIMAL(28,10), 4)::DOUBLE AS failure_rate,
     coalesce(builds_with_failures, 0) AS builds_with_failures,
     coalesce(builds_with_co_failures, 0) AS builds_with_co_failures,
-    coalesce(round(builds_with_co_failures / nullif(builds_with_failures, 0), 4), 0) AS co_failure_score
+    coalesce(round((builds_with_co_failures / nullif(builds_with_failures, 0))::DECIMAL(28,10), 4)::DOUBLE, 0) AS co_failure_score
   FROM s LEFT JOIN c USING (p_brand))
 """
 
@@ -52,8 +53,8 @@ def failure_cofailure_rate(t):
     _RATE
     + """SELECT p_type, min(p_brand) AS component_name, sum(test_run_count)::BIGINT AS test_run_count,
       sum(failure_count)::BIGINT AS failure_count,
-      round(sum(failure_count) / sum(test_run_count), 4) AS failure_rate,
-      round(avg(co_failure_score), 4) AS co_failure_score
+      round((sum(failure_count) / sum(test_run_count))::DECIMAL(28,10), 4)::DOUBLE AS failure_rate,
+      round((avg(co_failure_score))::DECIMAL(28,10), 4)::DOUBLE AS co_failure_score
     FROM rate JOIN (SELECT DISTINCT p_brand, p_type FROM part) USING (p_brand) GROUP BY p_type"""
 )
 def module_grain(t):
@@ -72,12 +73,12 @@ gp AS (SELECT a.g AS ga, b.g AS gb, count(*) AS co FROM ug a JOIN ug b ON a.u =
 fi AS (SELECT i, count(*) AS c FROM f GROUP BY i),
 ip AS (SELECT a.g AS ga, b.g AS gb, a.i AS ia, b.i AS ib, count(*) AS s
        FROM f a JOIN f b ON a.u = b.u AND a.g < b.g GROUP BY 1, 2, 3, 4 HAVING count(*) >= 2),
-j AS (SELECT ga, gb, co, s, round(s / (x.c + y.c - s), 4) AS jac
+j AS (SELECT ga, gb, co, s, round((s / (x.c + y.c - s))::DECIMAL(28,10), 4)::DOUBLE AS jac
       FROM ip JOIN gp USING (ga, gb) JOIN fi x ON x.i = ia JOIN fi y ON y.i = ib)
 SELECT ga AS component_a, gb AS component_b, co AS co_fail_builds,
-  round(avg(jac), 4) AS jaccard_score, sum(s)::BIGINT AS co_fail_count, count(*) AS test_pair_count,
-  x.c AS fail_count_a, y.c AS fail_count_b, round(x.c / total, 4) AS fail_rate_a,
-  round(y.c / total, 4) AS fail_rate_b, round(co / total, 4) AS co_fail_rate
+  round((avg(jac))::DECIMAL(28,10), 4)::DOUBLE AS jaccard_score, sum(s)::BIGINT AS co_fail_count, count(*) AS test_pair_count,
+  x.c AS fail_count_a, y.c AS fail_count_b, round((x.c / total)::DECIMAL(28,10), 4)::DOUBLE AS fail_rate_a,
+  round((y.c / total)::DECIMAL(28,10), 4)::DOUBLE AS fail_rate_b, round((co / total)::DECIMAL(28,10), 4)::DOUBLE AS co_fail_rate
 FROM j JOIN gf x ON x.g = ga JOIN gf y ON y.g = gb, n
 GROUP BY ga, gb, co, x.c, y.c, total HAVING count(*) >= 5"""
 )
@@ -117,11 +118,11 @@ s AS (SELECT l_partkey, component_name, count(DISTINCT l_orderkey) AS total_fail
         count(DISTINCT CASE WHEN issue <> '' THEN issue END) AS distinct_bugs_linked
       FROM f GROUP BY 1, 2),
 mx AS (SELECT greatest(max(bug_linked_builds), 1) AS mb, greatest(max(total_fail_builds), 1) AS mf FROM s),
-q AS (SELECT *, round(bug_linked_builds / total_fail_builds, 4) AS investigation_rate FROM s),
+q AS (SELECT *, round((bug_linked_builds / total_fail_builds)::DECIMAL(28,10), 4)::DOUBLE AS investigation_rate FROM s),
 k AS (SELECT l_partkey, component_name, total_fail_builds, bug_linked_builds, distinct_bugs_linked,
-        investigation_rate, round((investigation_rate * 0.7::DOUBLE
+        investigation_rate, round(((investigation_rate * 0.7::DOUBLE
           + least(bug_linked_builds / mb, 1.0) * 0.3::DOUBLE)
-          * (1 - sqrt(total_fail_builds) / sqrt(mf)), 4) AS signal_score
+          * (1 - sqrt(total_fail_builds) / sqrt(mf)))::DECIMAL(28,10), 4)::DOUBLE AS signal_score
       FROM q, mx WHERE total_fail_builds >= 3),
 best AS (SELECT * EXCLUDE component_name FROM k QUALIFY row_number() OVER (
            PARTITION BY l_partkey ORDER BY total_fail_builds DESC, component_name DESC) = 1),
@@ -149,12 +150,12 @@ def item_quality(t):
     + """SELECT component_name, count(DISTINCT l_partkey) AS n_test_cases,
       sum(total_fail_builds)::BIGINT AS total_failures, sum(bug_linked_builds)::BIGINT AS bug_linked_failures,
       sum(distinct_bugs_linked)::BIGINT AS distinct_bugs_linked,
-      round(avg(investigation_rate), 4) AS avg_investigation_rate,
-      round(avg(signal_score), 4) AS avg_signal_score,
-      coalesce(round(sum(bug_linked_builds) / nullif(sum(total_fail_builds), 0), 4), 0) AS bug_link_rate,
+      round((avg(investigation_rate))::DECIMAL(28,10), 4)::DOUBLE AS avg_investigation_rate,
+      round((avg(signal_score))::DECIMAL(28,10), 4)::DOUBLE AS avg_signal_score,
+      coalesce(round((sum(bug_linked_builds) / nullif(sum(total_fail_builds), 0))::DECIMAL(28,10), 4)::DOUBLE, 0) AS bug_link_rate,
       count(*) FILTER (WHERE signal_score > 0.1) AS high_signal_tests,
       count(*) FILTER (WHERE investigation_rate = 0) AS zero_catch_tests,
-      round(count(*) FILTER (WHERE investigation_rate = 0) / count(DISTINCT l_partkey) * 100, 1) AS pct_zero_catch
+      round((count(*) FILTER (WHERE investigation_rate = 0) / count(DISTINCT l_partkey) * 100)::DECIMAL(28,10), 1)::DOUBLE AS pct_zero_catch
     FROM iq GROUP BY component_name"""
 )
 def test_health(t):
@@ -185,8 +186,8 @@ a AS (SELECT l_partkey, routine, window_quarter,
         count(*) FILTER (WHERE failed AND trim(issue) <> '') AS bug_linked_builds,
         count(DISTINCT CASE WHEN failed AND trim(issue) <> '' THEN issue END) AS distinct_bugs_linked
       FROM r GROUP BY 1, 2, 3),
-q AS (SELECT *, coalesce(round(bug_linked_builds / nullif(total_fail_builds, 0), 4), 0) AS investigation_rate FROM a),
-s AS (SELECT *, round(investigation_rate * (total_fail_builds / greatest(total_builds, 1)), 4) AS signal_score FROM q),
+q AS (SELECT *, coalesce(round((bug_linked_builds / nullif(total_fail_builds, 0))::DECIMAL(28,10), 4)::DOUBLE, 0) AS investigation_rate FROM a),
+s AS (SELECT *, round((investigation_rate * (total_fail_builds / greatest(total_builds, 1)))::DECIMAL(28,10), 4)::DOUBLE AS signal_score FROM q),
 w AS (SELECT routine, window_quarter, (sum(total_builds) - sum(total_fail_builds)) / greatest(sum(total_builds), 1) AS window_pass_rate
       FROM s GROUP BY 1, 2)
 """
@@ -222,14 +223,14 @@ def item_quality_windowed(t):
 
 @query(
     _WINDOWED
-    + """SELECT routine, window_quarter, round(window_pass_rate, 6) AS window_pass_rate
+    + """SELECT routine, window_quarter, round((window_pass_rate)::DECIMAL(28,10), 6)::DOUBLE AS window_pass_rate
     FROM w WHERE window_pass_rate < 0.66"""
 )
 def low_pass_windows(t):
     """The windows the gate drops."""
     return testhealth.low_pass_windows(
         _windowed(t, 0.0), "routine", "window_quarter", 0.66
-    ).withColumn("window_pass_rate", F.round("window_pass_rate", 6))
+    ).withColumn("window_pass_rate", rounded("window_pass_rate", 6))
 
 
 @query(
@@ -251,17 +252,17 @@ def clean_builds(t):
 
 
 _FUNCS = """
-WITH f AS (SELECT l_partkey, round(avg(l_quantity), 2) AS avg_ccn, round(avg(l_linenumber), 2) AS avg_nloc,
+WITH f AS (SELECT l_partkey, round((avg(l_quantity))::DECIMAL(28,10), 2)::DOUBLE AS avg_ccn, round((avg(l_linenumber))::DECIMAL(28,10), 2)::DOUBLE AS avg_nloc,
     max(l_quantity) AS max_ccn,
-    round(avg(l_quantity) FILTER (WHERE l_linestatus = 'O'), 2) AS avg_ccn_java,
-    round(avg(l_linenumber) FILTER (WHERE l_linestatus = 'O'), 2) AS avg_nloc_java,
-    round(avg(l_quantity) FILTER (WHERE l_linestatus = 'F'), 2) AS avg_ccn_frontend,
-    round(avg(l_linenumber) FILTER (WHERE l_linestatus = 'F'), 2) AS avg_nloc_frontend,
+    round((avg(l_quantity) FILTER (WHERE l_linestatus = 'O'))::DECIMAL(28,10), 2)::DOUBLE AS avg_ccn_java,
+    round((avg(l_linenumber) FILTER (WHERE l_linestatus = 'O'))::DECIMAL(28,10), 2)::DOUBLE AS avg_nloc_java,
+    round((avg(l_quantity) FILTER (WHERE l_linestatus = 'F'))::DECIMAL(28,10), 2)::DOUBLE AS avg_ccn_frontend,
+    round((avg(l_linenumber) FILTER (WHERE l_linestatus = 'F'))::DECIMAL(28,10), 2)::DOUBLE AS avg_nloc_frontend,
     CASE WHEN bool_or(l_linestatus = 'O') AND bool_or(l_linestatus = 'F') THEN 'mixed'
          WHEN bool_or(l_linestatus = 'O') THEN 'java_only' ELSE 'frontend_only' END AS language_mix
   FROM lineitem GROUP BY l_partkey),
 m AS (SELECT DISTINCT p_partkey, p_brand AS component FROM part UNION SELECT DISTINCT p_partkey, p_type FROM part),
-b AS (SELECT p_partkey, component, round(1 / count(*) OVER (PARTITION BY p_partkey), 4) AS weight FROM m),
+b AS (SELECT p_partkey, component, round((1 / count(*) OVER (PARTITION BY p_partkey))::DECIMAL(28,10), 4)::DOUBLE AS weight FROM m),
 x AS (SELECT f.*, component, weight, p_size AS lines_of_code FROM f JOIN b ON b.p_partkey = l_partkey
       JOIN part ON part.p_partkey = l_partkey)
 """
@@ -293,14 +294,14 @@ def function_complexity(t):
 @query(
     _FUNCS
     + """, s AS (SELECT component, count(DISTINCT l_partkey) AS n_files, avg(avg_ccn) AS ccn,
-      round(avg(avg_nloc), 1) AS avg_cognitive, round(avg(avg_ccn_java), 1) AS avg_ccn_java,
-      round(avg(avg_ccn_frontend), 1) AS avg_ccn_frontend, max(max_ccn) AS component_max_ccn,
-      round(sum(lines_of_code * weight), 0) AS weighted_loc FROM x GROUP BY component),
+      round((avg(avg_nloc))::DECIMAL(28,10), 1)::DOUBLE AS avg_cognitive, round((avg(avg_ccn_java))::DECIMAL(28,10), 1)::DOUBLE AS avg_ccn_java,
+      round((avg(avg_ccn_frontend))::DECIMAL(28,10), 1)::DOUBLE AS avg_ccn_frontend, max(max_ccn) AS component_max_ccn,
+      round((sum(lines_of_code * weight))::DECIMAL(28,10), 0)::DOUBLE AS weighted_loc FROM x GROUP BY component),
     md AS (SELECT component, language_mix FROM (SELECT component, language_mix, count(*) AS n FROM x GROUP BY 1, 2)
       QUALIFY row_number() OVER (PARTITION BY component ORDER BY n DESC, language_mix) = 1)
-    SELECT component, n_files, round(ccn, 1) AS avg_cyclomatic, avg_cognitive, avg_ccn_java, avg_ccn_frontend,
+    SELECT component, n_files, round((ccn)::DECIMAL(28,10), 1)::DOUBLE AS avg_cyclomatic, avg_cognitive, avg_ccn_java, avg_ccn_frontend,
       component_max_ccn, weighted_loc, language_mix,
-      round(percent_rank() OVER (ORDER BY ccn) * 100, 1) AS complexity_risk_pct
+      round((percent_rank() OVER (ORDER BY ccn) * 100)::DECIMAL(28,10), 1)::DOUBLE AS complexity_risk_pct
     FROM s JOIN md USING (component)"""
 )
 def complexity_rollup(t):
@@ -315,7 +316,7 @@ def complexity_rollup(t):
 
 @query(
     _FUNCS
-    + """SELECT component, max(max_ccn) AS component_max_ccn, round(avg(avg_ccn), 2) AS component_avg_ccn
+    + """SELECT component, max(max_ccn) AS component_max_ccn, round((avg(avg_ccn))::DECIMAL(28,10), 2)::DOUBLE AS component_avg_ccn
     FROM x GROUP BY component ORDER BY 2 DESC, 3 DESC, 1 LIMIT 10"""
 )
 def complexity_top_components(t):
@@ -327,9 +328,9 @@ def complexity_top_components(t):
 @query(
     _FUNCS
     + """, q AS (SELECT quantile_cont(avg_nloc, 0.95) AS cog FROM f)
-    SELECT l_partkey, round(coalesce(least(max_ccn / 16.0::DOUBLE, 1.0), 0) * 0.35::DOUBLE
+    SELECT l_partkey, round((coalesce(least(max_ccn / 16.0::DOUBLE, 1.0), 0) * 0.35::DOUBLE
        + least(avg_nloc / cog, 1.0) * 0.40::DOUBLE
-       + least(p_size / (16.0::DOUBLE * 5), 1.0) * 0.25::DOUBLE, 4) AS complexity_score
+       + least(p_size / (16.0::DOUBLE * 5), 1.0) * 0.25::DOUBLE)::DECIMAL(28,10), 4)::DOUBLE AS complexity_score
     FROM f JOIN part ON p_partkey = l_partkey, q"""
 )
 def complexity_score(t):

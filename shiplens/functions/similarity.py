@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shiplens.functions.stats import rounded
+
 PREFIX_SCALE = 0.1
 
 
@@ -113,15 +115,15 @@ def fuzzy_candidates(
         .alias("_two")
     )
     one, two = F.get("_two", F.lit(0))["c"], F.get("_two", F.lit(1))["c"]
-    score = F.round(one["score"], 3)
+    score = rounded(one["score"], 3)
     return best.select(
         left_name,
         one["name"].alias("component_name"),
         F.when(one["score"] >= 0.70, "HIGH").when(one["score"] >= 0.50, "MEDIUM").otherwise("LOW").alias("confidence"),
         score.alias("combined_score"),
-        F.round(F.coalesce(one["score"] - two["score"], F.lit(1.0)), 3).alias("confidence_gap"),
-        F.round(one["jw"], 3).alias("jw_sim"),
-        F.round(one["token"], 3).alias("token_sim"),
+        rounded(F.coalesce(one["score"] - two["score"], F.lit(1.0)), 3).alias("confidence_gap"),
+        rounded(one["jw"], 3).alias("jw_sim"),
+        rounded(one["token"], 3).alias("token_sim"),
     )
 
 

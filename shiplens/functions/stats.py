@@ -5,12 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shiplens.lineage import cut_lineage
+
 
 def ratio(num: Column, den: Column) -> Column:
     """num / den as double; null where den is 0 or null."""
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
+def rounded(x: Column, digits: int = 0) -> Column:
+    """Half-up rounding that first drops the noise of sums taken in any order."""
+    x = F.col(x) if isinstance(x, str) else x
+    return F.round(F.round(x.cast("double"), 10), digits)
+
+
 def cap_one(x: Column) -> Column:
     """min(x, 1) that keeps null, which ``least`` would skip."""
     return F.when(x.isNotNull(), F.least(x, F.lit(1.0)))
@@ -24,11 +32,12 @@ def cumulative_counts(
     Returns keys, ``value``, ``cnt``, ``below`` (rows with a smaller value) and ``total``.
 
     A plain window over the group would sort a whole group in one task. Here values are
-    first counted (map-side combined), then laid into equal-width bins per key; only the
+    first counted (map-side combined) and written out, so that every later step sees the
+    same doubles, then laid into equal-width bins per key; only the
     bin totals (at most ``bins`` rows) are summed over the group, and the fine order is
     resolved within a bin. ``levels=2`` splits each bin once more, for long-tailed values.
     """
-    cur = (
+    cur = cut_lineage(
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).cast("double").alias("value"))
         .agg(F.count(F.lit(1)).alias("cnt"))
@@ -112,10 +121,11 @@ def with_percent_rank(
     df: DataFrame, value: str, name: str, levels: int = 1, digits: int | None = None
 ) -> DataFrame:
     """Percent rank 0..100 over the whole frame; a null value keeps a null rank."""
+    df = cut_lineage(df)
     counts = cumulative_counts(df, [], value, levels=levels)
     rank = F.coalesce(ratio(F.col("below"), F.col("total") - 1), F.lit(0.0)) * 100
     if digits is not None:
-        rank = F.round(rank, digits)
+        rank = rounded(rank, digits)
     ranks = counts.select(F.col("value").alias("_v"), rank.alias(name))
     return df.join(ranks, F.col(value).cast("double") == F.col("_v"), "left").drop("_v")
 
@@ -139,15 +149,20 @@ def share_of_total(df: DataFrame, group: list[str], count: str, name: str, digit
     """Adds the group total and each row's percent of it (joined, not windowed)."""
     totals = df.groupBy(*group).agg(F.sum(count).alias("total"))
     return df.join(totals, group).withColumn(
-        name, F.round(ratio(F.col(count), F.col("total")) * 100, digits)
+        name, rounded(ratio(F.col(count), F.col("total")) * 100, digits)
     )
 
 
-def z_score(df: DataFrame, value: Column, stats_from: DataFrame, stat_value: Column) -> Column:
-    """(value - mean) / max(sd, 1e-6), mean and sd taken over ``stats_from``."""
-    mean = stats_from.select(F.avg(stat_value)).scalar()
-    sd = stats_from.select(F.greatest(F.stddev_samp(stat_value), F.lit(1e-6))).scalar()
-    return (value - mean) / sd
+def with_z_scores(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Adds (value - mean) / max(sd, 1e-6) over the whole frame for each column."""
+    moments = []
+    for name, c in columns.items():
+        moments.append(F.avg(c).alias(f"m_{name}"))
+        moments.append(F.greatest(F.stddev_samp(c), F.lit(1e-6)).alias(f"s_{name}"))
+    one = df.agg(F.struct(*moments).alias("s")).scalar()
+    return df.withColumns(
+        {name: (c - one[f"m_{name}"]) / one[f"s_{name}"] for name, c in columns.items()}
+    )
 
 
 def risk_level(pct: Column) -> Column:
@@ -177,8 +192,8 @@ def error_metrics(df: DataFrame, actual: str, predicted: str, keys: list[str] |
     return sums.select(
         *keys,
         "n",
-        F.round(1 - ratio(F.col("_sse"), F.col("_var") * n), 4).alias("r2"),
-        F.round(F.col("_sae") / n, 4).alias("mae"),
-        F.round(F.sqrt(F.col("_sse") / n), 4).alias("rmse"),
-        F.round(ratio(F.col("_ma") - F.col("_mp"), F.col("_ma")) * 100, 4).alias("bias_pct"),
+        rounded(1 - ratio(F.col("_sse"), F.col("_var") * n), 4).alias("r2"),
+        rounded(F.col("_sae") / n, 4).alias("mae"),
+        rounded(F.sqrt(F.col("_sse") / n), 4).alias("rmse"),
+        rounded(ratio(F.col("_ma") - F.col("_mp"), F.col("_ma")) * 100, 4).alias("bias_pct"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiplens.functions.stats import cap_one, percentile_of_counts, ratio
+from shiplens.functions.stats import cap_one, percentile_of_counts, ratio, rounded
 from shiplens.lineage import cut_lineage
 
 
@@ -121,7 +121,7 @@ def dependency_score(
         .withColumn(
             "outgoing_critical_ratio",
             F.coalesce(
-                F.round(ratio(F.col("outgoing_critical_count"), F.col("outgoing_count")), 4),
+                rounded(ratio(F.col("outgoing_critical_count"), F.col("outgoing_count")), 4),
                 F.lit(0.0),
             ),
         )
@@ -130,11 +130,11 @@ def dependency_score(
     p95_out = percentile_of_counts(stats, [], "outgoing_critical_count", p, "q").scalar()
     return (
         stats.withColumn(
-            "blast_score", F.round(cap_one(ratio(F.col("total_blast"), p95_blast)), 4)
+            "blast_score", rounded(cap_one(ratio(F.col("total_blast"), p95_blast)), 4)
         )
         .withColumn(
             "integration_score",
-            F.round(
+            rounded(
                 cap_one(
                     ratio(F.col("outgoing_critical_count"), F.greatest(p95_out, F.lit(1.0)))
                 ),
@@ -143,7 +143,7 @@ def dependency_score(
         )
         .withColumn(
             "dependency_score",
-            F.round(F.col("blast_score") * 0.60 + F.col("integration_score") * 0.40, 4),
+            rounded(F.col("blast_score") * 0.60 + F.col("integration_score") * 0.40, 4),
         )
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiplens.functions.stats import ratio
+from shiplens.functions.stats import ratio, rounded
 from shiplens.operators.periods import week_start
 
 STATUS_COUNTS = ("in_progress", "incomplete", "testfix", "blocked", "untested", "failed")
@@ -88,7 +88,7 @@ def failure_rate_by(
             "failures", F.coalesce("failures", F.lit(0).cast("long"))
         )
     return failed.join(total, bucket).withColumn(
-        "failure_rate", F.round(ratio(F.col("failures"), F.col("total_builds")), 4)
+        "failure_rate", rounded(ratio(F.col("failures"), F.col("total_builds")), 4)
     )
 
 
@@ -123,7 +123,7 @@ def weekly_build_pass_rate(
         )
         .withColumn(
             "pass_rate",
-            F.round(
+            rounded(
                 ratio(F.col("total_builds") - F.col("failed_builds"), F.col("total_builds")), 4
             ),
         )

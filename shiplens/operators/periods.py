@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shiplens.functions.stats import rounded
+
 
 def latest_date(df: DataFrame, ts: str) -> Column:
     """Newest date of a column as a scalar subquery: the default ``as_of``."""
@@ -87,7 +89,7 @@ def windowed_defects(
         n.alias("bug_count"),
         count_of(customer).alias("customer_reported_count"),
         count_of(internal).alias("internal_count"),
-        F.round(
+        rounded(
             F.coalesce(F.sum(F.col("_sev") * w), F.lit(0.0)) / (n * 5), 4
         ).alias("severity_weighted_score"),
     )
@@ -163,7 +165,7 @@ def uncovered_days(periods: DataFrame, label: str, start: str, end: str) -> Data
 def months_in_field(release_date: Column, as_of) -> Column:
     """Whole months (30 days) since release, 3 where there is no date yet."""
     end = as_of if isinstance(as_of, Column) else F.to_date(F.lit(as_of))
-    return F.coalesce(F.round(F.datediff(end, release_date) / 30.0).cast("int"), F.lit(3))
+    return F.coalesce(rounded(F.datediff(end, release_date) / 30.0).cast("int"), F.lit(3))
 
 
 def year_quarter(date: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiplens.functions.stats import ratio
+from shiplens.functions.stats import ratio, rounded
 
 # Allowed words in releases and verdicts.
 RELEASE_STATUSES = ("RELEASED", "BRANCH_CUT", "IN_DEVELOPMENT")
@@ -73,7 +73,7 @@ def coverage(df: DataFrame, present: Column) -> DataFrame:
     return df.agg(
         n.alias("n_rows"),
         F.coalesce(hit, F.lit(0)).alias("n_covered"),
-        F.round(ratio(hit, n) * 100, 2).alias("coverage_pct"),
+        rounded(ratio(hit, n) * 100, 2).alias("coverage_pct"),
     )
 
 

@@ -12,6 +12,7 @@ from shiplens.functions.stats import (
     mode_per_group,
     percentile_of_counts,
     ratio,
+    rounded,
 )
 from shiplens.operators.bridge import top_per_group
 
@@ -43,7 +44,7 @@ def p95_params(
         .where(F.col("v") > 0)
     )
     out = percentile_of_counts(long, keys, "v", p, "p95")
-    return out.withColumn("p95", F.round("p95", 4))
+    return out.withColumn("p95", rounded("p95", 4))
 
 
 def norms_by_window(
@@ -100,7 +101,7 @@ def decayed_score(
         weight = F.when(F.col(window) == days, F.lit(w)).otherwise(weight)
     rows = rows.select(entity, score.alias("_s"), weight.alias("_w"))
     return rows.groupBy(entity).agg(
-        F.round(ratio(F.sum(F.col("_s") * F.col("_w")), F.sum("_w")), 4).alias(name)
+        rounded(ratio(F.sum(F.col("_s") * F.col("_w")), F.sum("_w")), 4).alias(name)
     )
 
 
@@ -119,7 +120,7 @@ def complexity_score(
         + cap_one(ratio(F.col(cognitive), cognitive_p95)) * 0.40
         + cap_one(ratio(violations, cyclomatic_p95 * 5)) * 0.25
     )
-    return facts.select(entity, F.round(score, 4).alias("complexity_score"))
+    return facts.select(entity, rounded(score, 4).alias("complexity_score"))
 
 
 def clean_functions(functions: DataFrame, file: str, excluded: str) -> DataFrame:
@@ -148,7 +149,7 @@ def function_to_file_complexity(
 
     def mean(col, cond=None):
         c = F.col(col) if cond is None else F.when(cond, F.col(col))
-        return F.round(F.avg(c), 2)
+        return rounded(F.avg(c), 2)
 
     return functions.groupBy(file).agg(
         mean(ccn).alias("avg_ccn"),
@@ -175,17 +176,17 @@ def complexity_by_component(
     stats = joined.groupBy(component).agg(
         F.count_distinct(file).alias("n_files"),
         F.avg("avg_ccn").alias("_ccn"),
-        F.round(F.avg("avg_nloc"), 1).alias("avg_cognitive"),
-        F.round(F.avg("avg_ccn_java"), 1).alias("avg_ccn_java"),
-        F.round(F.avg("avg_ccn_frontend"), 1).alias("avg_ccn_frontend"),
+        rounded(F.avg("avg_nloc"), 1).alias("avg_cognitive"),
+        rounded(F.avg("avg_ccn_java"), 1).alias("avg_ccn_java"),
+        rounded(F.avg("avg_ccn_frontend"), 1).alias("avg_ccn_frontend"),
         F.max("max_ccn").alias("component_max_ccn"),
-        F.round(F.sum(F.col("lines_of_code") * F.col("weight")), 0).alias("weighted_loc"),
+        rounded(F.sum(F.col("lines_of_code") * F.col("weight")), 0).alias("weighted_loc"),
     )
     mix = mode_per_group(joined, [component], "language_mix", "language_mix")
     ranked = with_percent_rank(stats, "_ccn", "complexity_risk_pct", digits=1)
     return (
         ranked.join(mix, component)
-        .withColumn("avg_cyclomatic", F.round("_ccn", 1))
+        .withColumn("avg_cyclomatic", rounded("_ccn", 1))
         .drop("_ccn")
     )
 
@@ -230,7 +231,7 @@ def composite_risk(
     out = out.withColumns({"composite_raw": raw, "signals_above_50": above})
     out = out.withColumn(
         "composite_risk",
-        F.round(
+        rounded(
             F.least(F.col("composite_raw") * amplifier(F.col("signals_above_50")), F.lit(1.0)), 4
         ),
     )
@@ -265,8 +266,8 @@ def change_risk(changed: DataFrame, change: str, entity: str, registry: DataFram
         F.count(F.lit(1)).alias("n_changed"),
         F.sum(F.when(F.col("_known").isNull(), 1).otherwise(0)).alias("n_new"),
         F.sum(F.when(F.col("_known") & ~scored, 1).otherwise(0)).alias("n_unscored"),
-        F.coalesce(F.round(F.avg("composite_risk"), 4), F.lit(0.0)).alias("avg_risk"),
-        F.coalesce(F.round(F.max("composite_risk"), 4), F.lit(0.0)).alias("max_risk"),
+        F.coalesce(rounded(F.avg("composite_risk"), 4), F.lit(0.0)).alias("avg_risk"),
+        F.coalesce(rounded(F.max("composite_risk"), 4), F.lit(0.0)).alias("max_risk"),
         *[
             F.sum(F.when(F.col("risk_tier") == t, 1).otherwise(0)).alias(f"n_{t.lower()}")
             for t in TIERS

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiplens.functions.stats import ratio
+from shiplens.functions.stats import ratio, rounded
 from shiplens.lineage import cut_lineage
 from shiplens.operators.overlap import shared_unit_pairs
 
@@ -91,7 +91,7 @@ def failure_and_cofailure_rate(
         stats.join(co, component, "left")
         .withColumns(
             {
-                "failure_rate": F.round(ratio(F.col("failure_count"), F.col("test_run_count")), 4),
+                "failure_rate": rounded(ratio(F.col("failure_count"), F.col("test_run_count")), 4),
                 "builds_with_failures": F.coalesce("builds_with_failures", zero),
                 "builds_with_co_failures": F.coalesce("builds_with_co_failures", zero),
             }
@@ -99,7 +99,7 @@ def failure_and_cofailure_rate(
         .withColumn(
             "co_failure_score",
             F.coalesce(
-                F.round(
+                rounded(
                     ratio(F.col("builds_with_co_failures"), F.col("builds_with_failures")), 4
                 ),
                 F.lit(0.0),
@@ -117,8 +117,8 @@ def to_module_grain(
         F.min(component).alias("component_name"),
         F.sum("test_run_count").alias("test_run_count"),
         F.sum("failure_count").alias("failure_count"),
-        F.round(ratio(F.sum("failure_count"), F.sum("test_run_count")), 4).alias("failure_rate"),
-        F.round(F.avg("co_failure_score"), 4).alias("co_failure_score"),
+        rounded(ratio(F.sum("failure_count"), F.sum("test_run_count")), 4).alias("failure_rate"),
+        rounded(F.avg("co_failure_score"), 4).alias("co_failure_score"),
     )
 
 
@@ -176,7 +176,7 @@ def cofailure_pairs(
             F.col("_n").alias(f"_n{suffix}"),
         )
 
-    jaccard = F.round(
+    jaccard = rounded(
         ratio(F.col("shared"), F.col("_na") + F.col("_nb") - F.col("shared")), 4
     )
     final = (
@@ -184,7 +184,7 @@ def cofailure_pairs(
         .join(end("b"), "member_b")
         .groupBy(ga, gb)
         .agg(
-            F.round(F.avg(jaccard), 4).alias("jaccard_score"),
+            rounded(F.avg(jaccard), 4).alias("jaccard_score"),
             F.sum("shared").alias("co_fail_count"),
             F.count(F.lit(1)).alias("test_pair_count"),
         )
@@ -196,7 +196,7 @@ def cofailure_pairs(
         return group_freq.select(
             F.col(group).alias(side),
             F.col("_units").alias(f"fail_count_{suffix}"),
-            F.round(ratio(F.col("_units"), total), 4).alias(f"fail_rate_{suffix}"),
+            rounded(ratio(F.col("_units"), total), 4).alias(f"fail_rate_{suffix}"),
         )
 
     return (
@@ -213,7 +213,7 @@ def cofailure_pairs(
             "fail_count_b",
             "fail_rate_a",
             "fail_rate_b",
-            F.round(ratio(F.col("co_fail_builds"), total), 4).alias("co_fail_rate"),
+            rounded(ratio(F.col("co_fail_builds"), total), 4).alias("co_fail_rate"),
         )
     )
 
@@ -243,10 +243,10 @@ def item_quality_chronic(
     max_fail = stats.select(F.greatest(F.max("total_fail_builds"), F.lit(1))).scalar()
     scored = stats.withColumn(
         "investigation_rate",
-        F.round(ratio(F.col("bug_linked_builds"), F.col("total_fail_builds")), 4),
+        rounded(ratio(F.col("bug_linked_builds"), F.col("total_fail_builds")), 4),
     ).withColumn(
         "signal_score",
-        F.round(
+        rounded(
             (
                 F.col("investigation_rate") * 0.70
                 + F.least(ratio(F.col("bug_linked_builds"), max_linked), F.lit(1.0)) * 0.30
@@ -294,11 +294,11 @@ def item_quality_windowed(
         F.count_distinct(F.when(linked, F.col(issue))).alias("distinct_bugs_linked"),
     )
     rate = F.coalesce(
-        F.round(ratio(F.col("bug_linked_builds"), F.col("total_fail_builds")), 4), F.lit(0.0)
+        rounded(ratio(F.col("bug_linked_builds"), F.col("total_fail_builds")), 4), F.lit(0.0)
     )
     scored = stats.withColumn("investigation_rate", rate).withColumn(
         "signal_score",
-        F.round(
+        rounded(
             F.col("investigation_rate")
             * ratio(F.col("total_fail_builds"), F.greatest(F.col("total_builds"), F.lit(1))),
             4,
@@ -359,14 +359,14 @@ def test_health(quality: DataFrame, keys: list[str], item: str, component: str |
         F.sum("total_fail_builds").alias("total_failures"),
         F.sum("bug_linked_builds").alias("bug_linked_failures"),
         F.sum("distinct_bugs_linked").alias("distinct_bugs_linked"),
-        F.round(F.avg("investigation_rate"), 4).alias("avg_investigation_rate"),
-        F.round(F.avg("signal_score"), 4).alias("avg_signal_score"),
+        rounded(F.avg("investigation_rate"), 4).alias("avg_investigation_rate"),
+        rounded(F.avg("signal_score"), 4).alias("avg_signal_score"),
         F.coalesce(
-            F.round(ratio(F.sum("bug_linked_builds"), F.sum("total_fail_builds")), 4), F.lit(0.0)
+            rounded(ratio(F.sum("bug_linked_builds"), F.sum("total_fail_builds")), 4), F.lit(0.0)
         ).alias("bug_link_rate"),
         F.sum(F.when(F.col("signal_score") > 0.1, 1).otherwise(0)).alias("high_signal_tests"),
         zero.alias("zero_catch_tests"),
-        F.round(ratio(zero, F.count_distinct(item)) * 100, 1).alias("pct_zero_catch"),
+        rounded(ratio(zero, F.count_distinct(item)) * 100, 1).alias("pct_zero_catch"),
     ]
     if component:
         aggs.append(F.count_distinct(component).alias("n_components"))

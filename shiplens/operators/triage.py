@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiplens.functions.paths import culprit_file, name_fragments, path_suffixes
-from shiplens.functions.stats import mode_per_group, ratio
+from shiplens.functions.stats import mode_per_group, ratio, rounded
 from shiplens.operators.bridge import top_per_group
 
 # Statuses from worst to best, and those that make a regression.
@@ -276,7 +276,7 @@ def compare_labels(pairs: DataFrame, label: str, reason: str | None = None, bug:
         n(a.isNotNull() & b.isNull()).alias("only_a"),
         n(a.isNull() & b.isNotNull()).alias("only_b"),
         n(both & (a == b)).alias("n_agree"),
-        F.round(ratio(n(both & (a == b)), n(both)) * 100, 1).alias("agreement_pct"),
+        rounded(ratio(n(both & (a == b)), n(both)) * 100, 1).alias("agreement_pct"),
     ]
     if reason:
         ca, cb = culprit_file(F.col(f"{reason}_a")), culprit_file(F.col(f"{reason}_b"))

@@ -11,7 +11,7 @@ from pyspark.ml.regression import GeneralizedLinearRegression, RandomForestRegre
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiplens.functions.stats import error_metrics, ratio, risk_level, with_percent_rank
+from shiplens.functions.stats import error_metrics, ratio, risk_level, with_percent_rank, rounded
 from shiplens.plans.reports import baseline_join
 
 GLM_TERMS = ["legacy_avg", "stories", "log_backend", "log_frontend", "is_major", "is_lts", "has_legacy", "major_stories"]
@@ -268,7 +268,7 @@ def walk_forward(
         scale = calibration(model, target) if calibrate_on_target else 1.0
         part = model.predict(target).select(
             "quarter", "component", "actual",
-            F.round(F.col("prediction") * scale, 2).alias("predicted_wf"),
+            rounded(F.col("prediction") * scale, 2).alias("predicted_wf"),
             F.lit(model.name).alias("model_name"),
         )
         out = part if out is None else out.unionByName(part)
@@ -294,7 +294,7 @@ def defect_forecast(
         {"log_months": F.lit(math.log(3)), "is_major": F.lit(1.0), "is_lts": F.lit(1.0)}
     )
     main = best.predict(target).select(
-        "quarter", "component", F.round(F.col("prediction") * scale, 2).alias("_main")
+        "quarter", "component", rounded(F.col("prediction") * scale, 2).alias("_main")
     )
     out = rows.join(main, ["quarter", "component"], "left")
     wf = walk_forward(rows, quarters, trees) if forward else None
@@ -309,7 +309,7 @@ def defect_forecast(
     out = with_percent_rank(out, "_rank_on", "predicted_pct", digits=1).drop("_rank_on")
     if hist:
         out = out.withColumn(
-            "risk_score", F.round((F.coalesce(hist, F.lit(0.0)) + F.col("predicted_pct")) / 2, 1)
+            "risk_score", rounded((F.coalesce(hist, F.lit(0.0)) + F.col("predicted_pct")) / 2, 1)
         )
         out = with_percent_rank(out, "risk_score", "_overall")
         out = out.withColumn("overall_risk", risk_level(F.col("_overall"))).drop("_overall")
@@ -328,7 +328,7 @@ def defect_forecast(
 def zero_share(df: DataFrame, column: str) -> DataFrame:
     """Percent of rows at zero: too many make a count forecast pointless."""
     return df.agg(
-        F.round(
+        rounded(
             ratio(F.sum(F.when(F.col(column) == 0, 1).otherwise(0)), F.count(F.lit(1))) * 100, 2
         ).alias("zero_pct")
     )

@@ -12,8 +12,10 @@ from shiplens.functions.stats import (
     risk_level,
     share_of_total,
     with_percent_rank,
-    z_score,
+    with_z_scores,
+    rounded,
 )
+from shiplens.lineage import cut_lineage
 from shiplens.operators.bridge import top_with_ties
 from shiplens.operators.periods import months_in_field
 
@@ -63,7 +65,7 @@ def forecast_frame(
         facts, component, quarter,
         {customer: "legacy_customer_avg", internal: "legacy_internal_avg"}, base_year,
     )
-    rows = facts.join(base, component, "left")
+    rows = cut_lineage(facts.join(base, component, "left"))
     median = exact_percentile(rows, [], "legacy_customer_avg", 0.5, "q").scalar()
     rows = rows.withColumns(
         {
@@ -71,14 +73,13 @@ def forecast_frame(
             "_churn": F.log1p(backend) + 0.5 * F.log1p(frontend),
         }
     )
-    z_level = z_score(rows, F.col("_level"), rows, F.col("_level"))
-    z_churn = z_score(rows, F.col("_churn"), rows, F.col("_churn"))
+    rows = with_z_scores(rows, {"_zl": F.col("_level"), "_zc": F.col("_churn")})
     a, b = HIST_WEIGHTS
     # Rounded before ranking: sums of doubles must not split equal scores.
-    rows = rows.withColumn("_score", F.round(z_level * a + z_churn * b, 9))
+    rows = rows.withColumn("_score", rounded(F.col("_zl") * a + F.col("_zc") * b, 9))
     ranked = with_percent_rank(rows, "_score", "hist_score", digits=1)
     return ranked.withColumn("hist_risk_level", risk_level(F.col("hist_score"))).drop(
-        "_level", "_churn", "_score"
+        "_level", "_churn", "_zl", "_zc", "_score"
     )
 
 
@@ -91,8 +92,8 @@ def churn_by_team(facts: DataFrame, quarter: list[str], team: str, sums: list[st
     """Sums per quarter and team with the mean churn of a component."""
     return facts.where(F.col(team).isNotNull()).groupBy(*quarter, team).agg(
         F.count(F.lit(1)).alias("n_components"),
-        *[F.round(F.coalesce(F.sum(c), F.lit(0.0)), 2).alias(f"total_{c}") for c in sums],
-        F.round(F.avg(churn), 1).alias("avg_churn_per_comp"),
+        *[rounded(F.coalesce(F.sum(c), F.lit(0.0)), 2).alias(f"total_{c}") for c in sums],
+        rounded(F.avg(churn), 1).alias("avg_churn_per_comp"),
     )
 
 
@@ -114,17 +115,17 @@ def team_scorecard(
         F.coalesce(F.sum(customer), F.lit(0)).alias("customer_count"),
         F.coalesce(F.sum(internal), F.lit(0)).alias("internal_count"),
         F.coalesce(F.sum(blocker), F.lit(0)).alias("blocker_count"),
-        *[F.round(F.coalesce(F.sum(c), F.lit(0.0)), 2).alias(f"total_{c}") for c in sums],
-        F.round(F.avg(risk), 1).alias("avg_risk_score"),
+        *[rounded(F.coalesce(F.sum(c), F.lit(0.0)), 2).alias(f"total_{c}") for c in sums],
+        rounded(F.avg(risk), 1).alias("avg_risk_score"),
         F.sum(F.when(F.col(level).isin("High", "Very High"), 1).otherwise(0)).alias("n_high_risk"),
     )
     some = F.col("internal_count") > 0
     return out.withColumn(
         "customer_internal_ratio",
-        F.when(some, F.round(ratio(F.col("customer_count"), F.col("internal_count")), 2)),
+        F.when(some, rounded(ratio(F.col("customer_count"), F.col("internal_count")), 2)),
     ).withColumn(
         "blocker_rate",
-        F.when(some, F.round(ratio(F.col("blocker_count"), F.col("internal_count")) * 100, 1)).otherwise(0.0),
+        F.when(some, rounded(ratio(F.col("blocker_count"), F.col("internal_count")) * 100, 1)).otherwise(0.0),
     )
 
 
@@ -195,8 +196,8 @@ def discovery_summary(timing: DataFrame, quarter: str) -> DataFrame:
     caught = F.when(F.col("days_diff") >= 0, 1.0).otherwise(0.0)
     stats = timing.groupBy(quarter).agg(
         F.count(F.lit(1)).alias("n_components"),
-        F.round(F.avg(caught) * 100, 1).alias("pct_internal_first"),
-        F.round(F.avg("days_diff"), 1).alias("avg_days_diff"),
+        rounded(F.avg(caught) * 100, 1).alias("pct_internal_first"),
+        rounded(F.avg("days_diff"), 1).alias("avg_days_diff"),
     )
     median = percentile_of_counts(timing, [quarter], "days_diff", 0.5, "median_days_diff")
     return stats.join(median, quarter)
@@ -243,12 +244,10 @@ def history_ranking(facts: DataFrame, component: str, measure: str, churn: str)
         F.avg(churn).alias("avg_churn"),
         F.count(F.lit(1)).alias("n_quarters"),
     )
-    log_churn = F.log1p("avg_churn")
     a, b = HIST_WEIGHTS
-    z = z_score(stats, F.col("avg_measure"), stats, F.col("avg_measure")) * a + z_score(
-        stats, log_churn, stats, log_churn
-    ) * b
-    scored = stats.withColumn("history_score", F.round(z, 9))
+    scored = with_z_scores(
+        cut_lineage(stats), {"_zm": F.col("avg_measure"), "_zc": F.log1p("avg_churn")}
+    ).withColumn("history_score", rounded(F.col("_zm") * a + F.col("_zc") * b, 9))
     ranked = with_percent_rank(scored, "history_score", "history_pct", digits=1)
     return ranked.withColumn("risk_level", risk_level(F.col("history_pct")))
 
@@ -266,7 +265,7 @@ def period_summary(facts: DataFrame, keys: list[str], sums: list[str], churn: st
     return facts.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_rows"),
         *[F.coalesce(F.sum(c), F.lit(0)).alias(f"total_{c}") for c in sums],
-        F.round(F.avg(churn), 0).alias("avg_churn"),
+        rounded(F.avg(churn), 0).alias("avg_churn"),
     )
 
 
@@ -286,7 +285,7 @@ def complexity_top_components(files: DataFrame, component: str, n: int = 10) ->
         files.groupBy(component)
         .agg(
             F.max("max_ccn").alias("component_max_ccn"),
-            F.round(F.avg("avg_ccn"), 2).alias("component_avg_ccn"),
+            rounded(F.avg("avg_ccn"), 2).alias("component_avg_ccn"),
         )
         .orderBy(F.desc("component_max_ccn"), F.desc("component_avg_ccn"), component)
         .limit(n)

@@ -7,7 +7,7 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiplens.functions.stats import ratio, share_of_total
+from shiplens.functions.stats import ratio, share_of_total, rounded
 from shiplens.operators.bridge import top_with_ties
 
 # A short stop list; callers add their own words as a table.
@@ -92,15 +92,15 @@ def blind_spots(
             "internal_prop": F.coalesce("internal_prop", F.lit(0.0)),
         }
     ).where(F.col("customer_n") >= min_customer)
-    diff = F.round(F.col("customer_prop") - F.col("internal_prop"), 6)
+    diff = rounded(F.col("customer_prop") - F.col("internal_prop"), 6)
     return both.select(
         "word",
         "customer_n",
         "internal_n",
-        F.round("customer_prop", 8).alias("customer_prop"),
-        F.round("internal_prop", 8).alias("internal_prop"),
+        rounded("customer_prop", 8).alias("customer_prop"),
+        rounded("internal_prop", 8).alias("internal_prop"),
         diff.alias("prop_diff"),
-        F.round(ratio(F.col("customer_prop"), F.col("internal_prop")), 1).alias("customer_internal_ratio"),
+        rounded(ratio(F.col("customer_prop"), F.col("internal_prop")), 1).alias("customer_internal_ratio"),
         F.when(diff > gap, "Customer only")
         .when(diff < -gap, "Internal only")
         .otherwise("Shared")
@@ -197,7 +197,7 @@ def topic_divergence(by_source: DataFrame, source: str, customer, internal, term
             F.coalesce(F.col(f"`{internal}`"), F.lit(0.0)).alias("internal_pct"),
         )
     )
-    diff = F.round(F.col("customer_pct") - F.col("internal_pct"), 1)
+    diff = rounded(F.col("customer_pct") - F.col("internal_pct"), 1)
     top = (
         terms.where(F.col("rank") <= 5)
         .groupBy("topic")
@@ -229,7 +229,7 @@ def topic_by_component(
     return (
         weights.join(top.select(component), component, "left_semi")
         .groupBy(component, "topic", source)
-        .agg(F.round(F.avg("gamma"), 3).alias("avg_gamma"))
+        .agg(rounded(F.avg("gamma"), 3).alias("avg_gamma"))
     )
 
 

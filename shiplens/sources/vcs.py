@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiplens.functions.paths import INVENTORY_TEST_FILES, SOURCE_FILES, leading_ticket, any_ticket
-from shiplens.functions.stats import ratio
+from shiplens.functions.stats import ratio, rounded
 
 # Extensions of the churn table, and tests left out of it.
 CHURN_EXTENSIONS = ("java", "js", "jsp", "ts", "tsx", "css", "scss")
@@ -125,7 +125,7 @@ def flagged_share(
         F.count(F.lit(1)).alias("total_file_count"),
     )
     return out.withColumn(
-        "flag_pct", F.round(ratio(F.col("flagged_file_count"), F.col("total_file_count")), 4)
+        "flag_pct", rounded(ratio(F.col("flagged_file_count"), F.col("total_file_count")), 4)
     ).withColumn("is_flagged", F.col("flag_pct") >= threshold)
 
 
