@@ -1,8 +1,17 @@
 """Registered queries over the given tables, with the SQL that checks them."""
 
-import importlib
-
-for _name in ("activity", "results", "reports"):
-    importlib.import_module(f"shiplens.catalog.{_name}")
-
-from shiplens.catalog.registry import ORACLES, QUERIES  # noqa: E402,F401
+from shiplens.catalog import (  # noqa: F401
+    activity,
+    forecasts,
+    graphs,
+    monitoring,
+    paths,
+    reports,
+    results,
+    storage,
+    streams,
+    terms,
+    texts,
+    triage,
+)
+from shiplens.catalog.registry import ORACLES, QUERIES  # noqa: F401
