@@ -25,7 +25,7 @@ def cap_one(x: Column) -> Column:
 
 
 def cumulative_counts(
-    df: DataFrame, keys: list[str], value: str, bins: int = 4096, levels: int = 1
+    df: DataFrame, keys: list[str], value: str, bins: int = 4096, limit: int = 1_000_000
 ) -> DataFrame:
     """Distinct values per key with how many rows lie below each one.
 
@@ -33,9 +33,10 @@ def cumulative_counts(
 
     A plain window over the group would sort a whole group in one task. Here values are
     first counted (map-side combined) and written out, so that every later step sees the
-    same doubles, then laid into equal-width bins per key; only the
-    bin totals (at most ``bins`` rows) are summed over the group, and the fine order is
-    resolved within a bin. ``levels=2`` splits each bin once more, for long-tailed values.
+    same doubles, then laid into equal-width bins per key; only the bin totals (at most
+    ``bins`` rows) are summed over the group, and the fine order is resolved within a bin.
+    Bins are split again while one holds more than ``limit`` distinct values, as a long
+    tail would.
     """
     cur = cut_lineage(
         df.where(F.col(value).isNotNull())
@@ -43,33 +44,29 @@ def cumulative_counts(
         .agg(F.count(F.lit(1)).alias("cnt"))
     )
     part: list[str] = list(keys)
-    below = F.lit(0).cast("long")
-    for level in range(levels):
-        b, lo, hi = f"_b{level}", f"_lo{level}", f"_hi{level}"
-        aggs = [F.min("value").alias(lo), F.max("value").alias(hi)]
-        if level == 0:
-            aggs.append(F.sum("cnt").alias("total"))
-        cur = _join(cur, cur.groupBy(*part).agg(*aggs), part)
-        cur = cur.withColumn(
-            b,
-            F.coalesce(
-                F.least(
-                    F.floor(F.try_divide((F.col("value") - F.col(lo)) * bins, F.col(hi) - F.col(lo))),
-                    F.lit(bins - 1).cast("long"),
-                ),
-                F.lit(0).cast("long"),
-            ),
+    cur = _join(cur, cur.groupBy(*keys).agg(F.sum("cnt").alias("total")), keys)
+    cur = cur.withColumn("below", F.lit(0).cast("long"))
+    for level in range(6):
+        b = f"_b{level}"
+        ends = cur.groupBy(*part).agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"))
+        cell = F.floor(F.try_divide((F.col("value") - F.col("_lo")) * bins, F.col("_hi") - F.col("_lo")))
+        cell = F.coalesce(F.least(cell, F.lit(bins - 1).cast("long")), F.lit(0).cast("long"))
+        cur = _join(cur, ends, part).withColumn(b, cell).drop("_lo", "_hi")
+        totals = cur.groupBy(*part, b).agg(
+            F.sum("cnt").alias("_n"), F.count(F.lit(1)).alias("_values")
         )
-        totals = cur.groupBy(*part, b).agg(F.sum("cnt").alias("_n"))
+        fullest = totals.agg(F.max("_values")).first()[0] or 0
         before = Window.partitionBy(*part).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-        totals = totals.select(
-            *part, b, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(f"_off{level}")
+        offsets = totals.select(
+            *part, b, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")
         )
         part = [*part, b]
-        cur = _join(cur, totals, part)
-        below = below + F.col(f"_off{level}")
+        cur = cur.join(offsets, part).withColumn("below", F.col("below") + F.col("_off")).drop("_off")
+        if fullest <= limit:
+            break
+        cur = cut_lineage(cur)
     inside = Window.partitionBy(*part).orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    below = below + F.coalesce(F.sum("cnt").over(inside), F.lit(0))
+    below = F.col("below") + F.coalesce(F.sum("cnt").over(inside), F.lit(0))
     return cur.select(*keys, "value", "cnt", below.alias("below"), "total")
 
 
@@ -81,13 +78,13 @@ def _join(left: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def exact_percentile(
-    df: DataFrame, keys: list[str], value: str, p: float, name: str, levels: int = 1
+    df: DataFrame, keys: list[str], value: str, p: float, name: str, **kwargs
 ) -> DataFrame:
     """Percentile with linear interpolation (type 7) per key for values of any kind.
 
     Distributed throughout: see ``cumulative_counts``. Nulls are ignored.
     """
-    counts = cumulative_counts(df, keys, value, levels=levels)
+    counts = cumulative_counts(df, keys, value, **kwargs)
     h = (F.col("total") - 1) * F.lit(float(p))
     lo, hi = F.floor(h), F.ceil(h)
 
@@ -118,11 +115,11 @@ def percentile_of_counts(
 
 
 def with_percent_rank(
-    df: DataFrame, value: str, name: str, levels: int = 1, digits: int | None = None
+    df: DataFrame, value: str, name: str, digits: int | None = None, **kwargs
 ) -> DataFrame:
     """Percent rank 0..100 over the whole frame; a null value keeps a null rank."""
     df = cut_lineage(df)
-    counts = cumulative_counts(df, [], value, levels=levels)
+    counts = cumulative_counts(df, [], value, **kwargs)
     rank = F.coalesce(ratio(F.col("below"), F.col("total") - 1), F.lit(0.0)) * 100
     if digits is not None:
         rank = rounded(rank, digits)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiplens.lineage import cut_lineage
+from shiplens.operators.joins import salted_join
 
 
 def shared_unit_pairs(
@@ -35,10 +36,11 @@ def shared_unit_pairs(
     cols = [unit, item] + ([side] if side and side != item else [])
     rows = memberships.select(*cols)
     often = rows.groupBy(item).agg(F.count(F.lit(1)).alias("_n"))
-    rows = rows.join(often.where(F.col("_n") >= min_shared).select(item), item, "left_semi")
+    often = often.where(F.col("_n") >= min_shared).select(item)
+    rows = salted_join(rows, often, item, F.col(unit), "left_semi")
     sizes = rows.groupBy(unit).agg(F.count(F.lit(1)).alias("_size"))
     # Written out once: read again for the pairs and, with hot units, for their counts.
-    sized = cut_lineage(rows.join(sizes, unit))
+    sized = cut_lineage(salted_join(rows, sizes, unit, F.col(item)))
 
     aside = None
     if min_shared > 1 and not sized.where(F.col("_size") > hot_units).isEmpty():

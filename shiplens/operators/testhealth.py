@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shiplens.functions.stats import ratio, rounded
 from shiplens.lineage import cut_lineage
+from shiplens.operators.joins import salted_join
 from shiplens.operators.overlap import shared_unit_pairs
 
 # Error texts of infrastructure failures, matched without case.
@@ -165,7 +166,12 @@ def cofailure_pairs(
         .withColumn("member", F.monotonically_increasing_id())
     )
     item_pairs = shared_unit_pairs(
-        members.join(numbered.select(item, group, "member"), [item, group]),
+        salted_join(
+            members.withColumn("_k", F.struct(item, group)),
+            numbered.select(F.struct(item, group).alias("_k"), "member"),
+            "_k",
+            F.col(unit),
+        ),
         unit, "member", min_pairs, side=group, hot_units=hot_units,
     )
 

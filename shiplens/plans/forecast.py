@@ -6,6 +6,7 @@ import math
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
@@ -19,6 +20,7 @@ FOREST_TERMS = ["months", "legacy_avg", "stories", "backend", "frontend", "is_ma
 MIN_MATURE_MONTHS = 9
 CAP_FACTOR = 3.0
 BIAS_LIMIT = 20.0
+THETA_MAX = 1e6  # from here on the model is a Poisson regression
 
 
 def features(facts: DataFrame, base: DataFrame) -> DataFrame:
@@ -68,94 +70,96 @@ class LogLinear:
         return df.withColumn("prediction", F.exp(eta))
 
 
-def _eta(terms: list[str], coef: np.ndarray, offset: str) -> Column:
-    eta = F.lit(float(coef[0])) + F.col(offset)
-    for t, b in zip(terms, coef[1:]):
-        eta = eta + F.col(t) * F.lit(float(b))
-    return F.greatest(F.least(eta, F.lit(30.0)), F.lit(-30.0))
+def _sums(rows: DataFrame, terms: list[str], target: str, offset: str, coef, theta: float):
+    """One distributed pass at the current estimate: X'WX, X'Wz, the dispersion's score and
+    slope, the Pearson sum and the row count.
 
-
-def _normal_equations(df: DataFrame, terms: list[str], w: Column, z: Column):
-    """X'WX and X'Wz as one aggregate of p(p+3)/2 sums; only the sums reach the driver."""
-    x = [F.lit(1.0), *[F.col(t) for t in terms]]
-    p = len(x)
-    rows = df.select(w.alias("_w"), z.alias("_z"), *[c.alias(f"_x{i}") for i, c in enumerate(x)])
-    aggs = [
-        F.sum(F.col("_w") * F.col(f"_x{i}") * F.col(f"_x{j}")).alias(f"a{i}_{j}")
-        for i in range(p)
-        for j in range(i, p)
-    ] + [F.sum(F.col("_w") * F.col(f"_x{i}") * F.col("_z")).alias(f"b{i}") for i in range(p)]
-    r = rows.agg(*aggs).first()
-    a = np.zeros((p, p))
-    for i in range(p):
-        for j in range(i, p):
-            a[i, j] = a[j, i] = r[f"a{i}_{j}"] or 0.0
-    return a, np.array([r[f"b{i}"] or 0.0 for i in range(p)])
-
-
-def _solve(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    # Constant or collinear terms leave the system singular: least squares drops them.
-    return np.linalg.lstsq(a, b, rcond=1e-10)[0]
+    Each task adds up its own rows with numpy and emits p(p + 3)/2 + 4 numbers; Spark sums
+    those by position. Only the sums reach the driver.
+    """
+    coef = np.asarray(coef, dtype=float)
+
+    def partial(batches):
+        total = None
+        for pdf in batches:
+            y = pdf[target].to_numpy(float)
+            off = pdf[offset].to_numpy(float)
+            x = np.column_stack([np.ones(len(pdf)), pdf[terms].to_numpy(float)])
+            eta = np.clip(x @ coef + off, -30.0, 30.0)
+            mu = np.exp(eta)
+            w = mu / (1 + mu / theta)
+            z = eta - off + (y - mu) / mu
+            gram = (x * w[:, None]).T @ x
+            right = x.T @ (w * z)
+            # sum of 1/(theta + j) for j below y: differences of digamma at whole numbers.
+            steps = 1 / (theta + np.arange(int(y.max()) + 1 if len(y) else 1))
+            up = np.concatenate([[0.0], np.cumsum(steps)])[y.astype(int)]
+            up2 = np.concatenate([[0.0], np.cumsum(steps**2)])[y.astype(int)]
+            score = up + np.log(theta) + 1 - np.log(theta + mu) - (y + theta) / (theta + mu)
+            slope = -up2 + 1 / theta - 2 / (theta + mu) + (y + theta) / (theta + mu) ** 2
+            part = np.concatenate(
+                [
+                    gram[np.triu_indices(len(coef))],
+                    right,
+                    [score.sum(), slope.sum(), ((y / mu - 1) ** 2).sum(), len(y)],
+                ]
+            )
+            total = part if total is None else total + part
+        if total is not None:
+            yield pd.DataFrame({"i": np.arange(len(total)), "v": total})
+
+    collected = rows.mapInPandas(partial, "i int, v double").groupBy("i").agg(F.sum("v").alias("v"))
+    flat = np.array([r["v"] for r in sorted(collected.collect())])
+    p = len(coef)
+    cut = p * (p + 1) // 2
+    gram = np.zeros((p, p))
+    gram[np.triu_indices(p)] = flat[:cut]
+    gram = gram + np.triu(gram, 1).T
+    return gram, flat[cut : cut + p], *flat[cut + p :]
 
 
 def fit_negative_binomial(
-    df: DataFrame, terms: list[str], target: str, offset: str, max_iter: int = 25, tol: float = 1e-6
+    df: DataFrame, terms: list[str], target: str, offset: str, max_iter: int = 40, tol: float = 1e-5
 ) -> LogLinear:
     """Negative-binomial regression with log link: reweighted least squares for the
-    coefficients, Newton steps of the likelihood for the dispersion.
-
-    Every step is one distributed aggregate over the rows.
+    coefficients and Newton steps of the likelihood for the dispersion, one pass per round.
     """
-    rows = df.select(target, offset, *terms).cache()
-    y = F.col(target).cast("double")
-    mean = rows.agg(F.avg(y / F.exp(offset))).first()[0]
+    rows = df.select(
+        F.col(target).cast("double").alias(target), F.col(offset).cast("double").alias(offset),
+        *[F.col(t).cast("double").alias(t) for t in terms],
+    ).dropna().cache()
+    kept = rows
+    # Terms are brought to a common size, so that near-collinear ones are told from small ones.
+    first = rows.agg(
+        F.avg(F.col(target) / F.exp(offset)).alias("m"), *[F.max(F.abs(t)).alias(t) for t in terms]
+    ).first()
+    size = np.array([first[t] or 1.0 for t in terms])
+    rows = rows.select(target, offset, *[(F.col(t) / float(s)).alias(t) for t, s in zip(terms, size)])
+    mean = first["m"]
     coef = np.zeros(len(terms) + 1)
     coef[0] = math.log(max(mean or 0.0, 1e-6))
-    theta, steps = 1e6, 0
-    for steps in range(1, max_iter + 1):
-        eta = _eta(terms, coef, offset)
-        mu = F.exp(eta)
-        w = mu / (1 + mu / F.lit(theta))
-        z = eta - F.col(offset) + (y - mu) / mu
-        new = _solve(*_normal_equations(rows, terms, w, z))
-        change = float(np.max(np.abs(new - coef)))
+    theta, done = THETA_MAX, 0
+    for done in range(1, max_iter + 1):
+        gram, right, score, slope, pearson, n = _sums(rows, terms, target, offset, coef, theta)
+        # Constant or collinear terms leave the system singular: least squares drops them.
+        new = np.linalg.lstsq(gram, right, rcond=1e-10)[0]
+        change = float(np.max(np.abs(new - coef) / (1 + np.abs(coef))))
         coef = new
-        theta_new = _theta(rows, y, F.exp(_eta(terms, coef, offset)), theta)
-        settled = abs(theta_new - theta) <= tol * theta
+        if done == 3:
+            theta_new = n / pearson if pearson > 0 else theta
+        elif done > 3 and slope < 0:
+            theta_new = min(max(theta - score / slope, theta / 5, 1e-4), theta * 5, THETA_MAX)
+        elif done > 3:
+            theta_new = min(theta * 2, THETA_MAX) if score > 0 else max(theta / 2, 1e-4)
+        else:
+            theta_new = theta
+        settled = done > 4 and abs(theta_new - theta) <= tol * theta
         theta = theta_new
-        if change < tol and settled:
-            break
-    rows.unpersist()
-    return LogLinear(terms, coef, theta, steps)
-
-
-def _theta(rows: DataFrame, y: Column, mu: Column, start: float) -> float:
-    """Maximum-likelihood dispersion; started by moments, at most a few Newton steps."""
-    m = rows.select(y.alias("y"), mu.alias("mu"))
-    n, chi = m.agg(F.count(F.lit(1)), F.sum((F.col("y") / F.col("mu") - 1) ** 2)).first()
-    theta = n / chi if chi and start >= 1e6 else start
-    for _ in range(5):
-        t = F.lit(float(theta))
-        steps = F.when(F.col("y") >= 1, F.sequence(F.lit(0), (F.col("y") - 1).cast("int"))).otherwise(
-            F.array().cast("array<int>")
-        )
-        up = F.aggregate(steps, F.lit(0.0), lambda a, j: a + 1 / (t + j))
-        up2 = F.aggregate(steps, F.lit(0.0), lambda a, j: a + 1 / ((t + j) * (t + j)))
-        score = up + F.log(t) + 1 - F.log(t + F.col("mu")) - (F.col("y") + t) / (t + F.col("mu"))
-        slope = (
-            -up2 + 1 / t - 2 / (t + F.col("mu"))
-            + (F.col("y") + t) / ((t + F.col("mu")) * (t + F.col("mu")))
-        )
-        s, d = m.agg(F.sum(score), F.sum(slope)).first()
-        if not d or d >= 0:
-            break
-        nxt = theta - s / d
-        nxt = min(max(nxt, theta / 5), theta * 5, 1e8)
-        if abs(nxt - theta) < 1e-6 * theta:
-            theta = nxt
+        if change < tol and (settled or theta >= THETA_MAX):
             break
-        theta = max(nxt, 1e-4)
-    return theta
+    kept.unpersist()
+    coef = np.concatenate([coef[:1], coef[1:] / size])
+    return LogLinear(terms, coef, float(theta), done)
 
 
 def fit_poisson(df: DataFrame, terms: list[str], target: str, offset: str):

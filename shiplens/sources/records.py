@@ -151,8 +151,8 @@ def from_export(df: DataFrame) -> DataFrame:
 
 
 JUNIT_SCHEMA = (
-    "failure struct<_message: string, _VALUE: string>, "
-    "properties struct<property: array<struct<_name: string, _value: string, _VALUE: string>>>"
+    "failure struct<_message: string, _text: string>, "
+    "properties struct<property: array<struct<_name: string, _value: string, _text: string>>>"
 )
 # Raw result words that stand for another status.
 RESULT_WORDS = {"IN PROGRESS": "UNTESTED", "DID NOT RUN": "UNTESTED"}
@@ -173,6 +173,7 @@ def read_junit(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
     raw = (
         spark.read.format("xml")
         .option("rowTag", "testcase")
+        .option("valueTag", "_text")
         .schema(JUNIT_SCHEMA)
         .load(path)
     )
@@ -205,7 +206,8 @@ def build_meta(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
     raw = (
         spark.read.format("xml")
         .option("rowTag", "property")
-        .schema("_name string, _value string, _VALUE string")
+        .option("valueTag", "_text")
+        .schema("_name string, _value string, _text string")
         .load(path)
         .select("_name", "_value", F.col("_metadata.file_path").alias("file_path"))
     )
