@@ -72,4 +72,4 @@ def degree_stats(t):
 )
 def dependency_score(t):
     e = _edges(t)
-    return graph.dependency_score(_nodes(e), e, "node", "src", "dst", quantile=0.96)
+    return graph.dependency_score(_nodes(e), e, "node", "src", "dst", quantile=0.96, written=True)

@@ -291,20 +291,20 @@ def function_complexity(t):
     return _functions(t)
 
 
-@query(
-    _FUNCS
-    + """, s AS (SELECT component, count(DISTINCT l_partkey) AS n_files, avg(avg_ccn) AS ccn,
+_COMPONENTS = _FUNCS + """, s AS (SELECT component, count(DISTINCT l_partkey) AS n_files, avg(avg_ccn) AS ccn,
       round((avg(avg_nloc))::DECIMAL(28,10), 1)::DOUBLE AS avg_cognitive, round((avg(avg_ccn_java))::DECIMAL(28,10), 1)::DOUBLE AS avg_ccn_java,
       round((avg(avg_ccn_frontend))::DECIMAL(28,10), 1)::DOUBLE AS avg_ccn_frontend, max(max_ccn) AS component_max_ccn,
       round((sum(lines_of_code * weight))::DECIMAL(28,10), 0)::DOUBLE AS weighted_loc FROM x GROUP BY component),
     md AS (SELECT component, language_mix FROM (SELECT component, language_mix, count(*) AS n FROM x GROUP BY 1, 2)
-      QUALIFY row_number() OVER (PARTITION BY component ORDER BY n DESC, language_mix) = 1)
-    SELECT component, n_files, round((ccn)::DECIMAL(28,10), 1)::DOUBLE AS avg_cyclomatic, avg_cognitive, avg_ccn_java, avg_ccn_frontend,
+      QUALIFY row_number() OVER (PARTITION BY component ORDER BY n DESC, language_mix) = 1),
+    rk AS (SELECT component, n_files, round((ccn)::DECIMAL(28,10), 1)::DOUBLE AS avg_cyclomatic, avg_cognitive, avg_ccn_java, avg_ccn_frontend,
       component_max_ccn, weighted_loc, language_mix,
       round((percent_rank() OVER (ORDER BY ccn) * 100)::DECIMAL(28,10), 1)::DOUBLE AS complexity_risk_pct
-    FROM s JOIN md USING (component)"""
-)
-def complexity_rollup(t):
+    FROM s JOIN md USING (component))
+"""
+
+
+def _component_complexity(t: Tables) -> DataFrame:
     files = _functions(t).join(
         t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_size").alias("lines_of_code")),
         "l_partkey",
@@ -314,6 +314,24 @@ def complexity_rollup(t):
     )
 
 
+@query(_COMPONENTS + "SELECT * FROM rk")
+def complexity_rollup(t):
+    return _component_complexity(t)
+
+
+@query(
+    _COMPONENTS
+    + """SELECT CASE WHEN component LIKE 'Brand#1%' THEN 'team 1' WHEN component LIKE 'Brand%' THEN 'team 2' END AS team,
+      count(*) AS n_components, sum(n_files)::BIGINT AS total_files, round((avg(avg_cyclomatic))::DECIMAL(28,10), 1)::DOUBLE AS avg_cyclomatic,
+      round((avg(avg_cognitive))::DECIMAL(28,10), 1)::DOUBLE AS avg_cognitive, sum(weighted_loc) AS total_loc,
+      round((avg(complexity_risk_pct))::DECIMAL(28,10), 1)::DOUBLE AS avg_complexity_risk FROM rk WHERE component LIKE 'Brand%' GROUP BY 1"""
+)
+def complexity_by_team(t):
+    component = F.col("component")
+    team = F.when(component.startswith("Brand#1"), "team 1").when(component.startswith("Brand"), "team 2")
+    return scoring.complexity_by_team(_component_complexity(t).withColumn("team", team), "team")
+
+
 @query(
     _FUNCS
     + """SELECT component, max(max_ccn) AS component_max_ccn, round((avg(avg_ccn))::DECIMAL(28,10), 2)::DOUBLE AS component_avg_ccn

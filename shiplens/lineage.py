@@ -41,3 +41,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = run_folder(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over at least as many tasks as there are cores, for work that bytes do not show.
+
+    Long texts and fan-out joins cost far more than reading their input. A large input has
+    tasks enough and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiplens.functions.stats import cap_one, percentile_of_counts, ratio, rounded
-from shiplens.lineage import cut_lineage
+from shiplens.lineage import cut_lineage, spread
 
 
 def degree_stats(
@@ -33,24 +33,28 @@ def degree_stats(
     return stats.withColumn("is_shared_util", F.col("dependent_count") >= limit)
 
 
-def reach(edges: DataFrame, src: str, dst: str, max_depth: int = 3) -> DataFrame:
+def reach(
+    edges: DataFrame, src: str, dst: str, max_depth: int = 3, written: bool = False
+) -> DataFrame:
     """(source, node, depth): who depends on each source, at least depth, within the cap.
 
     All sources advance together: one join per level, then an anti join against what each
-    source has seen. Each level is checkpointed, so a lost executor restarts one level.
+    source has seen. Each level is written out, so a lost executor restarts one level.
+    ``written`` says that ``edges`` is a table of distinct edges already.
     """
-    back = cut_lineage(
-        edges.where(F.col(src) != F.col(dst))
-        .select(F.col(dst).alias("_from"), F.col(src).alias("_to"))
-        .distinct()
+    back = edges.where(F.col(src) != F.col(dst)).select(
+        F.col(dst).alias("_from"), F.col(src).alias("_to")
     )
+    if not written:
+        back = cut_lineage(back.distinct())
     seen = back.select(
         F.col("_from").alias("source"), F.col("_to").alias("node"), F.lit(1).alias("depth")
     )
     frontier = seen
     for depth in range(2, max_depth + 1):
         step = (
-            frontier.join(back, frontier["node"] == back["_from"])
+            spread(frontier)
+            .join(back.withColumnRenamed("_from", "node"), "node")
             .where(F.col("source") != F.col("_to"))
             .select("source", F.col("_to").alias("node"))
             .distinct()
@@ -62,9 +66,11 @@ def reach(edges: DataFrame, src: str, dst: str, max_depth: int = 3) -> DataFrame
     return seen
 
 
-def blast_radius(nodes: DataFrame, edges: DataFrame, node: str, src: str, dst: str, max_depth=3):
+def blast_radius(
+    nodes: DataFrame, edges: DataFrame, node: str, src: str, dst: str, max_depth=3, written=False
+) -> DataFrame:
     """Direct, transitive and total dependents and depth reached, per node."""
-    hits = reach(edges, src, dst, max_depth)
+    hits = reach(edges, src, dst, max_depth, written)
     zero = F.lit(0).cast("long")
     stats = hits.groupBy(F.col("source").alias(node)).agg(
         F.sum(F.when(F.col("depth") == 1, 1).otherwise(0)).alias("dependent_count"),
@@ -91,14 +97,16 @@ def dependency_score(
     max_depth: int = 3,
     quantile: float = 0.90,
     p: float = 0.95,
+    written: bool = False,
 ) -> DataFrame:
     """0.6 blast radius + 0.4 use of shared utilities, each over its p95 and capped at 1.
 
     A p95 of zero leaves the blast score null rather than infinite.
     """
-    edges = edges.select(src, dst).distinct()
+    if not written:
+        edges = cut_lineage(edges.select(src, dst).distinct())
     flags = degree_stats(nodes, edges, node, src, dst, quantile).select(node, "is_shared_util")
-    blast = blast_radius(nodes, edges, node, src, dst, max_depth)
+    blast = blast_radius(nodes, edges, node, src, dst, max_depth, written=True)
     targets = flags.select(F.col(node).alias(dst), F.col("is_shared_util").alias("_shared"))
     out = (
         edges.join(targets, dst, "left")

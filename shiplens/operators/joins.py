@@ -19,3 +19,12 @@ def salted_join(
     spread = left.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int"))
     copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return spread.join(copies, [key, "_salt"], how).drop("_salt")
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join in which a null key matches a null key, as data frames outside SQL do."""
+    renamed = right.select(
+        *[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys]
+    )
+    on = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])

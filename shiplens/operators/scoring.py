@@ -191,6 +191,18 @@ def complexity_by_component(
     )
 
 
+def complexity_by_team(components: DataFrame, team: str) -> DataFrame:
+    """Component complexity rolled up to teams; components without a team are left out."""
+    return components.where(F.col(team).isNotNull()).groupBy(team).agg(
+        F.count(F.lit(1)).alias("n_components"),
+        F.sum("n_files").alias("total_files"),
+        rounded(F.avg("avg_cyclomatic"), 1).alias("avg_cyclomatic"),
+        rounded(F.avg("avg_cognitive"), 1).alias("avg_cognitive"),
+        F.sum("weighted_loc").alias("total_loc"),
+        rounded(F.avg("complexity_risk_pct"), 1).alias("avg_complexity_risk"),
+    )
+
+
 def amplifier(signals_above: Column) -> Column:
     return (
         F.when(signals_above >= 4, 1.25)

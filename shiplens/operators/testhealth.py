@@ -292,12 +292,31 @@ def item_quality_windowed(
     of each attribute is taken along ``order``.
     """
     linked = failed & F.col(issue).isNotNull() & (F.length(F.trim(issue)) > 0)
-    stats = results.groupBy(item, routine, window).agg(
-        *[F.min_by(a, F.struct(*order)).alias(a) for a in attributes],
-        F.count_distinct(unit).alias("total_builds"),
-        F.sum(F.when(failed, 1).otherwise(0)).alias("total_fail_builds"),
-        F.sum(F.when(linked, 1).otherwise(0)).alias("bug_linked_builds"),
-        F.count_distinct(F.when(linked, F.col(issue))).alias("distinct_bugs_linked"),
+    keys = [item, routine, window]
+    # One row per unit first, so that units are counted without a distinct aggregate.
+    per_unit = results.groupBy(*keys, unit).agg(
+        F.min(F.struct(*order, *[c for c in attributes if c not in order])).alias("_first"),
+        F.sum(F.when(failed, 1).otherwise(0)).alias("_failed"),
+        F.sum(F.when(linked, 1).otherwise(0)).alias("_linked"),
+    )
+    stats = per_unit.groupBy(*keys).agg(
+        F.min("_first").alias("_first"),
+        F.count(unit).alias("total_builds"),
+        F.sum("_failed").alias("total_fail_builds"),
+        F.sum("_linked").alias("bug_linked_builds"),
+    )
+    issues = (
+        results.where(linked)
+        .groupBy(*keys)
+        .agg(F.count_distinct(issue).alias("distinct_bugs_linked"))
+    )
+    stats = stats.join(issues, keys, "left").select(
+        *keys,
+        *[F.col(f"_first.{c}").alias(c) for c in attributes],
+        "total_builds",
+        "total_fail_builds",
+        "bug_linked_builds",
+        F.coalesce("distinct_bugs_linked", F.lit(0).cast("long")).alias("distinct_bugs_linked"),
     )
     rate = F.coalesce(
         rounded(ratio(F.col("bug_linked_builds"), F.col("total_fail_builds")), 4), F.lit(0.0)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiplens.functions.stats import ratio, share_of_total, rounded
+from shiplens.lineage import spread
 from shiplens.operators.bridge import top_with_ties
 
 # A short stop list; callers add their own words as a table.
@@ -42,7 +43,8 @@ def tokens(
     docs: DataFrame, keys: list[str], text: str, stop=STOP_WORDS, extra_stop: DataFrame | None = None
 ) -> DataFrame:
     """One row per kept word of each document."""
-    rows = docs.select(*keys, F.explode(words_of(F.col(text))).alias("word")).where(
+    texts = spread(docs.select(*keys, text))
+    rows = texts.select(*keys, F.explode(words_of(F.col(text))).alias("word")).where(
         keeps(F.col("word"), stop)
     )
     if extra_stop is not None:
@@ -110,7 +112,7 @@ def blind_spots(
 
 def bigrams(docs: DataFrame, corpus: str, text: str, stop=STOP_WORDS) -> DataFrame:
     """Neighbouring word pairs, both words kept."""
-    rows = docs.select(corpus, words_of(F.col(text)).alias("_w"))
+    rows = spread(docs.select(corpus, text)).select(corpus, words_of(F.col(text)).alias("_w"))
     pairs = F.arrays_zip(
         F.slice("_w", F.lit(1), F.greatest(F.size("_w") - 1, F.lit(0))).alias("a"),
         F.slice("_w", F.lit(2), F.greatest(F.size("_w") - 1, F.lit(0))).alias("b"),

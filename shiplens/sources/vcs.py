@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shiplens.functions.paths import INVENTORY_TEST_FILES, SOURCE_FILES, leading_ticket, any_ticket
 from shiplens.functions.stats import ratio, rounded
+from shiplens.lineage import spread
 
 # Extensions of the churn table, and tests left out of it.
 CHURN_EXTENSIONS = ("java", "js", "jsp", "ts", "tsx", "css", "scss")
@@ -183,7 +184,7 @@ def diff_blocks(diffs: DataFrame, diff_id: str, text: str, excluded: str | None
     pieces = F.filter(
         F.split(F.col(text), r"(?m)^(?=diff --git )"), lambda b: b.startswith("diff --git ")
     )
-    rows = diffs.select(diff_id, F.posexplode(pieces).alias("block_no", "block"))
+    rows = spread(diffs.select(diff_id, text)).select(diff_id, F.posexplode(pieces).alias("block_no", "block"))
     rows = rows.withColumn(
         "file_path", F.regexp_extract("block", r"^diff --git a/(?:.+?) b/([^\n]+)", 1)
     )
