@@ -59,8 +59,14 @@ def weighted_rollup(
     columns: list[str],
     weight: str = "weight",
 ) -> DataFrame:
-    """Measures times bridge weight, summed; keys absent from the bridge drop out."""
-    joined = measures.join(bridge, join_key)
+    """Measures times bridge weight, summed; keys absent from the bridge drop out.
+
+    A weighted sum is the weight times a sum, so measures are added up per join key before
+    the bridge multiplies them: the join sees one row per key and period, however hot.
+    """
+    own = [k for k in keys if k in measures.columns and k not in bridge.columns]
+    sums = measures.groupBy(join_key, *own).agg(*[F.sum(c).alias(c) for c in columns])
+    joined = sums.join(bridge, join_key)
     return joined.groupBy(*keys).agg(
         *[F.coalesce(F.sum(F.col(c) * F.col(weight)), F.lit(0.0)).alias(c) for c in columns]
     )

@@ -78,20 +78,27 @@ def windowed_defects(
     base = issues.select(component, created, source, sev.alias("_sev"))
     end = _as_of(issues, created, as_of)
     mapped = bridge.select(component, module, *([weight] if weight else [])).distinct()
-    rows = in_windows(base, created, windows, end).join(mapped, component)
-    w = F.col(weight) if weight else F.lit(1)
-    n = F.sum(w)
+    one = F.lit(1)
 
     def count_of(value):
-        return F.sum(F.when(F.col(source) == value, w).otherwise(0))
-
-    return rows.groupBy(module, "window_days").agg(
+        return F.sum(F.when(F.col(source) == value, one).otherwise(0))
+
+    # Added up per component first: the bridge then repeats totals, not issues.
+    totals = in_windows(base, created, windows, end).groupBy(component, "window_days").agg(
+        F.count(one).alias("_n"),
+        count_of(customer).alias("_customer"),
+        count_of(internal).alias("_internal"),
+        F.sum("_sev").alias("_sev"),
+    )
+    w = F.col(weight) if weight else one
+    n = F.sum(F.col("_n") * w)
+    return totals.join(mapped, component).groupBy(module, "window_days").agg(
         n.alias("bug_count"),
-        count_of(customer).alias("customer_reported_count"),
-        count_of(internal).alias("internal_count"),
-        rounded(
-            F.coalesce(F.sum(F.col("_sev") * w), F.lit(0.0)) / (n * 5), 4
-        ).alias("severity_weighted_score"),
+        F.sum(F.col("_customer") * w).alias("customer_reported_count"),
+        F.sum(F.col("_internal") * w).alias("internal_count"),
+        rounded(F.coalesce(F.sum(F.col("_sev") * w), F.lit(0.0)) / (n * 5), 4).alias(
+            "severity_weighted_score"
+        ),
     )
 
 
@@ -193,12 +200,16 @@ def period_counts(
     from shiplens.functions.paths import component_names
 
     rows = issues.withColumn(component_name, F.explode(component_names(component_text)))
-    matched = rows.join(components.select(component_name, component_id), component_name)
-    aggs = [F.sum(F.when(F.col(kind) == k, 1).otherwise(0)).alias(f"{k}_count") for k in kinds]
+    columns = [f"{k}_count" for k in kinds]
+    aggs = [F.sum(F.when(F.col(kind) == k, 1).otherwise(0)).alias(c) for k, c in zip(kinds, columns)]
     if blocker:
         flagged = F.coalesce(F.col(blocker), F.lit(False)) & (F.col(kind) == "internal")
         aggs.append(F.sum(F.when(flagged, 1).otherwise(0)).alias("blocker_count"))
-    return matched.groupBy(component_id, quarter).agg(*aggs)
+        columns.append("blocker_count")
+    # Counted by name first; names that share an id are added up after the lookup.
+    counts = rows.groupBy(component_name, quarter).agg(*aggs)
+    matched = counts.join(components.select(component_name, component_id), component_name)
+    return matched.groupBy(component_id, quarter).agg(*[F.sum(c).alias(c) for c in columns])
 
 
 def unmatched_components(
