@@ -3,6 +3,7 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from shiplens.catalog import QUERIES
 from tests.oracle import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -13,7 +14,7 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     if name in ("negbin_forecast", "poisson_forecast", "forest_forecast", "walk_forward", "defect_forecast", "topic_terms", "topic_divergence"):
         pytest.skip("model queries have their own tests")
