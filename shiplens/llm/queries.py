@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shiplens.llm.linededup import remove_shared_lines
 from shiplens.llm.simhash import simhash_groups
+from shiplens.llm.urlrules import judge_urls
+from shiplens.llm.wordpiece import ranked_vocabulary, token_counts
 from shiplens.sources.readers import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +31,71 @@ def query(sql: str | None = None):
 @query()
 def op1_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_groups(load(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+#: The rules of the url query.
+URL_RULES = (
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+)
+
+
+@query(
+    """
+    WITH rules(h, p, verdict) AS (VALUES
+        ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+        ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+    rest AS (
+        SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r
+        FROM pages),
+    parts AS (
+        SELECT page_id,
+            translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+            regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path
+        FROM rest),
+    best AS (
+        SELECT page_id, host, path,
+            (SELECT max({'n': length(h || p), 'rule': h || p, 'verdict': verdict}) FROM rules
+             WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS b
+        FROM parts)
+    SELECT page_id, host, path, b.rule AS rule, coalesce(b.verdict, 'allow') AS verdict FROM best
+    """
+)
+def op4_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    pages = load(spark, folder, "pages").select("page_id", "url")
+    return judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query(
+    """
+    WITH lines AS (
+        SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+            generate_subscripts(string_split(text, chr(10)), 1) AS pos
+        FROM documents),
+    shared AS (
+        SELECT line, min({'doc_id': doc_id, 'pos': pos}) AS first_place
+        FROM lines WHERE trim(line) <> '' GROUP BY line HAVING count(DISTINCT source) >= 10),
+    marked AS (
+        SELECT l.*, s.line IS NOT NULL AND {'doc_id': l.doc_id, 'pos': l.pos} <> s.first_place AS gone
+        FROM lines l LEFT JOIN shared s USING (line))
+    SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text,
+        CAST(count(*) FILTER (WHERE gone) AS INTEGER) AS lines_removed
+    FROM marked GROUP BY doc_id
+    """
+)
+def op6_shared_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_shared_lines(load(spark, folder, "documents")).select("doc_id", "text", "lines_removed")
+
+
+#: Where the public vocabulary files lie.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
+@query()
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = ranked_vocabulary(spark, VOCABULARY)
+    return token_counts(load(spark, folder, "documents"), pieces).select("doc_id", "n_words", "n_tokens")
