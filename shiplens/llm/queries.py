@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shiplens.llm.linededup import remove_shared_lines
+from shiplens.llm.mixing import mix_sources
 from shiplens.llm.simhash import simhash_groups
+from shiplens.llm.tiling import leaked_items
 from shiplens.llm.urlrules import judge_urls
 from shiplens.llm.wordpiece import ranked_vocabulary, token_counts
 from shiplens.sources.readers import load
@@ -99,3 +102,82 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     pieces = ranked_vocabulary(spark, VOCABULARY)
     return token_counts(load(spark, folder, "documents"), pieces).select("doc_id", "n_words", "n_tokens")
+
+
+#: The mixture: three domains of sources, their weights and those of the languages.
+DOMAIN_WEIGHTS = {"web": 4, "forums": 3, "other": 3}
+LANGUAGE_WEIGHTS = {"en": 6, "de": 2, "fr": 2, "es": 1}
+
+
+def mixture(docs: DataFrame) -> DataFrame:
+    """Three fifths of all words, spread over the tree by weight, in at most two epochs."""
+    domain = F.when(F.col("source") == "src0", "web").when(F.col("source").rlike("^src[1-9]$"), "forums").otherwise("other")
+    return mix_sources(
+        docs,
+        {"domain": domain, "lang": F.col("lang"), "source": F.col("source")},
+        {"domain": DOMAIN_WEIGHTS, "lang": LANGUAGE_WEIGHTS},
+        budget=F.expr("total * 3 div 5"),
+    )
+
+
+_SHARE = """
+    {name}_w AS (
+        SELECT *, {weight} AS weight FROM {name}_n),
+    {name}_r AS (
+        SELECT *,
+            budget - coalesce(sum(capacity) OVER before, 0) AS rest,
+            sum(weight) OVER (PARTITION BY {parent}) - coalesce(sum(weight) OVER before, 0) AS ws
+        FROM {name}_w
+        WINDOW before AS (PARTITION BY {parent} ORDER BY capacity / weight, {node}
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    {name}_o AS (
+        SELECT *, capacity * ws <= weight * rest AS filled,
+            max(CASE WHEN capacity * ws > weight * rest THEN rest END) OVER (PARTITION BY {parent}) AS o_rest,
+            max(CASE WHEN capacity * ws > weight * rest THEN ws END) OVER (PARTITION BY {parent}) AS o_ws
+        FROM {name}_r),
+    {name}_g AS (
+        SELECT *, CASE WHEN filled THEN capacity ELSE (weight * o_rest) // o_ws END AS given FROM {name}_o)"""
+
+MIX_SQL = f"""
+    WITH docs AS (
+        SELECT doc_id, coalesce(lang, 'none') AS lang, coalesce(source, 'none') AS source,
+            CASE WHEN source = 'src0' THEN 'web' WHEN regexp_matches(source, '^src[1-9]$') THEN 'forums'
+                ELSE 'other' END AS domain,
+            len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS tokens
+        FROM documents),
+    leaves AS (
+        SELECT domain, lang, source, sum(tokens)::HUGEINT AS supply FROM docs GROUP BY ALL HAVING sum(tokens) > 0),
+    a_n AS (
+        SELECT 0 AS root, domain, sum(supply) * 2 AS capacity, (SELECT sum(supply) * 3 // 5 FROM leaves) AS budget
+        FROM leaves GROUP BY domain),
+    {_SHARE.format(name="a", parent="root", node="domain", weight="CASE domain WHEN 'web' THEN 4 ELSE 3 END")},
+    b_n AS (
+        SELECT l.domain, l.lang, sum(supply) * 2 AS capacity, any_value(given) AS budget
+        FROM leaves l JOIN a_g USING (domain) GROUP BY ALL),
+    {_SHARE.format(name="b", parent="domain", node="lang", weight="CASE lang WHEN 'en' THEN 6 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 ELSE 1 END")},
+    c_n AS (
+        SELECT l.domain, l.lang, l.source, supply, supply * 2 AS capacity, given AS budget
+        FROM leaves l JOIN b_g USING (domain, lang)),
+    {_SHARE.format(name="c", parent="domain, lang", node="source", weight="1")},
+    cut AS (
+        SELECT domain, lang, source, CAST(given // supply AS INTEGER) AS whole, given % supply AS rest FROM c_g),
+    ordered AS (
+        SELECT doc_id, domain, lang, source, whole, rest,
+            sum(tokens) OVER (PARTITION BY domain, lang, source
+                ORDER BY md5('20240607:' || (whole + 1) || ':' || doc_id)) AS upto
+        FROM docs JOIN cut USING (domain, lang, source)),
+    taken AS (
+        SELECT doc_id, domain, lang, source, whole + CASE WHEN upto <= rest THEN 1 ELSE 0 END AS times FROM ordered)
+    SELECT doc_id, lang, source, CAST(unnest(range(1, times + 1)) AS INTEGER) AS epoch FROM taken WHERE times > 0
+"""
+
+
+@query(MIX_SQL)
+def op3_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    return mixture(load(spark, folder, "documents")).select("doc_id", "lang", "source", "epoch")
+
+
+@query()
+def op8_leaked_items(spark: SparkSession, folder: str) -> DataFrame:
+    found = leaked_items(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "coverage", "tiles")
