@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shiplens.llm.langid import identify, train
 from shiplens.llm.linededup import remove_shared_lines
 from shiplens.llm.mixing import mix_sources
 from shiplens.llm.simhash import simhash_groups
@@ -181,3 +182,10 @@ def op3_mixture(spark: SparkSession, folder: str) -> DataFrame:
 def op8_leaked_items(spark: SparkSession, folder: str) -> DataFrame:
     found = leaked_items(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
     return found.select("doc_id", "item_id", "coverage", "tiles")
+
+
+@query()
+def op7_languages(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents")
+    found = identify(docs, train(docs))
+    return found.select("doc_id", "language", "confidence", "text_language", "accepted")
