@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shiplens.llm.langid import identify, train
 from shiplens.llm.linededup import remove_shared_lines
 from shiplens.llm.mixing import mix_sources
+from shiplens.llm.phrases import edited_fingerprints
 from shiplens.llm.simhash import simhash_groups
 from shiplens.llm.tiling import leaked_items
 from shiplens.llm.urlrules import judge_urls
@@ -189,3 +190,8 @@ def op7_languages(spark: SparkSession, folder: str) -> DataFrame:
     docs = load(spark, folder, "documents")
     found = identify(docs, train(docs))
     return found.select("doc_id", "language", "confidence", "text_language", "accepted")
+
+
+@query()
+def op2_phrase_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return edited_fingerprints(load(spark, folder, "documents")).drop("row_key")
