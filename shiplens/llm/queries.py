@@ -11,6 +11,7 @@ from shiplens.llm.langid import identify, train
 from shiplens.llm.linededup import remove_shared_lines
 from shiplens.llm.mixing import mix_sources
 from shiplens.llm.phrases import edited_fingerprints
+from shiplens.llm.pii import KINDS, find_personal_data, span_list
 from shiplens.llm.simhash import simhash_groups
 from shiplens.llm.tiling import leaked_items
 from shiplens.llm.urlrules import judge_urls
@@ -195,3 +196,15 @@ def op7_languages(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op2_phrase_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return edited_fingerprints(load(spark, folder, "documents")).drop("row_key")
+
+
+@query()
+def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_personal_data(load(spark, folder, "documents"))
+    of = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    return found.select(
+        "doc_id",
+        *[of(k).alias(f"n_{k}") for k in KINDS],
+        F.sha2(span_list(F.col("base")), 256).alias("base_sha256"),
+        span_list(F.concat("base", "added")).alias("spans"),
+    )
