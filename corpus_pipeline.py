@@ -3,22 +3,67 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shiplens.llm.common import stage
+from shiplens.llm.common import drop_rows, row_key, stage
+from shiplens.llm.langid import identify, train
+from shiplens.llm.linededup import remove_shared_lines
+from shiplens.llm.queries import mixture
 from shiplens.llm.simhash import drop_near_duplicates
+from shiplens.llm.tiling import leaked_items
 from shiplens.sources.readers import load
 
 
+def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language cannot be told go; a told language replaces the declared one."""
+    model = train(docs)
+    if model is None:
+        return docs
+    told = stage(identify(docs, model))
+    out = told.filter("not accepted").select(F.col("row_key").alias("_key")).distinct()
+    kept = drop_rows(docs, out, row_key())
+    # Few declared languages are wrong, so this is the smaller side of the join.
+    wrong = told.filter("accepted").select("row_key", "language").distinct()
+    wrong = wrong.join(docs.select(row_key().alias("row_key"), "lang").distinct(), "row_key").filter("not language <=> lang")
+    wrong = stage(wrong.select(F.col("row_key").alias("_key"), "language"))
+    named = kept.withColumn("_key", row_key()).join(wrong, "_key", "left")
+    return named.withColumn("lang", F.coalesce("language", "lang")).select(*docs.columns)
+
+
+def shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of many sites go from all documents but the first; a document left empty goes too."""
+    cleaned = remove_shared_lines(docs)
+    changed = F.col("lines_removed") > 0
+    kept = cleaned.filter(~changed | (F.trim("text") != ""))
+    n_chars = F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return kept.withColumn("n_chars", n_chars).select(*docs.columns)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
     return drop_near_duplicates(docs)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents into which a benchmark item has leaked go."""
+    leaks = leaked_items(docs, load(spark, sf_dir, "benchmark"))
+    return drop_rows(docs, stage(leaks.select(F.col("row_key").alias("_key")).distinct()), row_key())
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents by the mixture's weights, a row for each epoch that takes them."""
+    return mixture(docs)
+
+
 STAGES = [
+    ("languages", languages),
+    ("shared_lines", shared_lines),
     ("near_duplicates", near_duplicates),
+    ("decontaminate", decontaminate),
+    ("mix", mix),
 ]
 
-#: Fingerprints, trees and string tiles have no SQL; the tests compare with brute force.
+#: Trees of fingerprints and string tiles have no SQL; the tests compare with brute force.
 ORACLE_SQL = None
 
 

@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shiplens.llm.labelled_pages import PAGES, named_pages
 from shiplens.llm.langid import identify, train
 from shiplens.llm.linededup import remove_shared_lines
+from shiplens.llm.maintext import extract_main_text
+from shiplens.llm.maintext import train as train_tree
 from shiplens.llm.mixing import mix_sources
 from shiplens.llm.phrases import edited_fingerprints
 from shiplens.llm.pii import KINDS, find_personal_data, span_list
@@ -208,3 +211,8 @@ def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(span_list(F.col("base")), 256).alias("base_sha256"),
         span_list(F.concat("base", "added")).alias("spans"),
     )
+
+
+@query()
+def op5_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_main_text(load(spark, folder, "pages"), train_tree([*PAGES, *named_pages()]))
