@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiplens.llm.common import drop_rows, row_key, stage
+from shiplens.llm.common import columns_of, drop_rows, fresh, row_key, stage
 from shiplens.llm.langid import identify, train
 from shiplens.llm.linededup import remove_shared_lines
 from shiplens.llm.queries import mixture
@@ -25,9 +25,10 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # Few declared languages are wrong, so this is the smaller side of the join.
     wrong = told.filter("accepted").select("row_key", "language").distinct()
     wrong = wrong.join(docs.select(row_key().alias("row_key"), "lang").distinct(), "row_key").filter("not language <=> lang")
-    wrong = stage(wrong.select(F.col("row_key").alias("_key"), "language"))
-    named = kept.withColumn("_key", row_key()).join(wrong, "_key", "left")
-    return named.withColumn("lang", F.coalesce("language", "lang")).select(*docs.columns)
+    key, language = fresh(docs, "_key", "_language")
+    wrong = stage(wrong.groupBy(F.col("row_key").alias(key)).agg(F.min("language").alias(language)))
+    named = kept.withColumn(key, row_key()).join(wrong, key, "left")
+    return named.withColumn("lang", F.coalesce(language, "lang")).select(*columns_of(docs))
 
 
 def shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +37,7 @@ def shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     changed = F.col("lines_removed") > 0
     kept = cleaned.filter(~changed | (F.trim("text") != ""))
     n_chars = F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return kept.withColumn("n_chars", n_chars).select(*docs.columns)
+    return kept.withColumn("n_chars", n_chars).select(*columns_of(cleaned, "lines_removed"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

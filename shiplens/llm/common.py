@@ -26,12 +26,32 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     return F.xxhash64(F.col(doc_id), F.col(text).isNull(), F.col(text))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def columns_of(df: DataFrame, *but: str) -> list[Column]:
+    """All columns of ``df`` except some, whatever characters their names hold."""
+    left_out = {b.lower() for b in but}
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c.lower() not in left_out]
+
+
 def drop_rows(docs: DataFrame, dropped: DataFrame, key: Column) -> DataFrame:
     """The rows of ``docs`` whose ``key`` is not in ``dropped._key``.
 
     What a filter takes out is far less than what it keeps, so it is the smaller side.
     """
-    return docs.withColumn("_key", key).join(dropped, "_key", "left_anti").select(*docs.columns)
+    (name,) = fresh(docs, "_key")
+    held = docs.withColumn(name, key).join(dropped.withColumnRenamed("_key", name), name, "left_anti")
+    return held.select(*columns_of(docs))
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:

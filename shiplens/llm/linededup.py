@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiplens.llm.common import row_key, stage
+from shiplens.llm.common import columns_of, fresh, row_key, stage
 
 SITES = 10
 #: Standard error of a sketch is 1.04 / sqrt(2 ** 12) = 1.6 %; the band is twelve times that.
@@ -83,9 +83,11 @@ def remove_shared_lines(
         .groupBy(F.col("row_key").alias("_key"))
         .agg(F.sort_array(F.collect_set("pos")).alias("_places"))
     )
-    keyed = docs.drop("lines_removed").withColumn("_key", row_key(doc_id, text)).join(stage(places), "_key", "left")
-    cleaned = F.array_join(_without(F.split(F.col(text), "\n", -1), F.col("_places")), "\n")
-    return keyed.withColumn(text, F.when(F.col("_places").isNull(), F.col(text)).otherwise(cleaned)).select(
-        *[c for c in docs.columns if c != "lines_removed"],
-        F.coalesce(F.size("_places"), F.lit(0)).alias("lines_removed"),
+    given = docs.drop("lines_removed")
+    key, gone = fresh(given, "_key", "_places")
+    places = stage(places).withColumnsRenamed({"_key": key, "_places": gone})
+    keyed = given.withColumn(key, row_key(doc_id, text)).join(places, key, "left")
+    cleaned = F.array_join(_without(F.split(F.col(text), "\n", -1), F.col(gone)), "\n")
+    return keyed.withColumn(text, F.when(F.col(gone).isNull(), F.col(text)).otherwise(cleaned)).select(
+        *columns_of(given), F.coalesce(F.size(gone), F.lit(0)).alias("lines_removed")
     )

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shiplens.llm.common import WORD, stage, text_or_empty
+from shiplens.llm.common import WORD, columns_of, fresh, stage, text_or_empty
 
 EPOCHS = 2
 SEED = 20240607
@@ -97,7 +97,7 @@ def mix_sources(
     are taken together. A row without tokens is taken where its place falls into the prefix. A leaf
     without tokens gives nothing. Columns of ``docs`` stay, but ``epoch`` is replaced.
     """
-    names = [f"_level_{k}" for k in range(len(levels))]
+    names = fresh(docs, *[f"_level_{k}" for k in range(len(levels))])
     node = dict(zip(names, (F.coalesce(c.cast("string"), F.lit("none")) for c in levels.values())))
     named = {n: weights.get(level, {}) for n, level in zip(names, levels)}
     counted = tokens if tokens is not None else word_tokens()
@@ -131,11 +131,8 @@ def mix_sources(
     taken = leaves.join(cuts, names, "left").join(last, names, "left")
     taken = stage(taken.select(*names, "whole", F.coalesce("last", "_range").alias("last")))
     given = docs.drop("epoch")
-    chosen = given.withColumns(node).join(taken, names)
-    part = (_order_key(seed, F.col("whole") + 1, F.col(doc_id)) <= F.col("last")).cast("int")
-    times = (F.col("whole") + F.coalesce(part, F.lit(0))).cast("int")
-    return (
-        chosen.withColumn("_times", times)
-        .filter("_times > 0")
-        .select(*given.columns, F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("epoch"))
-    )
+    whole, end, times = fresh(given.withColumns(node), "_whole", "_last", "_times")
+    chosen = given.withColumns(node).join(taken.withColumnsRenamed({"whole": whole, "last": end}), names)
+    part = (_order_key(seed, F.col(whole) + 1, F.col(doc_id)) <= F.col(end)).cast("int")
+    chosen = chosen.withColumn(times, (F.col(whole) + F.coalesce(part, F.lit(0))).cast("int")).filter(F.col(times) > 0)
+    return chosen.select(*columns_of(given), F.explode(F.sequence(F.lit(1), F.col(times))).alias("epoch"))

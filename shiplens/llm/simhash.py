@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiplens.llm.common import drop_rows, row_key, slices, stage, text_or_empty
+from shiplens.llm.common import columns_of, drop_rows, fresh, row_key, slices, stage, text_or_empty
 from shiplens.llm.components import connected_components
 
 SHINGLE = 3
@@ -185,5 +185,6 @@ def drop_near_duplicates(
     out = rows.select(F.col("row_key").alias("_key")).join(best, "_key", "left_anti").distinct()
     key = row_key(doc_id, text)
     single = drop_rows(docs, stage(out.union(again)), key)
-    several = docs.withColumn("_key", key).join(again, "_key", "left_semi").dropDuplicates(["_key"])
-    return single.unionByName(several.select(*docs.columns))
+    (name,) = fresh(docs, "_key")
+    held = docs.withColumn(name, key).join(again.withColumnRenamed("_key", name), name, "left_semi")
+    return single.union(held.dropDuplicates([name]).select(*columns_of(docs)))

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shiplens.llm.common import stage
+from shiplens.llm.common import columns_of, fresh, stage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SALTS = 32
@@ -75,8 +75,8 @@ def judge_urls(urls: DataFrame, rules: DataFrame, url: str = "url", otherwise: s
     results = ("host", "path", "rule", "verdict")
     events = stage(rule_events(rules))
     deepest = events.agg(F.max(F.size(F.split("site", r"\.")))).first()[0] or 0
-    given = urls.drop(*[c for c in results if c in urls.columns])
-    given = given.withColumns({"host": url_host(F.col(url)), "path": url_path(F.col(url))})
+    parts = {"host": url_host(F.col(url)), "path": url_path(F.col(url))}
+    given = urls.withColumns(parts).select(*columns_of(urls, *results), "host", "path")
     distinct = given.select("host", "path").distinct()
     labels = distinct.withColumn("labels", backwards(F.col("host")))
     # Only as many enclosing domains as the deepest rule has labels.
@@ -111,9 +111,10 @@ def judge_urls(urls: DataFrame, rules: DataFrame, url: str = "url", otherwise: s
     best = tops.groupBy("point.host", "point.path").agg(
         F.max_by("state.rule", F.struct(F.length("state.rule.rule"), F.col("point.depth"))).alias("_best")
     )
-    judged = given.join(stage(best), ["host", "path"], "left")
+    (found,) = fresh(given, "_best")
+    judged = given.join(stage(best).withColumnRenamed("_best", found), ["host", "path"], "left")
     return judged.select(
-        *[c for c in given.columns],
-        F.col("_best.rule").alias("rule"),
-        F.coalesce("_best.verdict", F.lit(otherwise)).alias("verdict"),
+        *columns_of(given),
+        F.col(found)["rule"].alias("rule"),
+        F.coalesce(F.col(found)["verdict"], F.lit(otherwise)).alias("verdict"),
     )
