@@ -68,7 +68,7 @@ def test_stages_on_odd_documents(spark, odd, clashing, none):
 
 
 def test_languages_stage_drops_what_it_cannot_tell(spark, given):
-    junk = spark.createDataFrame([(70_001, "ђжшчћ дђжшчћ " * 60, "en", "src1", 1), (70_002, "12 34 --", "en", "src1", 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    junk = spark.createDataFrame([(70_001, "ђжшчћ дђжшчћ " * 60, None, "src1", 1), (70_002, "12 34 --", "en", "src1", 1)], "doc_id long, text string, lang string, source string, n_chars long")
     wrong = given.filter("lang = 'de'").limit(1).withColumns({"doc_id": F.lit(70_003).cast("long"), "lang": F.lit("fr")})
     out = stage_of("languages")(spark, given.unionByName(junk).unionByName(wrong), FOLDER)
     ids = {r.doc_id: r.lang for r in out.collect()}
