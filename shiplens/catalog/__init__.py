@@ -5,6 +5,7 @@ from shiplens.catalog import (  # noqa: F401
     forecasts,
     graphs,
     monitoring,
+    nullkeys,
     paths,
     reports,
     results,

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiplens.lineage import cut_lineage
+from shiplens.operators.joins import null_safe_join
 
 
 def ratio(num: Column, den: Column) -> Column:
@@ -61,7 +62,7 @@ def cumulative_counts(
             *part, b, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")
         )
         part = [*part, b]
-        cur = cur.join(offsets, part).withColumn("below", F.col("below") + F.col("_off")).drop("_off")
+        cur = null_safe_join(cur, offsets, part, "inner").withColumn("below", F.col("below") + F.col("_off")).drop("_off")
         if fullest <= limit:
             break
         cur = cut_lineage(cur)
@@ -72,7 +73,7 @@ def cumulative_counts(
 
 def _join(left: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
     if keys:
-        return left.join(small, keys)
+        return null_safe_join(left, small, keys, "inner")
     one = small.select(F.struct(*small.columns).alias("s")).scalar()
     return left.select("*", *[one[c].alias(c) for c in small.columns])
 
@@ -143,9 +144,12 @@ def mode_per_group(df: DataFrame, keys: list[str], value: str, name: str) -> Dat
 
 
 def share_of_total(df: DataFrame, group: list[str], count: str, name: str, digits: int) -> DataFrame:
-    """Adds the group total and each row's percent of it (joined, not windowed)."""
+    """Adds the group total and each row's percent of it (joined, not windowed).
+
+    A null in the group is a value like others.
+    """
     totals = df.groupBy(*group).agg(F.sum(count).alias("total"))
-    return df.join(totals, group).withColumn(
+    return null_safe_join(df, totals, group, "inner").withColumn(
         name, rounded(ratio(F.col(count), F.col("total")) * 100, digits)
     )
 

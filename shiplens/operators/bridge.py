@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiplens.functions.stats import rounded
+from shiplens.operators.joins import null_safe_join
 
 
 def bridge_weights(mappings: DataFrame, left: str, right: str, digits: int = 4) -> DataFrame:
     """Distinct pairs with weight 1/n over the right-hand entries of each left key."""
     pairs = mappings.select(left, right).distinct()
     n = pairs.groupBy(left).agg(F.count(F.lit(1)).alias("n_components"))
-    return pairs.join(n, left).withColumn("weight", rounded(1 / F.col("n_components"), digits))
+    return null_safe_join(pairs, n, [left], "inner").withColumn("weight", rounded(1 / F.col("n_components"), digits))
 
 
 def build_bridge(

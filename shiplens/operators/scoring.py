@@ -15,6 +15,7 @@ from shiplens.functions.stats import (
     rounded,
 )
 from shiplens.operators.bridge import top_per_group
+from shiplens.operators.joins import null_safe_join
 
 # Window weights, signal weights and tier limits of the score.
 DECAY = {30: 0.50, 90: 0.30, 365: 0.20}
@@ -185,7 +186,7 @@ def complexity_by_component(
     mix = mode_per_group(joined, [component], "language_mix", "language_mix")
     ranked = with_percent_rank(stats, "_ccn", "complexity_risk_pct", digits=1)
     return (
-        ranked.join(mix, component)
+        null_safe_join(ranked, mix, [component])
         .withColumn("avg_cyclomatic", rounded("_ccn", 1))
         .drop("_ccn")
     )

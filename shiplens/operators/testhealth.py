@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shiplens.functions.stats import ratio, rounded
 from shiplens.lineage import cut_lineage
-from shiplens.operators.joins import salted_join
+from shiplens.operators.joins import null_safe_join, salted_join
 from shiplens.operators.overlap import shared_unit_pairs
 
 # Error texts of infrastructure failures, matched without case.
@@ -80,7 +80,7 @@ def failure_and_cofailure_rate(
     failing = results.where(failed).select(unit, component).distinct()
     per_unit = failing.groupBy(unit).agg(F.count(F.lit(1)).alias("_n"))
     co = (
-        failing.join(per_unit, unit)
+        null_safe_join(failing, per_unit, [unit], "inner")
         .groupBy(component)
         .agg(
             F.count(F.lit(1)).alias("builds_with_failures"),
@@ -89,7 +89,7 @@ def failure_and_cofailure_rate(
     )
     zero = F.lit(0).cast("long")
     return (
-        stats.join(co, component, "left")
+        null_safe_join(stats, co, [component])
         .withColumns(
             {
                 "failure_rate": rounded(ratio(F.col("failure_count"), F.col("test_run_count")), 4),
@@ -113,7 +113,7 @@ def to_module_grain(
     stats: DataFrame, crosswalk: DataFrame, component: str, module: str
 ) -> DataFrame:
     """Component statistics per module: sums, ratio of sums, mean of scores."""
-    joined = stats.join(crosswalk.select(component, module).distinct(), component)
+    joined = null_safe_join(stats, crosswalk.select(component, module).distinct(), [component], "inner")
     return joined.groupBy(module).agg(
         F.min(component).alias("component_name"),
         F.sum("test_run_count").alias("test_run_count"),
@@ -310,7 +310,7 @@ def item_quality_windowed(
         .groupBy(*keys)
         .agg(F.count_distinct(issue).alias("distinct_bugs_linked"))
     )
-    stats = stats.join(issues, keys, "left").select(
+    stats = null_safe_join(stats, issues, keys).select(
         *keys,
         *[F.col(f"_first.{c}").alias(c) for c in attributes],
         "total_builds",
@@ -330,7 +330,7 @@ def item_quality_windowed(
         ),
     )
     bad = low_pass_windows(scored, routine, window, min_pass_rate)
-    return scored.join(bad.select(routine, window), [routine, window], "left_anti")
+    return null_safe_join(scored, bad.select(routine, window), [routine, window], "left_anti")
 
 
 def low_pass_windows(

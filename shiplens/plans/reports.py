@@ -17,6 +17,7 @@ from shiplens.functions.stats import (
 )
 from shiplens.lineage import cut_lineage
 from shiplens.operators.bridge import top_with_ties
+from shiplens.operators.joins import null_safe_join
 from shiplens.operators.periods import months_in_field
 
 HIST_WEIGHTS = (0.6, 0.4)
@@ -200,7 +201,7 @@ def discovery_summary(timing: DataFrame, quarter: str) -> DataFrame:
         rounded(F.avg("days_diff"), 1).alias("avg_days_diff"),
     )
     median = percentile_of_counts(timing, [quarter], "days_diff", 0.5, "median_days_diff")
-    return stats.join(median, quarter)
+    return null_safe_join(stats, median, [quarter])
 
 
 def min_max_scaled(df: DataFrame, columns: list[str]) -> DataFrame:
