@@ -85,7 +85,9 @@ def remove_shared_lines(
     )
     given = docs.drop("lines_removed")
     key, gone = fresh(given, "_key", "_places")
-    places = stage(places).withColumnsRenamed({"_key": key, "_places": gone})
+    # A merge at every size: the places of a large corpus are no smaller part of it than those of a
+    # small one, so a broadcast that fits today is no plan for tomorrow.
+    places = stage(places).withColumnsRenamed({"_key": key, "_places": gone}).hint("merge")
     keyed = given.withColumn(key, row_key(doc_id, text)).join(places, key, "left")
     cleaned = F.array_join(_without(F.split(F.col(text), "\n", -1), F.col(gone)), "\n")
     return keyed.withColumn(text, F.when(F.col(gone).isNull(), F.col(text)).otherwise(cleaned)).select(
