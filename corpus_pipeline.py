@@ -20,7 +20,8 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if model is None:
         return docs
     told = stage(identify(docs, model))
-    out = told.filter("not accepted").select(F.col("row_key").alias("_key")).distinct()
+    # A table of its own, whose size Spark knows before it plans the join with the texts.
+    out = stage(told.filter("not accepted").select(F.col("row_key").alias("_key")).distinct())
     kept = drop_rows(docs, out, row_key())
     # Few declared languages are wrong, so this is the smaller side of the join.
     wrong = told.filter("accepted").select("row_key", "language").distinct()
