@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,10 +15,32 @@ from shiplens.plans import forecast, reports
 
 AS_OF = "2001-12-31"
 FORECAST_QUARTER = "2001.Q2"
-TREES = 20
+#: Trees of a registered query; the library's default is 500, which a walk over 23 quarters of a
+#: few hundred rows would spend minutes of job start-up on.
+TREES = 40
 
+_D = "::DECIMAL(28,10)"
+_ROWS = (
+    _FACTS
+    + f""", q AS (SELECT component, team, quarter, internal AS actual, customer AS stories, backend, frontend,
+        (quarter LIKE '%Q1')::INT AS is_major, (quarter LIKE '%Q4')::INT AS is_lts,
+        make_date(quarter[1:4]::INT, quarter[7:7]::INT * 3, 1) AS release_date FROM facts),
+    mq AS (SELECT *, round((date_diff('day', release_date, DATE '{AS_OF}') / 30.0){_D})::INT AS months FROM q),
+    used AS (SELECT DISTINCT quarter FROM mq WHERE quarter = '{FORECAST_QUARTER}' OR months >= 9),
+    j AS (SELECT mq.*, legacy_internal_avg AS legacy_raw FROM mq LEFT JOIN base USING (component)),
+    fm AS (SELECT median(legacy_raw) AS v FROM j WHERE quarter IN (FROM used)),
+    x AS (SELECT component, quarter, actual, stories, months, legacy_raw, coalesce(legacy_raw, v) AS legacy_avg,
+        (legacy_raw IS NOT NULL)::INT AS has_legacy, ln(greatest(months, 1)) AS log_months, ln(1 + backend) AS log_backend,
+        ln(1 + frontend) AS log_frontend, is_major, is_lts, is_major * stories AS major_stories FROM j, fm)
+    """
+)
 
-def _rows(t: Tables) -> DataFrame:
+
+def _mature(rows: DataFrame) -> list[str]:
+    return forecast.mature_quarters(rows, FORECAST_QUARTER)
+
+
+def _facts(t: Tables) -> tuple[DataFrame, DataFrame]:
     base = facts(t)
     means = reports.baseline(base, "component", "quarter", {"internal": "legacy_avg"}, "1996")
     start = F.to_date(
@@ -33,20 +56,36 @@ def _rows(t: Tables) -> DataFrame:
         start.alias("release_date"),
         months_in_field(start, AS_OF).alias("months"),
     )
-    return cut_lineage(forecast.features(rows, means))
+    return cut_lineage(rows), means
 
 
-def _quarters(rows: DataFrame) -> list[str]:
-    mature = forecast.mature_quarters(rows, FORECAST_QUARTER)
-    return mature[-5:]
+def _rows(t: Tables) -> DataFrame:
+    rows, means = _facts(t)
+    return cut_lineage(forecast.features(rows, means, [*_mature(rows), FORECAST_QUARTER]))
 
 
 def _split(t: Tables):
     rows = _rows(t)
-    q = _quarters(rows)
+    q = _mature(rows)
     return rows.where(F.col("quarter").isin(*q[:-1])), rows.where(F.col("quarter") == q[-1])
 
 
+@query(
+    _ROWS
+    + f"""SELECT component, quarter, actual::DOUBLE AS actual, stories::DOUBLE AS stories, months::DOUBLE AS months,
+        round(legacy_avg{_D}, 6)::DOUBLE AS legacy_avg, has_legacy::DOUBLE AS has_legacy, round(log_months{_D}, 6)::DOUBLE AS log_months,
+        round(log_backend{_D}, 6)::DOUBLE AS log_backend, round(log_frontend{_D}, 6)::DOUBLE AS log_frontend,
+        is_major::DOUBLE AS is_major, is_lts::DOUBLE AS is_lts, major_stories::DOUBLE AS major_stories FROM x"""
+)
+def forecast_features(t):
+    rows = _rows(t)
+    logs = ("legacy_avg", "log_months", "log_backend", "log_frontend")
+    return rows.select(
+        "component", "quarter", "actual", "stories", "months", "has_legacy", "is_major", "is_lts",
+        F.col("major_stories").cast("double").alias("major_stories"), *[rounded(c, 6).alias(c) for c in logs],
+    )
+
+
 def _fitted(t: Tables, name: str) -> DataFrame:
     train, valid = _split(t)
     model = forecast.fit_all(train, TREES, names=[name])[0]
@@ -70,22 +109,112 @@ def forest_forecast(t):
     return _fitted(t, "Random Forest")
 
 
+_EQUATIONS = "SELECT unnest(['intercept', " + ", ".join(f"'{c}'" for c in forecast.GLM_TERMS) + "]) AS term, 0.0::DOUBLE AS share"
+
+
+def _equations(t: Tables, name: str) -> DataFrame:
+    """What is left of each score equation, as a share of the sum of its absolute terms.
+
+    At the maximum of the likelihood the weighted residuals times a term add up to zero.
+    """
+    train, _ = _split(t)
+    fitted = forecast.fit_all(train, names=[name])[0]
+    fitted.cap = float("inf")
+    theta = getattr(fitted.model, "theta", np.inf)
+    rows = fitted.predict(train).withColumn("intercept", F.lit(1.0))
+    part = (F.col("actual") - F.col("prediction")) / (1 + F.col("prediction") / F.lit(float(theta)))
+    terms = ["intercept", *forecast.GLM_TERMS]
+    sums = rows.agg(*[F.struct(F.sum(F.col(c) * part).alias("s"), F.sum(F.abs(F.col(c) * part)).alias("a")).alias(c) for c in terms])
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("term"), F.col(c)["s"].alias("s"), F.col(c)["a"].alias("a")) for c in terms]))
+    share = F.abs(rounded(F.col("p.s") / F.greatest(F.col("p.a"), F.lit(1e-9)), 3))
+    return sums.select(pairs.alias("p")).select("p.term", share.alias("share"))
+
+
+@query(_EQUATIONS)
+def negbin_score_equations(t):
+    return _equations(t, "NegBin")
+
+
+@query(_EQUATIONS)
+def poisson_score_equations(t):
+    return _equations(t, "Quasi-Poisson")
+
+
+@query(
+    _ROWS
+    + """, mm AS (SELECT quarter, row_number() OVER (ORDER BY release_date) - 1 AS i, n FROM
+        (SELECT quarter, release_date, count(*) AS n FROM mq WHERE months >= 9 AND quarter <> '2001.Q2' GROUP BY 1, 2)),
+    c AS (SELECT quarter, i, sum(n) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM mm)
+    SELECT c.quarter, component, actual::DOUBLE AS actual, i::INT AS n_train_quarters, before::BIGINT AS n_train_rows
+    FROM c JOIN x USING (quarter) WHERE i >= 2 AND before >= 10"""
+)
+def walk_forward_folds(t):
+    """Which rows are predicted from how many earlier ones; the cheap model stands for all."""
+    rows = _rows(t)
+    wf = forecast.walk_forward(rows, _mature(rows), prefer=("Quasi-Poisson", "Random Forest"), trees=10)
+    return wf.select("quarter", "component", "actual", "n_train_quarters", F.col("n_train_rows").cast("long").alias("n_train_rows"))
+
+
 @query()
 def walk_forward(t):
     rows = _rows(t)
-    return forecast.walk_forward(rows, _quarters(rows), TREES)
+    return forecast.walk_forward(rows, _mature(rows), TREES).drop("n_train_quarters", "n_train_rows")
 
 
 @query()
 def defect_forecast(t):
     rows = _rows(t)
-    out = forecast.defect_forecast(rows, _quarters(rows), FORECAST_QUARTER, trees=TREES, forward=False)
+    out = forecast.defect_forecast(rows, _mature(rows), FORECAST_QUARTER, trees=TREES)
     return out.select(
         "component", "quarter", "actual", "predicted", "predicted_pct", "risk_level",
         "model_name", "model_r2", "model_cal", "model_mae", "validated_on",
     )
 
 
+def _bands(c: str) -> str:
+    return f"CASE WHEN {c} <= 20 THEN 'Very Low' WHEN {c} <= 40 THEN 'Low' WHEN {c} <= 60 THEN 'Medium' WHEN {c} <= 80 THEN 'High' WHEN {c} > 80 THEN 'Very High' END"
+
+
+@query(
+    _ROWS
+    + f""", given AS (SELECT component, quarter, actual, stories * 0.37 + months * 0.011 AS prediction, stories % 83 AS hist FROM x),
+    main AS (SELECT *, round((percent_rank() OVER (ORDER BY prediction) * 100){_D}, 1)::DOUBLE AS pct FROM given WHERE quarter = '{FORECAST_QUARTER}'),
+    both_ AS (SELECT *, round(((hist + pct) / 2){_D}, 9)::DOUBLE AS b FROM main),
+    ranked AS (SELECT component, quarter, round(prediction{_D}, 2)::DOUBLE AS predicted, pct, round(b{_D}, 1)::DOUBLE AS score,
+        percent_rank() OVER (ORDER BY b) * 100 AS overall FROM both_),
+    wf AS (SELECT component, quarter, round(prediction{_D}, 2)::DOUBLE AS predicted FROM given WHERE quarter LIKE '1998%'),
+    merged AS (SELECT g.component, g.quarter, g.actual, g.hist, coalesce(r.predicted, wf.predicted) AS predicted, r.pct, r.score, r.overall
+        FROM given g LEFT JOIN ranked r USING (component, quarter) LEFT JOIN wf USING (component, quarter)),
+    p AS (SELECT *, coalesce(pct, round((percent_rank() OVER (ORDER BY coalesce(predicted, actual)) * 100){_D}, 1)::DOUBLE) AS predicted_pct FROM merged),
+    s AS (SELECT *, coalesce(score, round(((hist + predicted_pct) / 2){_D}, 1)::DOUBLE) AS risk_score FROM p),
+    o AS (SELECT *, coalesce(overall, percent_rank() OVER (ORDER BY risk_score) * 100) AS band FROM s)
+    SELECT component, quarter, predicted, predicted_pct, {_bands("predicted_pct")} AS risk_level, risk_score, {_bands("band")} AS overall_risk FROM o"""
+)
+def forecast_ranks(t):
+    """Ranks and bands from given predictions, with the forecast quarter in a frame of its own."""
+    given = _rows(t).select(
+        "component", "quarter", "actual", (F.col("stories") * 0.37 + F.col("months") * 0.011).alias("prediction"), (F.col("stories") % 83).alias("hist")
+    )
+    given = cut_lineage(given)
+    main = given.where(F.col("quarter") == FORECAST_QUARTER).drop("actual")
+    wf = given.where(F.col("quarter").startswith("1998")).select("component", "quarter", rounded("prediction", 2).alias("predicted_wf"))
+    ranked = forecast.ranked_forecast(main, "hist")
+    out = forecast.merge_forecast(given.drop("prediction"), ranked, wf, FORECAST_QUARTER, "hist")
+    return out.select("component", "quarter", "predicted", "predicted_pct", "risk_level", "risk_score", "overall_risk")
+
+
+@query(
+    _ROWS
+    + f"""SELECT quarter, round((CASE WHEN abs((avg(actual) - avg(stories)) / avg(actual) * 100) > 20 THEN avg(actual) / avg(stories) ELSE 1 END){_D}, 6)::DOUBLE AS factor
+    FROM x WHERE quarter IN ('1998.Q1', '1999.Q4', '2000.Q2') GROUP BY quarter"""
+)
+def calibration_factors(t):
+    """The calibration of given predictions for three quarters."""
+    rows = _rows(t).withColumn("prediction", F.col("stories"))
+    parts = [(q, forecast.calibration_factor(rows.where(F.col("quarter") == q))) for q in ("1998.Q1", "1999.Q4", "2000.Q2")]
+    return t.spark.createDataFrame(parts, "quarter string, factor double").withColumn("factor", rounded("factor", 6))
+
+
 @query(
     _FACTS
     + """, z AS (SELECT quarter, internal AS a, customer + 1 AS p FROM facts),

@@ -211,3 +211,46 @@ def first_team_component(t):
         "page_id",
         reports.first_team_component(links, ["the", "of", "and", "is"]).alias("first_component"),
     )
+
+
+_KINDS = """
+WITH pg AS (SELECT page_id, regexp_extract(url, '^https?://([^/]+)', 1) AS host, page_id % 8 AS k FROM pages),
+f AS (SELECT page_id, CASE k WHEN 0 THEN 'modules/apps/' || host || '/src/test/A.java' WHEN 1 THEN 'modules/dxp/apps/' || host || '/FooTest.java'
+    WHEN 2 THEN host || '/generated/B.java' WHEN 3 THEN host || '/BaseThingImpl.java' WHEN 4 THEN host || '/add.spec.ts'
+    WHEN 5 THEN host || '/style.css' WHEN 6 THEN 'modules/apps/' || host || '/Page.jsp' ELSE host || '/BasethingImpl.java' END AS path FROM pg)
+"""
+
+
+def _kinds(t: Tables) -> DataFrame:
+    host, k = F.regexp_extract("url", r"^https?://([^/]+)", 1), F.col("page_id") % 8
+    shapes = ["modules/apps/%s/src/test/A.java", "modules/dxp/apps/%s/FooTest.java", "%s/generated/B.java", "%s/BaseThingImpl.java", "%s/add.spec.ts", "%s/style.css", "modules/apps/%s/Page.jsp"]
+    path = F.format_string("%s/BasethingImpl.java", host)
+    for n, shape in enumerate(shapes):
+        path = F.when(k == n, F.format_string(shape, host)).otherwise(path)
+    return t.pages.select("page_id", path.alias("path"))
+
+
+@query(
+    _KINDS
+    + """SELECT page_id, path FROM f WHERE NOT regexp_matches(path,
+        'Test\\.java$|TestCase\\.java$|TestUtil\\.java$|/test/|/testIntegration/|/generated-sources/|/generated/')
+    AND NOT regexp_matches(regexp_extract(path, '[^/]+$'), '^Base[A-Z].*Impl\\.java$')"""
+)
+def scored_paths(t):
+    return _kinds(t).where(P.is_scored(F.col("path")))
+
+
+@query(
+    _KINDS
+    + """SELECT page_id, CASE WHEN regexp_matches(path, 'Test\\.java$|TestCase\\.java$|\\.spec\\.ts$|\\.test\\.js$|\\.test\\.ts$|/test/|/testIntegration/') THEN 'test'
+        WHEN regexp_matches(path, '\\.java$|\\.ts$|\\.tsx$|\\.js$|\\.jsp$|\\.jsx$') THEN 'code' ELSE 'other' END AS path_kind FROM f"""
+)
+def changed_path_kinds(t):
+    from shiplens.operators.scoring import split_changed_paths
+
+    return split_changed_paths(_kinds(t), "path").select("page_id", "path_kind")
+
+
+@query(_KINDS + "SELECT page_id, regexp_replace(path, '^modules/(dxp/)?apps/', '') AS key FROM f")
+def crosswalk_keys(t):
+    return _kinds(t).select("page_id", P.normalise_crosswalk_key(F.col("path")).alias("key"))

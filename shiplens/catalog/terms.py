@@ -64,7 +64,7 @@ def _topic_tables(t):
     docs = t.documents.withColumn(
         "side", F.when(F.col("lang") == "en", "customer").otherwise("internal")
     )
-    return terms.topics(docs, "doc_id", "text", "side", "customer", "internal", k=5, max_iter=5)
+    return terms.topics(docs, "doc_id", "text", "side", "customer", "internal", k=10, max_iter=5)
 
 
 @query()
@@ -75,3 +75,28 @@ def topic_terms(t):
 @query()
 def topic_divergence(t):
     return _topic_tables(t)["divergence"]
+
+
+@query("SELECT side, 10::BIGINT AS n_topics, 1.0::DOUBLE AS weight FROM (VALUES ('customer'), ('internal')) AS t(side)")
+def topic_shares(t):
+    """Mean topic weights of each source: ten of them, adding up to one."""
+    by = _topic_tables(t)["by_source"].groupBy("side")
+    return by.agg(F.count("topic").alias("n_topics"), F.round(F.sum("avg_gamma"), 4).alias("weight"))
+
+
+@query(
+    f"""
+WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS word FROM documents),
+k AS (SELECT doc_id, word FROM w WHERE {_keep('word')}),
+v AS (SELECT word FROM k GROUP BY word HAVING count(*) >= {terms.MIN_CORPUS_COUNT})
+SELECT doc_id, count(DISTINCT word) AS n_terms, count(*)::DOUBLE AS n_words FROM k WHERE word IN (FROM v) GROUP BY doc_id"""
+)
+def term_matrix_rows(t):
+    """The document-term matrix by its rows: terms and words of each document that has any."""
+    from pyspark.ml.functions import vector_to_array
+
+    matrix, _ = terms.term_matrix(t.documents, "doc_id", "text")
+    counts = F.filter(vector_to_array("features"), lambda x: x > 0)
+    return matrix.select(
+        "doc_id", F.size(counts).cast("long").alias("n_terms"), F.aggregate(counts, F.lit(0.0), lambda a, x: a + x).alias("n_words")
+    )

@@ -71,8 +71,9 @@ def _results(t: Tables) -> DataFrame:
 
 def _regressions(t: Tables) -> DataFrame:
     rows = _results(t)
-    base = rows.where(F.col("y") == 1998).drop("y")
-    target = rows.where(F.col("y") == 1999).drop("y")
+    # Ranges of the day itself, which reach the scan.
+    base = rows.where(F.col("d").between("1998-01-01", "1998-12-31")).drop("y")
+    target = rows.where(F.col("d").between("1999-01-01", "1999-12-31")).drop("y")
     out = triage.regressions(base, target, ["case_id"], "status", TIEBREAK)
     return out.select(
         "case_id",

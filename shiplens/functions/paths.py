@@ -64,6 +64,11 @@ def base_name(path: Column) -> Column:
     return F.regexp_extract(path, r"[^/]+$", 0)
 
 
+def is_scored(path: Column) -> Column:
+    """Whether a file takes part in risk scores: no test, no generated source, no generated base class."""
+    return ~path.rlike(UNSCORED_PATHS) & ~base_name(path).rlike(UNSCORED_BASENAMES)
+
+
 def extension(path: Column) -> Column:
     return F.regexp_extract(path, r"\.([A-Za-z0-9]+)$", 1)
 
@@ -239,22 +244,10 @@ def name_fragments(name: Column, generic=GENERIC_PACKAGES) -> Column:
     return F.array_distinct(F.filter(found, lambda x: x.isNotNull() & (x != "")))
 
 
-def short_test_name(name: Column) -> Column:
-    """Last two dotted parts of a long test name."""
-    words = F.split(name, r"\.")
-    return (
-        F.when(name.contains("LocalFile."), F.regexp_replace(name, r"LocalFile\.", ""))
-        .when(
-            name.contains(".") & ~name.contains(">") & (F.size(words) > 2),
-            F.array_join(F.slice(words, F.size(words) - 1, 2), "."),
-        )
-        .otherwise(name)
-    )
-
-
 def short_name_key(name: Column) -> Column:
     """Lower-case words of a module or component name, common suffixes removed."""
     x = F.lower(name)
+    # Fixed value: the suffixes.
     x = F.regexp_replace(x, r"-impl$|-api$|-service$|-web$|-test$|-client$|-spi$|-core$|-util$", "")
     x = F.regexp_replace(x, r"[-_>]", " ")
     x = F.regexp_replace(x, r"[^a-z0-9 ]", "")

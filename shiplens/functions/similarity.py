@@ -46,11 +46,6 @@ def jaro_winkler(a: str, b: str) -> float:
     return j + common * PREFIX_SCALE * (1 - j)
 
 
-@F.pandas_udf(T.DoubleType())
-def jaro_winkler_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else jaro_winkler(x, y) for x, y in zip(a, b)])
-
-
 SCORED = T.StructType(
     [
         T.StructField("score", T.DoubleType()),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -11,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder, from ``spark.checkpoint.dir``.
 
-    A folder of our own is used only where the session names none (tests, one machine).
+    A folder of our own is used only where the session names none and runs in one process (tests,
+    one machine); it goes when the process ends. On a cluster that is an error, as no folder of one
+    machine is seen by the others.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -21,7 +25,11 @@ def shared_folder(spark: SparkSession) -> str:
             sc.setCheckpointDir(named)
         return named
     if current is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        own = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        sc.setCheckpointDir(own)
         current = sc.getCheckpointDir()
     return current
 

@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import PySparkException
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiplens.functions.stats import error_metrics, ratio, risk_level, with_percent_rank, rounded
-from shiplens.plans.reports import baseline_join
+from shiplens.lineage import cut_lineage
+from shiplens.functions.stats import error_metrics, exact_percentile, ratio, risk_level, rounded, with_percent_rank
 
 GLM_TERMS = ["legacy_avg", "stories", "log_backend", "log_frontend", "is_major", "is_lts", "has_legacy", "major_stories"]
 FOREST_TERMS = ["months", "legacy_avg", "stories", "backend", "frontend", "is_major", "is_lts", "has_legacy"]
@@ -23,11 +25,16 @@ BIAS_LIMIT = 20.0
 THETA_MAX = 1e6  # from here on the model is a Poisson regression
 
 
-def features(facts: DataFrame, base: DataFrame) -> DataFrame:
+def features(facts: DataFrame, base: DataFrame, quarters: list[str] | None = None) -> DataFrame:
     """Model columns from facts with component, quarter, months, stories, backend, frontend,
-    is_major, is_lts and actual; the baseline is imputed by its median and flagged."""
-    rows = baseline_join(facts, base, "component", ["legacy_avg"], "has_legacy")
-    return rows.withColumns(
+    is_major, is_lts and actual.
+
+    A missing baseline is flagged and imputed by the median over the component x quarter rows of
+    ``quarters``, the ones in use (all if None).
+    """
+    rows = facts.join(base.select("component", F.col("legacy_avg").cast("double").alias("legacy_raw")), "component", "left")
+    used = rows if quarters is None else rows.where(F.col("quarter").isin(*quarters))
+    return impute_baseline(rows, used).withColumns(
         {
             "log_months": F.log(F.greatest(F.col("months").cast("double"), F.lit(1.0))),
             "log_backend": F.log1p("backend"),
@@ -38,6 +45,17 @@ def features(facts: DataFrame, base: DataFrame) -> DataFrame:
     )
 
 
+def impute_baseline(rows: DataFrame, used: DataFrame) -> DataFrame:
+    """``legacy_avg`` and ``has_legacy`` of ``rows`` by the median of ``legacy_raw`` over ``used``."""
+    median = exact_percentile(used, [], "legacy_raw", 0.5, "q").scalar()
+    return rows.withColumns(
+        {
+            "legacy_avg": F.coalesce("legacy_raw", median),
+            "has_legacy": F.col("legacy_raw").isNotNull().cast("double"),
+        }
+    )
+
+
 def mature_quarters(releases: DataFrame, forecast_quarter: str, min_months: int = MIN_MATURE_MONTHS) -> list[str]:
     """Labels of mature quarters by date: all but the last train, the last validates."""
     rows = (
@@ -62,6 +80,7 @@ class LogLinear:
     coef: np.ndarray
     theta: float = math.inf
     iterations: int = 0
+    converged: bool = True
 
     def predict(self, df: DataFrame, offset: str) -> DataFrame:
         eta = F.lit(float(self.coef[0])) + F.col(offset)
@@ -70,6 +89,20 @@ class LogLinear:
         return df.withColumn("prediction", F.exp(eta))
 
 
+def _psi(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Digamma and trigamma of positive numbers: up to six by recurrence, then the asymptotic series."""
+    x = np.array(x, dtype=float)
+    first, second = np.zeros_like(x), np.zeros_like(x)
+    while (low := x < 6).any():
+        first[low] -= 1 / x[low]
+        second[low] += 1 / x[low] ** 2
+        x[low] += 1
+    z = 1 / x**2
+    first += np.log(x) - 0.5 / x - z * (1 / 12 - z * (1 / 120 - z * (1 / 252 - z / 240)))
+    second += 1 / x + z / 2 + z / x * (1 / 6 - z * (1 / 30 - z * (1 / 42 - z / 30)))
+    return first, second
+
+
 def _sums(rows: DataFrame, terms: list[str], target: str, offset: str, coef, theta: float):
     """One distributed pass at the current estimate: X'WX, X'Wz, the dispersion's score and
     slope, the Pearson sum and the row count.
@@ -91,10 +124,9 @@ def _sums(rows: DataFrame, terms: list[str], target: str, offset: str, coef, the
             z = eta - off + (y - mu) / mu
             gram = (x * w[:, None]).T @ x
             right = x.T @ (w * z)
-            # sum of 1/(theta + j) for j below y: differences of digamma at whole numbers.
-            steps = 1 / (theta + np.arange(int(y.max()) + 1 if len(y) else 1))
-            up = np.concatenate([[0.0], np.cumsum(steps)])[y.astype(int)]
-            up2 = np.concatenate([[0.0], np.cumsum(steps**2)])[y.astype(int)]
+            at, at2 = _psi(y + theta)
+            low, low2 = _psi(np.array([theta]))
+            up, up2 = at - low, low2 - at2
             score = up + np.log(theta) + 1 - np.log(theta + mu) - (y + theta) / (theta + mu)
             slope = -up2 + 1 / theta - 2 / (theta + mu) + (y + theta) / (theta + mu) ** 2
             part = np.concatenate(
@@ -110,6 +142,8 @@ def _sums(rows: DataFrame, terms: list[str], target: str, offset: str, coef, the
 
     collected = rows.mapInPandas(partial, "i int, v double").groupBy("i").agg(F.sum("v").alias("v"))
     flat = np.array([r["v"] for r in sorted(collected.collect())])
+    if not len(flat):
+        raise ValueError("no complete row to fit on")
     p = len(coef)
     cut = p * (p + 1) // 2
     gram = np.zeros((p, p))
@@ -138,7 +172,7 @@ def fit_negative_binomial(
     mean = first["m"]
     coef = np.zeros(len(terms) + 1)
     coef[0] = math.log(max(mean or 0.0, 1e-6))
-    theta, done = THETA_MAX, 0
+    theta, done, converged = THETA_MAX, 0, False
     for done in range(1, max_iter + 1):
         gram, right, score, slope, pearson, n = _sums(rows, terms, target, offset, coef, theta)
         # Constant or collinear terms leave the system singular: least squares drops them.
@@ -156,10 +190,11 @@ def fit_negative_binomial(
         settled = done > 4 and abs(theta_new - theta) <= tol * theta
         theta = theta_new
         if change < tol and (settled or theta >= THETA_MAX):
+            converged = True
             break
     kept.unpersist()
     coef = np.concatenate([coef[:1], coef[1:] / size])
-    return LogLinear(terms, coef, float(theta), done)
+    return LogLinear(terms, coef, float(theta), done, converged)
 
 
 def fit_poisson(df: DataFrame, terms: list[str], target: str, offset: str):
@@ -173,10 +208,12 @@ def fit_poisson(df: DataFrame, terms: list[str], target: str, offset: str):
 
 
 def fit_forest(df: DataFrame, terms: list[str], target: str, trees: int = 500, seed: int = 1234):
-    rows = _vectors(df, terms)
+    """A third of the terms tried at each split, leaves of five rows, no other bound on depth than
+    the learner's own of 30."""
     return RandomForestRegressor(
-        numTrees=trees, seed=seed, labelCol=target, featuresCol="_features", maxDepth=8
-    ).fit(rows)
+        numTrees=trees, seed=seed, labelCol=target, featuresCol="_features", maxDepth=30,
+        minInstancesPerNode=5, featureSubsetStrategy="onethird",
+    ).fit(_vectors(df, terms))
 
 
 def _vectors(df: DataFrame, terms: list[str]) -> DataFrame:
@@ -203,7 +240,7 @@ class Fitted:
 
 
 def fit_all(train: DataFrame, trees: int = 500, seed: int = 1234, names=None) -> list[Fitted]:
-    """The three candidate models; a model that cannot be fitted is left out."""
+    """The three candidate models; one that cannot be fitted or has not converged is left out."""
     train = train.cache()
     cap = CAP_FACTOR * float(train.agg(F.max("actual")).first()[0] or 0.0)
     makers = {
@@ -212,13 +249,13 @@ def fit_all(train: DataFrame, trees: int = 500, seed: int = 1234, names=None) ->
         "Random Forest": lambda: fit_forest(train, FOREST_TERMS, "actual", trees, seed),
     }
     out = []
-    for name, make in makers.items():
-        if names and name not in names:
-            continue
+    for name in names or makers:
         try:
-            out.append(Fitted(name, make(), cap))
-        except (ArithmeticError, ValueError, np.linalg.LinAlgError):
+            model = makers[name]()
+        except (ArithmeticError, ValueError, IndexError, np.linalg.LinAlgError, PySparkException):
             continue
+        if getattr(model, "converged", True):
+            out.append(Fitted(name, model, cap))
     train.unpersist()
     return out
 
@@ -231,14 +268,18 @@ def select_model(models: list[Fitted], valid: DataFrame) -> Fitted:
     return max(models, key=lambda m: m.r2)
 
 
-def calibration(model: Fitted, valid: DataFrame, limit: float = BIAS_LIMIT) -> float:
-    """Scale of predictions, used only where the bias is beyond the limit."""
-    r = model.predict(valid).agg(F.avg("actual"), F.avg("prediction")).first()
-    actual, predicted = float(r[0] or 0), float(r[1] or 0)
-    if actual == 0 or predicted == 0:
+def calibration_factor(predicted: DataFrame, limit: float = BIAS_LIMIT) -> float:
+    """Scale for ``prediction`` against ``actual``, used only where the bias is beyond the limit."""
+    r = predicted.agg(F.avg("actual"), F.avg("prediction")).first()
+    actual, mean = float(r[0] or 0), float(r[1] or 0)
+    if actual == 0 or mean == 0:
         return 1.0
-    bias = (actual - predicted) / actual * 100
-    return actual / predicted if abs(bias) > limit else 1.0
+    bias = (actual - mean) / actual * 100
+    return actual / mean if abs(bias) > limit else 1.0
+
+
+def calibration(model: Fitted, valid: DataFrame, limit: float = BIAS_LIMIT) -> float:
+    return calibration_factor(model.predict(valid), limit)
 
 
 def walk_forward(
@@ -248,37 +289,80 @@ def walk_forward(
     prefer=("Random Forest", "NegBin", "Quasi-Poisson"),
     min_rows: int = 10,
     calibrate_on_target: bool = False,
+    at_once: int = 4,
 ) -> DataFrame | None:
     """Out-of-sample predictions: each quarter from the third on, from the earlier ones only.
 
-    ``calibrate_on_target`` scales by the predicted quarter's own mean; it looks at the
-    answer, so it is off by default.
+    Missing baselines are imputed anew from the rows each fit and each prediction uses.
+    ``calibrate_on_target`` scales by the predicted quarter's own mean; it looks at the answer, so
+    it is off by default. Up to ``at_once`` quarters are fitted at the same time, as one small fit
+    leaves most of a cluster idle.
     """
-    out = None
-    for i in range(2, len(quarters)):
+    rows = rows.where(F.col("quarter").isin(*quarters)).cache()
+
+    def fold(i: int) -> DataFrame | None:
         train = rows.where(F.col("quarter").isin(*quarters[:i]))
         target = rows.where(F.col("quarter") == quarters[i])
         if train.limit(min_rows).count() < min_rows or target.isEmpty():
-            continue
-        models = {}
-        for name in prefer:
-            fitted = fit_all(train, trees, names=[name])
-            if fitted:
-                models[name] = fitted[0]
-                break
-        if not models:
-            continue
-        model = next(iter(models.values()))
+            return None
+        train, target = impute_baseline(train, train), impute_baseline(target, target)
+        model = next((m for name in prefer for m in fit_all(train, trees, names=[name])), None)
+        if model is None:
+            return None
         scale = calibration(model, target) if calibrate_on_target else 1.0
         part = model.predict(target).select(
             "quarter", "component", "actual",
             rounded(F.col("prediction") * scale, 2).alias("predicted_wf"),
             F.lit(model.name).alias("model_name"),
-        )
+            F.lit(i).alias("n_train_quarters"), F.lit(train.count()).alias("n_train_rows"),
+        )
+        return cut_lineage(part)  # the plan of all folds is then a union of small tables
+
+    with ThreadPoolExecutor(at_once) as pool:
+        parts = [p for p in pool.map(fold, range(2, len(quarters))) if p is not None]
+    out = None
+    for part in parts:
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def ranked_forecast(main: DataFrame, hist: str | None = None) -> DataFrame:
+    """The forecast quarter's rows (``quarter``, ``component``, ``prediction``) ranked among themselves.
+
+    Ranks are taken before rounding. With ``hist`` the mean of it and the rank is ranked too.
+    """
+    out = with_percent_rank(main, "prediction", "predicted_pct", digits=1)
+    out = out.withColumns({"predicted": rounded("prediction", 2), "risk_level": risk_level(F.col("predicted_pct"))})
+    if hist:
+        out = out.withColumn("_both", rounded((F.col(hist) + F.col("predicted_pct")) / 2, 9))
+        out = with_percent_rank(out, "_both", "_overall")
+        out = out.withColumns({"risk_score": rounded("_both", 1), "overall_risk": risk_level(F.col("_overall"))})
+        out = out.drop("_both", "_overall", hist)
+    return out.drop("prediction")
+
+
+def merge_forecast(rows: DataFrame, ranked: DataFrame, wf: DataFrame | None, forecast_quarter: str, hist: str | None = None) -> DataFrame:
+    """Predictions on all rows: the ranked forecast on its quarter, walk-forward on mature ones,
+    null on the earliest. Rows without a rank of their own are ranked over the whole frame by their
+    prediction, or by what happened."""
+    out = rows.join(ranked, ["quarter", "component"], "left")
+    if wf is not None:
+        out = out.join(wf.select("quarter", "component", "predicted_wf"), ["quarter", "component"], "left")
+    else:
+        out = out.withColumn("predicted_wf", F.lit(None).cast("double"))
+    predicted = F.when(F.col("quarter") == forecast_quarter, F.col("predicted")).otherwise(F.col("predicted_wf"))
+    out = out.withColumn("predicted", predicted).drop("predicted_wf")
+    out = out.withColumn("_on", F.coalesce("predicted", "actual"))
+    out = with_percent_rank(out, "_on", "_pct", digits=1)
+    pct = F.coalesce("predicted_pct", "_pct")
+    out = out.withColumns({"predicted_pct": pct, "risk_level": F.coalesce("risk_level", risk_level(pct))}).drop("_on", "_pct")
+    if hist:
+        score = F.coalesce("risk_score", rounded((F.coalesce(hist, F.lit(0.0)) + F.col("predicted_pct")) / 2, 1))
+        out = with_percent_rank(out.withColumn("risk_score", score), "risk_score", "_overall")
+        out = out.withColumn("overall_risk", F.coalesce("overall_risk", risk_level(F.col("_overall")))).drop("_overall")
+    return out
+
+
 def defect_forecast(
     rows: DataFrame,
     quarters: list[str],
@@ -287,46 +371,28 @@ def defect_forecast(
     trees: int = 500,
     forward: bool = True,
 ) -> DataFrame:
-    """Predictions on all rows: the selected model for the forecast quarter, walk-forward
-    for mature ones, null for the earliest."""
+    """The selected model's forecast, walk-forward predictions, ranks and bands on all rows."""
     train = rows.where(F.col("quarter").isin(*quarters[:-1]))
     valid = rows.where(F.col("quarter") == quarters[-1])
     best = select_model(fit_all(train, trees), valid)
     scale = calibration(best, valid)
     mae = error_metrics(best.predict(valid), "actual", "prediction").first()["mae"]
     target = rows.where(F.col("quarter") == forecast_quarter).withColumns(
-        {"log_months": F.lit(math.log(3)), "is_major": F.lit(1.0), "is_lts": F.lit(1.0)}
+        {"log_months": F.lit(math.log(3)), "is_major": F.lit(1.0), "is_lts": F.lit(1.0), "major_stories": F.col("stories")}
     )
     main = best.predict(target).select(
-        "quarter", "component", rounded(F.col("prediction") * scale, 2).alias("_main")
+        "quarter", "component", (F.col("prediction") * scale).alias("prediction"), *([hist] if hist else [])
     )
-    out = rows.join(main, ["quarter", "component"], "left")
-    wf = walk_forward(rows, quarters, trees) if forward else None
-    if wf is not None:
-        out = out.join(
-            wf.select("quarter", "component", "predicted_wf"), ["quarter", "component"], "left"
-        )
-    else:
-        out = out.withColumn("predicted_wf", F.lit(None).cast("double"))
-    out = out.withColumn("predicted", F.coalesce("_main", "predicted_wf")).drop("_main", "predicted_wf")
-    out = out.withColumn("_rank_on", F.coalesce("predicted", "actual"))
-    out = with_percent_rank(out, "_rank_on", "predicted_pct", digits=1).drop("_rank_on")
-    if hist:
-        out = out.withColumn(
-            "risk_score", rounded((F.coalesce(hist, F.lit(0.0)) + F.col("predicted_pct")) / 2, 1)
-        )
-        out = with_percent_rank(out, "risk_score", "_overall")
-        out = out.withColumn("overall_risk", risk_level(F.col("_overall"))).drop("_overall")
-    return out.withColumns(
+    ranked = ranked_forecast(main, hist).withColumns(
         {
-            "risk_level": risk_level(F.col("predicted_pct")),
             "model_name": F.lit(best.name),
-            "model_r2": F.lit(float(best.r2)),
+            "model_r2": F.lit(round(float(best.r2), 3)),
             "model_cal": F.lit(round(scale, 3)),
-            "model_mae": F.lit(mae),
+            "model_mae": F.lit(round(float(mae), 2)),
             "validated_on": F.lit(quarters[-1]),
         }
     )
+    return merge_forecast(rows, ranked, walk_forward(rows, quarters, trees) if forward else None, forecast_quarter, hist)
 
 
 def zero_share(df: DataFrame, column: str) -> DataFrame:

@@ -146,7 +146,9 @@ def term_matrix(
         raise ValueError(f"vocabulary of {size} words; raise min_count or add stop words")
     vocabulary = sorted(r["word"] for r in corpus.select("word").toLocalIterator())
     model = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_words", outputCol="features")
-    bags = docs.select(
+    # A document without a word of the vocabulary has no topics, and none is drawn for it.
+    kept = words.join(corpus, "word", "left_semi").select(doc).distinct()
+    bags = docs.join(kept, doc, "left_semi").select(
         doc, F.filter(words_of(F.col(text)), lambda w: keeps(w, stop)).alias("_words")
     )
     return model.transform(bags).select(doc, "features"), model
@@ -245,9 +247,10 @@ def topics(
     k: int = N_TOPICS,
     seed: int = 1234,
     max_iter: int = 10,
+    stop=STOP_WORDS,
 ) -> dict[str, DataFrame]:
     """Topic model of a corpus and its tables: terms, by source, divergence, weights."""
-    matrix, vocabulary = term_matrix(docs, doc, text)
+    matrix, vocabulary = term_matrix(docs, doc, text, stop=stop)
     matrix = matrix.cache()
     model = fit_topics(matrix, k, seed, max_iter)
     terms = topic_terms(model, vocabulary)

@@ -43,7 +43,10 @@ def test_forecast_precedence_and_walk_forward(spark):
     out = forecast.defect_forecast(rows, quarters, "2024.Q1", trees=5, forward=False)
     got = out.groupBy("quarter").agg(F.count("predicted").alias("n")).collect()
     assert {r["quarter"]: r["n"] for r in got} == {**{q: 0 for q in quarters}, "2024.Q1": 20}
-    assert out.select("model_name").distinct().count() == 1
+    named = {r["quarter"] for r in out.where("model_name is not null").collect()}
+    assert named == {"2024.Q1"}
+    ranks = [r["predicted_pct"] for r in out.where("quarter = '2024.Q1'").collect()]
+    assert min(ranks) == 0.0 and max(ranks) == 100.0
 
 
 def test_soft_cap(spark):

@@ -96,7 +96,9 @@ def test_names_versions_and_paths(spark):
     assert one(spark, "why [culprit_file= a/B.java ] x", P.culprit_file) == "a/B.java"
     assert one(spark, "no marker", P.culprit_file) is None
     assert one(spark, "ABC-12-release", P.leading_ticket) == "ABC-12"
-    assert one(spark, "com.acme.search.web.FooTest", P.short_test_name) == "web.FooTest"
+    for path, scored in {"a/FooTest.java": False, "x/test/a.java": False, "a/BaseFooImpl.java": False, "a/Base.java": True, "BasefooImpl.java": True}.items():
+        assert one(spark, path, P.is_scored) is scored
+    assert one(spark, "modules/dxp/apps/a/b", P.normalise_crosswalk_key) == "a/b"
     assert one(spark, "com.acme.search.FooTest#run", lambda c: P.name_fragments(c)) == ["FooTest.java", "search"]
     assert one(spark, "cart/add.spec.ts > adds", lambda c: P.name_fragments(c)) == ["cart"]
     assert one(spark, "LocalFile.Blog#x", lambda c: P.name_fragments(c))[0] == "Blog.java"
