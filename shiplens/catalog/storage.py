@@ -255,6 +255,7 @@ def hash_mismatches(t):
       AND NOT EXISTS (SELECT 1 FROM a WHERE a.l_partkey = b.l_partkey AND a.l_suppkey = b.l_suppkey)"""
 )
 def rows_without_match(t):
-    rows = t.lineitem.select("l_partkey", "l_suppkey", F.year("l_shipdate").alias("y"))
-    target = rows.where(F.col("y") == 1999).select("l_partkey", "l_suppkey").distinct()
-    return quality.rows_without_match(target, rows.where(F.col("y") == 1998), ["l_partkey", "l_suppkey"])
+    rows = t.lineitem.select("l_partkey", "l_suppkey", F.to_date("l_shipdate").alias("d"))
+    target = rows.where(F.col("d").between("1999-01-01", "1999-12-31")).select("l_partkey", "l_suppkey").distinct()
+    source = rows.where(F.col("d").between("1998-01-01", "1998-12-31"))
+    return quality.rows_without_match(target, source, ["l_partkey", "l_suppkey"])
