@@ -86,9 +86,18 @@ def forecast_features(t):
     )
 
 
+def _model(train: DataFrame, name: str) -> forecast.Fitted:
+    """The named model. Where the dispersion of few counts does not settle, selection leaves the
+    count regression out; a query of its own still shows the last round's coefficients."""
+    found = forecast.fit_all(train, TREES, names=[name])
+    if found or name != "NegBin":
+        return found[0]
+    return forecast.Fitted(name, forecast.fit_negative_binomial(train, forecast.GLM_TERMS, "actual", "log_months"))
+
+
 def _fitted(t: Tables, name: str) -> DataFrame:
     train, valid = _split(t)
-    model = forecast.fit_all(train, TREES, names=[name])[0]
+    model = _model(train, name)
     return model.predict(valid).select(
         "component", "quarter", "actual", rounded("prediction", 4).alias("predicted")
     )
@@ -118,7 +127,7 @@ def _equations(t: Tables, name: str) -> DataFrame:
     At the maximum of the likelihood the weighted residuals times a term add up to zero.
     """
     train, _ = _split(t)
-    fitted = forecast.fit_all(train, names=[name])[0]
+    fitted = _model(train, name)
     fitted.cap = float("inf")
     theta = getattr(fitted.model, "theta", np.inf)
     rows = fitted.predict(train).withColumn("intercept", F.lit(1.0))
