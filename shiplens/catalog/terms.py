@@ -64,7 +64,7 @@ def _topic_tables(t):
     docs = t.documents.withColumn(
         "side", F.when(F.col("lang") == "en", "customer").otherwise("internal")
     )
-    return terms.topics(docs, "doc_id", "text", "side", "customer", "internal", k=10, max_iter=5)
+    return terms.topics(docs, "doc_id", "text", "side", "customer", "internal", k=10)
 
 
 @query()

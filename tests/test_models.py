@@ -1,10 +1,14 @@
 """Forecast, topic and streaming behaviour."""
 
+import random
+from types import SimpleNamespace
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from shiplens.catalog import terms as topic_queries
 from shiplens.operators.merge import VersionedTable
 from shiplens.plans import forecast, terms
 from shiplens.streaming import builds
@@ -68,6 +72,18 @@ def test_topics_add_up(spark):
     assert terms.topic_by_component(out["weights"].withColumn("comp", F.lit("x")), df.withColumn("comp", F.lit("x")), "comp", "s").count() == 4
 
 
+def test_topics_reach_every_document(spark):
+    """A topic in two documents of a hundred comes out whole: 10 of its 12 even words weigh 10/12."""
+    draw = random.Random(1)
+    words = {"en": [f"red{i}" for i in range(20)], "de": [f"blue{i}" for i in range(20)], "fr": [f"rare{i}" for i in range(12)]}
+    langs = ["fr" if i % 50 == 0 else "en" if i % 2 else "de" for i in range(600)]
+    rows = [(i, " ".join(draw.choices(words[x], k=30)), x) for i, x in enumerate(langs)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string").repartition(4)
+    out = topic_queries._topic_tables(SimpleNamespace(documents=docs))["terms"]
+    rare = out.groupBy("topic").agg(F.sum(F.when(F.col("term").startswith("rare"), F.col("beta"))).alias("weight"))
+    assert rare.agg(F.max("weight")).first()[0] > 0.75
+
+
 def test_vocabulary_is_checked_not_cut(spark, monkeypatch):
     monkeypatch.setattr(terms, "VOCABULARY_LIMIT", 3)
     df = spark.createDataFrame([(1, "alpha beta gamma delta " * 3)], "d int, t string")
