@@ -231,6 +231,32 @@ def test_languages_of_odd_documents(spark, odd, clashing, none, model):
     assert langid.train(odd).languages == ["en", "es"]
 
 
+def test_every_label_is_a_language(spark):
+    """Seventy labels, the last the rarest, some in two cases; a language of its own letters each."""
+
+    def prose(lang, draw):
+        letters = random.Random(lang).sample("abcdefghijklmnopqrstuvwxyz", 6)
+        own = random.Random(lang + 1)
+        words = ["".join(own.choices(letters, k=5)) for _ in range(20)]
+        return " ".join(draw.choices(words, k=80))
+
+    draw, names = random.Random(3), [f"l{n:02}" for n in range(70)]
+    rows = [(n * 10 + j, prose(n, draw), names[n].upper() if j == 1 else names[n], None, 1) for n in range(70) for j in range(2 if n == 69 else 3)]
+    model = langid.train(spark.createDataFrame(rows, SCHEMA))
+    assert model.languages == names
+    held = [(n, prose(n, draw), names[n].upper(), None, 1) for n in range(70)]
+    told = langid.identify(spark.createDataFrame(held, SCHEMA), model).collect()
+    assert [(r.language, r.accepted) for r in sorted(told, key=lambda r: r.doc_id)] == [(x, True) for x in names]
+
+
+def test_long_text_in_pieces(spark, model, given, monkeypatch):
+    rows = given.select("doc_id", F.lower("text").alias("text"))
+    whole = {r.doc_id: r.means for r in langid.text_scores(rows, model, ["doc_id"]).collect()}
+    monkeypatch.setattr(langid, "CELLS", 100)
+    for r in langid.text_scores(rows, model, ["doc_id"]).collect():
+        assert r.means == pytest.approx(whole[r.doc_id], abs=1e-9)
+
+
 def test_suffixes():
     for address, want in {"http://a.DE/x": "de", "b.fr": "fr", "src0": None, "http://x.com/a.de": None, "x.es:80/": "es", None: None}.items():
         m = re.match(r"^(?:[^/?#]*://)?([^/?#:]*)", address or "")
