@@ -18,6 +18,7 @@ from shiplens.llm.pii import KINDS, find_personal_data, span_list
 from shiplens.llm.simhash import simhash_groups
 from shiplens.llm.tiling import leaked_items
 from shiplens.llm.urlrules import judge_urls
+from shiplens.llm.variants import variants_of
 from shiplens.llm.wordpiece import ranked_vocabulary, token_counts
 from shiplens.sources.readers import load
 
@@ -216,3 +217,8 @@ def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op5_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return extract_main_text(load(spark, folder, "pages"), train_tree([*PAGES, *named_pages()]))
+
+
+@query()
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants_of(load(spark, folder, "documents"))
