@@ -15,6 +15,7 @@ from shiplens.llm.maintext import train as train_tree
 from shiplens.llm.mixing import mix_sources
 from shiplens.llm.phrases import edited_fingerprints
 from shiplens.llm.pii import KINDS, find_personal_data, span_list
+from shiplens.llm.ppm import score_texts
 from shiplens.llm.simhash import simhash_groups
 from shiplens.llm.tiling import leaked_items
 from shiplens.llm.urlrules import judge_urls
@@ -222,3 +223,9 @@ def op5_main_text(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return variants_of(load(spark, folder, "documents"))
+
+
+@query()
+def op12_text_scores(spark: SparkSession, folder: str) -> DataFrame:
+    scored = score_texts(load(spark, folder, "documents"))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
