@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shiplens.llm.common import stage
 from shiplens.llm.labelled_pages import PAGES, named_pages
 from shiplens.llm.langid import identify, train
 from shiplens.llm.linededup import remove_shared_lines
@@ -16,6 +17,7 @@ from shiplens.llm.mixing import mix_sources
 from shiplens.llm.phrases import edited_fingerprints
 from shiplens.llm.pii import KINDS, find_personal_data, span_list
 from shiplens.llm.ppm import score_texts
+from shiplens.llm.prefixtrie import ordered_turns, prefix_trie, rebuilt_turns
 from shiplens.llm.simhash import simhash_groups
 from shiplens.llm.tiling import leaked_items
 from shiplens.llm.urlrules import judge_urls
@@ -229,3 +231,9 @@ def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
 def op12_text_scores(spark: SparkSession, folder: str) -> DataFrame:
     scored = score_texts(load(spark, folder, "documents"))
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query()
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    ordered = stage(ordered_turns(load(spark, folder, "conversations")))
+    return prefix_trie(*rebuilt_turns(ordered)).drop("enter", "exit")
