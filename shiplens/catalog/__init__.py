@@ -2,6 +2,7 @@
 
 from shiplens.catalog import (  # noqa: F401
     activity,
+    containment,
     forecasts,
     graphs,
     monitoring,

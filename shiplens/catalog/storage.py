@@ -34,14 +34,78 @@ def _new(t: Tables) -> DataFrame:
     + """SELECT * FROM new UNION ALL SELECT * FROM old WHERE c_custkey NOT IN (SELECT c_custkey FROM new)"""
 )
 def upsert_merge(t):
-    """Two versions of one table on disk: the second merged onto the first, then again."""
-    table = merge.VersionedTable(t.spark, run_folder(t.spark, "customers"))
-    table.write(_old(t))
-    table.merge(_new(t), ["c_custkey"])
-    table.merge(_new(t), ["c_custkey"])
+    """A table on disk, partitioned by a key range; new rows merged onto it, then again."""
+    by_range = lambda df: df.withColumn("part", F.floor(F.col("c_custkey") / 10000))
+    schema = "c_custkey long, c_mktsegment string, c_acctbal double, part long"
+    table = merge.PartitionedTable(t.spark, run_folder(t.spark, "customers"), schema, ["part"])
+    for rows in (_old(t), _new(t), _new(t)):
+        table.merge(by_range(rows), ["part", "c_custkey"])
+    return table.read().drop("part")
+
+
+_YEARS = """
+WITH o AS (SELECT o_orderkey, year(o_orderdate)::BIGINT AS y, o_orderstatus, o_totalprice FROM orders),
+i AS (SELECT o_orderkey, y, CASE WHEN o_orderkey % 3 > 0 THEN lower(o_orderstatus) END AS o_orderstatus,
+        CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice + 1 END AS o_totalprice FROM o WHERE y IN (1997, 1999) AND o_orderkey % 5 < 2),
+k AS (SELECT * FROM o WHERE o_orderkey % 5 > 0)
+"""
+
+
+def _years(t: Tables):
+    rows = t.orders.select("o_orderkey", F.year("o_orderdate").cast("long").alias("y"), "o_orderstatus", "o_totalprice")
+    key = F.col("o_orderkey")
+    incoming = rows.where(F.col("y").isin(1997, 1999) & (key % 5 < 2)).select(
+        "o_orderkey", "y", F.when(key % 3 > 0, F.lower("o_orderstatus")).alias("o_orderstatus"),
+        F.when(key % 2 == 0, F.col("o_totalprice") + 1).alias("o_totalprice"),
+    )
+    table = merge.PartitionedTable(
+        t.spark, run_folder(t.spark, "years"), "o_orderkey long, o_orderstatus string, o_totalprice double, y long", ["y"]
+    )
+    table.replace(rows.where(key % 5 > 0))
+    return table, incoming
+
+
+@query(_YEARS + "SELECT * FROM i UNION ALL SELECT * FROM k WHERE o_orderkey NOT IN (SELECT o_orderkey FROM i)")
+def partition_upsert(t):
+    """Two of the years are merged into a table by year; the files of the others stay."""
+    table, incoming = _years(t)
+    table.merge(incoming, ["y", "o_orderkey"])
+    return table.read()
+
+
+@query(
+    _YEARS
+    + """SELECT coalesce(k.o_orderkey, i.o_orderkey) AS o_orderkey, coalesce(k.y, i.y) AS y, coalesce(i.o_orderstatus, k.o_orderstatus) AS o_orderstatus,
+      coalesce(i.o_totalprice, k.o_totalprice) AS o_totalprice FROM k FULL JOIN i ON k.o_orderkey = i.o_orderkey"""
+)
+def partition_upsert_keep_old(t):
+    table, incoming = _years(t)
+    table.merge(incoming, ["y", "o_orderkey"], merge.upsert_keep_old)
     return table.read()
 
 
+@query(
+    """
+WITH a AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 4 > 0 THEN o_orderstatus END AS s, CASE WHEN o_orderkey % 5 > 0 THEN o_totalprice END AS p FROM orders),
+b AS (SELECT o_orderkey, CASE WHEN o_orderkey % 6 > 0 THEN o_orderstatus END AS s2, CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1 WHEN o_orderkey % 5 > 0 THEN o_totalprice END AS p2
+  FROM orders WHERE o_orderkey % 11 > 0)
+SELECT o_orderkey, o_custkey, s2 AS s, p2 AS p, array_to_string(list_filter([CASE WHEN s IS DISTINCT FROM s2 THEN 's' END, CASE WHEN p IS DISTINCT FROM p2 THEN 'p' END], lambda x: x IS NOT NULL), ',') AS changed
+FROM a JOIN b USING (o_orderkey) WHERE s IS DISTINCT FROM s2 OR p IS DISTINCT FROM p2"""
+)
+def update_distinct(t):
+    """Equal, null and changed values meet: only the rows that change come out."""
+    key = F.col("o_orderkey")
+    target = t.orders.select(
+        "o_orderkey", "o_custkey", F.when(key % 4 > 0, F.col("o_orderstatus")).alias("s"), F.when(key % 5 > 0, F.col("o_totalprice")).alias("p")
+    )
+    source = t.orders.where(key % 11 > 0).select(
+        "o_orderkey", F.when(key % 6 > 0, F.col("o_orderstatus")).alias("s2"),
+        F.when(key % 7 == 0, F.col("o_totalprice") + 1).when(key % 5 > 0, F.col("o_totalprice")).alias("p2"),
+    )
+    out = merge.update_distinct(target, source, ["o_orderkey"], {"s": "s2", "p": "p2"})
+    return out.withColumn("changed", F.array_join("changed", ","))
+
+
 @query(
     _HALVES
     + """SELECT coalesce(old.c_custkey, new.c_custkey) AS c_custkey, old.c_mktsegment,

@@ -106,12 +106,13 @@ def unmatched_fragments(t):
 
 @query(
     """
-WITH bw AS (SELECT DISTINCT path, w FROM (SELECT lower(regexp_extract(url, '^https?://([^?#]*)', 1)) AS path,
-      unnest(regexp_split_to_array(lower(regexp_extract(url, '^https?://([^?#]*)', 1)), '[^a-z0-9]+')) AS w FROM pages) WHERE w <> ''),
+WITH pt AS (SELECT DISTINCT lower(regexp_extract(url, '^https?://([^?#]*)', 1)) AS path FROM pages),
 f AS (SELECT item_id, lower(text) AS x, regexp_extract(lower(text), '^\\S+') AS c FROM benchmark),
 cw AS (SELECT DISTINCT item_id, w FROM (SELECT item_id, unnest(regexp_split_to_array(c, '[\\s/\\-_]')) AS w FROM f) WHERE length(w) > 3),
 nw AS (SELECT DISTINCT item_id, w FROM (SELECT item_id, unnest(regexp_split_to_array(x, '[.\\-/_ >]')) AS w FROM f) WHERE length(w) > 5),
-h AS (SELECT item_id, path, 2 AS r FROM cw JOIN bw USING (w) UNION ALL SELECT item_id, path, 3 FROM nw JOIN bw USING (w)),
+ws AS (SELECT *, 2 AS r FROM cw UNION SELECT *, 3 FROM nw),
+mt AS (SELECT w, path FROM (SELECT DISTINCT w FROM ws) JOIN pt ON contains(path, w)),
+h AS (SELECT item_id, path, r FROM ws JOIN mt USING (w)),
 b AS (SELECT item_id, path, min(r) AS source_rank FROM h GROUP BY 1, 2)
 SELECT item_id, path, source_rank FROM b QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY source_rank, path) <= 3"""
 )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiplens.functions.stats import rounded
+from shiplens.operators.containment import contained
 from shiplens.operators.joins import null_safe_join
 
 
@@ -170,6 +171,21 @@ def longest_prefix_match(
     return paths.join(picked, path, "left")
 
 
+def longest_contained_match(
+    paths: DataFrame, path: str, mapping: DataFrame, fragment: str, columns: list[str]
+) -> DataFrame:
+    """Mapping row with the longest fragment that occurs anywhere in each path, case and all.
+
+    Of equally long ones the first in order counts; unmatched paths keep nulls.
+    """
+    rows = mapping.where(F.length(fragment) > 0).select(F.col(fragment).alias("_part"), *columns)
+    hits = contained(paths, path, rows, "_part")
+    longest = hits.groupBy(path).agg(F.min_by("_part", F.struct(-F.length("_part"), F.col("_part"))).alias("_part"))
+    first = rows.groupBy("_part").agg(F.min(F.struct(*columns)).alias("_row"))
+    picked = longest.join(first, "_part").select(path, F.col("_part").alias(fragment), *[f"_row.{c}" for c in columns])
+    return null_safe_join(paths, picked, [path], "left")
+
+
 # File-name words that name no module.
 GENERIC_FILE_WORDS = (
     "java", "tsx", "ts", "js", "jsx", "jsp", "test", "impl",
@@ -185,9 +201,10 @@ def match_modules(
     component: str = "component_name",
     min_token: int = 5,
 ) -> DataFrame:
-    """Component of each path: longest module prefix, else most shared file-name words.
+    """Component of each path: longest module prefix, else the row that holds most file-name words.
 
-    A word counts when it is a word of the component name or of the last module folder.
+    A word counts once for a mapping row whose component name or last module folder contains it.
+    Of rows with equal scores the first in order of component and folder counts.
     ``match_strategy`` tells which of the two was used, or ``no_match``.
     """
     lower = paths.select(path).distinct().withColumn("_path", F.lower(F.trim(path)))
@@ -206,21 +223,19 @@ def match_modules(
         path, F.explode(F.filter(words, lambda w: F.length(w) >= min_token)).alias("_w")
     ).distinct()
     folder = F.element_at(F.split(F.coalesce("_module", F.lit("")), "/"), -1)
-    names = table.select(
-        component,
-        F.explode(
-            F.split(F.concat_ws(" ", F.lower(component), folder), r"[^a-z0-9]+")
-        ).alias("_w"),
-    ).distinct()
+    # A word holds no line break, so it lies in one of the two names.
+    names = table.select(component, F.concat_ws("\n", F.lower(component), folder).alias("_names")).distinct()
+    holds = contained(names, "_names", tokens, "_w")
     scored = (
-        tokens.join(names, "_w")
-        .groupBy(path, component)
-        .agg(F.count(F.lit(1)).alias("_score"))
+        tokens.join(holds, "_w")
+        .groupBy(path, "_names")
+        .agg(F.count("*").alias("_score"))
+        .join(names, "_names")
         .groupBy(path)
         .agg(
             F.min_by(
                 F.struct(F.col(component), F.col("_score")),
-                F.struct(-F.col("_score"), F.col(component)),
+                F.struct(-F.col("_score"), F.col(component), F.col("_names")),
             ).alias("_best")
         )
         .select(path, F.col(f"_best.{component}").alias("_guess"), "_best._score")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shiplens.lineage import cut_lineage
+
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
     """Incoming rows replace existing ones with the same key; all columns are taken."""
@@ -90,51 +93,63 @@ def newest_row(df: DataFrame, keys: list[str], at: str) -> DataFrame:
     )
 
 
-class VersionedTable:
-    """A Parquet table of numbered versions, each complete.
+def update_distinct(
+    target: DataFrame, source: DataFrame, keys: list[str], values: dict[str, str]
+) -> DataFrame:
+    """Rows of ``target`` that the matching source row changes, with their new values.
+
+    Target column -> source column; nulls compare like other values, so null to null is no change
+    and null to a value is one. ``changed`` lists the columns that differ. Rows that stay as they
+    are, and rows without a match, are not returned: what is written is the change alone.
+    """
+    picked = source.select(*keys, *[F.col(s).alias(f"_u_{t}") for t, s in values.items()])
+    both = target.join(picked, keys)
+    differs = {t: ~F.col(t).eqNullSafe(F.col(f"_u_{t}")) for t in values}
+    names = F.array_compact(F.array(*[F.when(d, F.lit(t)) for t, d in differs.items()]))
+    return (
+        both.withColumn("changed", names)
+        .where(F.size("changed") > 0)
+        .select(*[F.col(f"_u_{c}").alias(c) if c in values else F.col(c) for c in target.columns], "changed")
+    )
+
+
+class PartitionedTable:
+    """A Parquet table whose partition columns are among the keys of every merge.
 
-    A merge reads one version and writes the next, so it never overwrites what it reads;
-    the pointer moves only after the new version is whole. Readers see old or new, and a
-    failed write leaves the old version in place.
+    A merge reads the partitions that the incoming rows touch, and no others, and replaces just
+    those by Spark's dynamic partition overwrite. The merged rows are written aside first, so a
+    merge that fails can run again, and merging the same rows twice changes nothing.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
-
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
-        return p.getFileSystem(conf), jvm.org.apache.hadoop.fs.Path
-
-    def versions(self) -> list[str]:
-        fs, path = self._fs()
-        root = path(self.path)
-        if not fs.exists(root):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(root)]
-        return sorted(
-            n
-            for n in names
-            if n.startswith("v") and fs.exists(path(f"{self.path}/{n}/_SUCCESS"))
-        )
+    def __init__(self, spark: SparkSession, path: str, schema: str, partitions: list[str]):
+        self.spark, self.path, self.partitions = spark, path.rstrip("/"), partitions
+        empty = spark.createDataFrame([], schema)
+        self.schema = empty.schema
+        empty.write.mode("ignore").partitionBy(*partitions).parquet(self.path)
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{self.versions()[-1]}")
+        return self.spark.read.schema(self.schema).parquet(self.path).select(*self.schema.names)
+
+    def read_touched(self, incoming: DataFrame) -> DataFrame | None:
+        """The partitions of ``incoming``, named in the scan; None where it has no rows."""
+        touched = incoming.select(*self.partitions).distinct().collect()
+        if not touched:
+            return None
+        same = [reduce(and_, [F.col(c).eqNullSafe(F.lit(row[c])) for c in self.partitions]) for row in touched]
+        return self.read().where(reduce(or_, same))
 
-    def write(self, df: DataFrame, partition_by: list[str] | None = None) -> None:
-        done = self.versions()
-        n = int(done[-1][1:9]) + 1 if done else 0
-        writer = df.write.mode("error")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{self.path}/v{n:08d}-{uuid.uuid4().hex}")
+    def replace(self, rows: DataFrame) -> None:
+        """Writes whole partitions; partitions without a row here stay as they are."""
+        by = rows.select(*self.schema.names).repartition(*self.partitions)
+        by.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*self.partitions).parquet(self.path)
 
     def merge(self, incoming: DataFrame, keys: list[str], how=upsert) -> None:
-        if self.versions():
-            incoming = how(self.read(), incoming, keys)
-        self.write(incoming)
+        if not set(self.partitions) <= set(keys):
+            raise ValueError("the keys of a merge must hold the partition columns")
+        incoming = cut_lineage(incoming.select(*self.schema.names))
+        existing = self.read_touched(incoming)
+        if existing is not None:
+            self.replace(cut_lineage(how(existing, incoming, keys)))
 
 
 def export_csv(df: DataFrame, path: str) -> None:

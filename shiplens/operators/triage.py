@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shiplens.functions.paths import culprit_file, name_fragments, path_suffixes
 from shiplens.functions.stats import mode_per_group, ratio, rounded
 from shiplens.operators.bridge import top_per_group
+from shiplens.operators.containment import contained
 
 # Statuses from worst to best, and those that make a regression.
 STATUS_RANK = {"FAILED": 4, "BLOCKED": 3, "UNTESTED": 2, "PASSED": 1}
@@ -344,9 +345,9 @@ def relevant_changes(
     """(fragment, path, match): changed paths each fragment points to.
 
     An exact hit is the whole path or a tail of it at a folder boundary: tails are exploded
-    and equi-joined. ``fuzzy`` accepts the fragment anywhere in the path: windows of the
-    fragments' lengths are exploded from the path and equi-joined, so neither mode pairs
-    every path with every fragment. ``auto`` is fuzzy only for fragments without exact hit.
+    and equi-joined. ``fuzzy`` accepts the fragment anywhere in the path, found by its rarest
+    gram, so neither mode pairs every path with every fragment. ``auto`` is fuzzy only for
+    fragments without exact hit.
     """
     p = paths.select(path).distinct().withColumn("_p", F.lower(path))
     f = fragments.select(F.lower(fragment).alias("_f")).where(F.col("_f") != "").distinct()
@@ -358,31 +359,12 @@ def relevant_changes(
         out = exact
     else:
         rest = f if mode == "fuzzy" else f.join(exact.select("_f"), "_f", "left_anti")
-        fuzzy = _contained(p, path, rest).withColumn("match", F.lit("fuzzy"))
+        held = contained(p, "_p", rest, "_f").join(p, "_p")
+        fuzzy = held.select("_f", path).withColumn("match", F.lit("fuzzy"))
         out = fuzzy if mode == "fuzzy" else exact.unionByName(fuzzy)
     return out.select(F.col("_f").alias("fragment"), path, "match")
 
 
-def _contained(p: DataFrame, path: str, f: DataFrame) -> DataFrame:
-    """Paths that contain a fragment: substrings of each wanted length, equi-joined."""
-    lengths = f.select(F.length("_f").alias("_n")).distinct()
-    # Distinct lengths are bounded by the longest path, so the list is one small array.
-    wanted = lengths.agg(F.array_sort(F.collect_set("_n"))).scalar()
-    windows = p.select(path, "_p", F.explode(wanted).alias("_n")).where(
-        F.length("_p") >= F.col("_n")
-    )
-    pieces = windows.select(
-        path,
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(1), F.length("_p") - F.col("_n") + 1),
-                lambda i: F.substring(F.col("_p"), i, F.col("_n")),
-            )
-        ).alias("_f"),
-    ).distinct()
-    return pieces.join(f, "_f").select("_f", path)
-
-
 def unmatched_fragments(fragments: DataFrame, fragment: str, hits: DataFrame) -> DataFrame:
     return (
         fragments.select(F.lower(fragment).alias("fragment"))
@@ -391,6 +373,22 @@ def unmatched_fragments(fragments: DataFrame, fragment: str, hits: DataFrame) ->
     )
 
 
+def named_blocks(failures: DataFrame, case_id: str, matched: str, blocks: DataFrame, path: str) -> DataFrame:
+    """(case, path): changed files named in ``matched``, names separated by ``|``.
+
+    A name stands for every path that ends with it, at a folder boundary or not, and for every
+    path with the same file name.
+    """
+    part = F.explode(F.transform(F.split(F.lower(matched), r"\|"), F.trim)).alias("_f")
+    names = failures.select(case_id, part).where("_f <> ''").distinct()
+    low = blocks.select(path).distinct().withColumn("_p", F.lower(path))
+    tails = contained(low, "_p", names, "_f").where(F.endswith("_p", "_f"))
+    last = lambda c: F.element_at(F.split(c, "/"), -1)
+    same = names.select("_f", last("_f").alias("_b")).distinct().join(low.select("_p", last("_p").alias("_b")), "_b")
+    hits = tails.select("_p", "_f").union(same.select("_p", "_f")).distinct()
+    return names.join(hits, "_f").join(low, "_p").select(case_id, path).distinct()
+
+
 def blocks_for_failure(
     failures: DataFrame,
     case_id: str,
@@ -403,23 +401,20 @@ def blocks_for_failure(
 ) -> DataFrame:
     """Up to ``n`` changed files per failure: named files, then component words, then name words.
 
-    Words are matched as words of the path (equi-join), the earlier source ranks first.
+    A word counts wherever the lower-cased path contains it; the earlier source ranks first, then
+    the path. A failure's best ``n`` of a source are among the best ``n`` of each of its words, so a
+    word that many paths contain hands on no more than that.
     """
-    words = blocks.select(
-        path, F.explode(F.array_distinct(F.split(F.lower(path), r"[^a-z0-9]+"))).alias("_w")
-    ).where(F.col("_w") != "")
-
-    def by_words(column, splitter, longer_than, rank):
-        tokens = failures.select(
-            case_id, F.explode(F.split(F.lower(column), splitter)).alias("_w")
-        ).where(F.length("_w") > longer_than)
-        return tokens.distinct().join(words, "_w").select(
-            case_id, path, F.lit(rank).alias("_rank")
-        )
-
-    found = by_words(component, r"[\s/\-_]", 3, 2).unionByName(
-        by_words(name, r"[.\-/_ >]", 5, 3)
-    )
+    low = blocks.select(path).distinct().withColumn("_p", F.lower(path))
+    tokens = failures.select(
+        case_id, F.explode(F.split(F.lower(component), r"[\s/\-_]")).alias("_w"), F.lit(2).alias("_rank")
+    ).where(F.length("_w") > 3).union(
+        failures.select(
+            case_id, F.explode(F.split(F.lower(name), r"[.\-/_ >]")).alias("_w"), F.lit(3).alias("_rank")
+        ).where(F.length("_w") > 5)
+    ).distinct()
+    holds = contained(low, "_p", tokens, "_w").join(low, "_p").select("_w", path)
+    found = tokens.join(top_per_group(holds, ["_w"], [F.col(path)], n), "_w").select(case_id, path, "_rank")
     if hits is not None:
         found = found.unionByName(hits.select(case_id, path, F.lit(1).alias("_rank")))
     best = found.groupBy(case_id, path).agg(F.min("_rank").alias("source_rank"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shiplens.lineage import run_folder
-from shiplens.operators.merge import VersionedTable, upsert
+from shiplens.operators.merge import PartitionedTable, upsert
 from shiplens.operators.periods import week_start
 
 
@@ -59,8 +59,9 @@ def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-def upsert_to(stream: DataFrame, table: VersionedTable, keys: list[str], checkpoint: str):
-    """Each micro-batch is merged on its key; a replayed batch gives the same table."""
+def upsert_to(stream: DataFrame, table: PartitionedTable, keys: list[str], checkpoint: str):
+    """Each micro-batch is merged on its key, into the partitions it touches; a replayed batch
+    gives the same table."""
 
     def merge(batch: DataFrame, _: int) -> None:
         table.merge(batch, keys, upsert)
@@ -82,7 +83,9 @@ def weekly_table(
     spark: SparkSession, stream: DataFrame, ts: str, keys: list[str], failed
 ) -> DataFrame:
     """Runs the weekly aggregation over all landed files and reads the merged table."""
-    table = VersionedTable(spark, run_folder(spark, "weekly"))
+    kinds = {f.name: f.dataType.simpleString() for f in stream.schema.fields}
+    schema = ", ".join(["week_of date", *[f"{k} {kinds[k]}" for k in keys], "n_events long, n_failed long"])
+    table = PartitionedTable(spark, run_folder(spark, "weekly"), schema, ["week_of"])
     run_to_end(
         upsert_to(
             weekly(stream, ts, keys, failed), table, ["week_of", *keys], run_folder(spark, "state")
@@ -91,6 +94,11 @@ def weekly_table(
     return table.read()
 
 
+def land(rows: DataFrame, folder: str) -> None:
+    """New files for a stream that reads the folder."""
+    rows.write.mode("append").parquet(folder)
+
+
 def deduplicated_table(spark: SparkSession, stream: DataFrame, key: str, ts: str, since=None):
     """Runs the dedup over all landed files and reads what was appended."""
     path = run_folder(spark, "unseen")
@@ -99,7 +107,7 @@ def deduplicated_table(spark: SparkSession, stream: DataFrame, key: str, ts: str
 
 
 def recompute_weeks(
-    rows: DataFrame, table: VersionedTable, ignored: DataFrame, build: str, ts: str, failed
+    rows: DataFrame, table: PartitionedTable, ignored: DataFrame, build: str, ts: str, failed
 ) -> None:
     """A late tag: recount only the weeks that hold a tagged build, without it, and merge."""
     week = week_start(F.col(ts))

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shiplens.catalog import terms as topic_queries
-from shiplens.operators.merge import VersionedTable
+from shiplens.operators.merge import PartitionedTable
 from shiplens.plans import forecast, terms
 from shiplens.streaming import builds
 
@@ -92,7 +92,7 @@ def test_vocabulary_is_checked_not_cut(spark, monkeypatch):
 
 
 def test_stream_resumes_and_merges(spark, tmp_path):
-    src, table = tmp_path / "in", VersionedTable(spark, str(tmp_path / "out"))
+    src, table = tmp_path / "in", PartitionedTable(spark, str(tmp_path / "out"), "week_of date, n_events long, n_failed long", ["week_of"])
     schema = "id long, ts timestamp, bad boolean"
 
     def land(name, data):

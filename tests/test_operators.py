@@ -188,12 +188,20 @@ def test_running_total_over_blocks(spark):
 def test_merge_twice_is_the_same(spark, tmp_path):
     a = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "k int, x string, y int")
     b = spark.createDataFrame([(2, None, 20), (3, "c", 30)], "k int, x string, y int")
-    table = merge.VersionedTable(spark, str(tmp_path / "t"))
-    table.write(a)
+    table = merge.PartitionedTable(spark, str(tmp_path / "t"), "k int, x string, y int", ["k"])
+    table.merge(a, ["k"])
+    files = lambda: {r[0] for r in table.read().where("k = 1").select("_metadata.file_path").collect()}
+    before = files()
     for _ in range(2):
         table.merge(b, ["k"])
         assert rows(table.read().fillna("-")) == [(1, "a", 1), (2, "-", 20), (3, "c", 30)]
-    assert len(table.versions()) == 3
+    table.merge(b.limit(0), ["k"])
+    assert files() == before and table.read().count() == 3
+    with pytest.raises(ValueError, match="keys"):
+        table.merge(b, ["y"])
+    # The scan of a merge names the touched partitions.
+    scan = table.read_touched(b)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [" in scan and "PartitionFilters: []" not in scan and table.read_touched(b).count() == 2
     assert rows(merge.upsert_keep_old(a, b, ["k"])) == [(1, "a", 1), (2, "b", 20), (3, "c", 30)]
     assert rows(merge.upsert_columns(a, b, ["k"], ["y"]).fillna("-")) == [(1, "a", 1), (2, "b", 20), (3, "-", 30)]
     assert rows(merge.insert_if_absent(a, b, ["k"])) == [(1, "a", 1), (2, "b", 2), (3, "c", 30)]
