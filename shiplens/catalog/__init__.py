@@ -5,6 +5,7 @@ from shiplens.catalog import (  # noqa: F401
     containment,
     forecasts,
     graphs,
+    landing,
     monitoring,
     nullkeys,
     paths,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shiplens.catalog.registry import Tables, query
 from shiplens.lineage import cut_lineage
-from shiplens.operators import graph
+from shiplens.operators import graph, scoring
 
 _EDGES = """
 WITH e AS (
@@ -73,3 +73,60 @@ def degree_stats(t):
 def dependency_score(t):
     e = _edges(t)
     return graph.dependency_score(_nodes(e), e, "node", "src", "dst", quantile=0.96, written=True)
+
+
+_CHANGES = _EDGES + """, ch AS (SELECT DISTINCT 'n' || s_nationkey AS change, 's' || s_suppkey AS node FROM supplier WHERE s_suppkey % 7 = 0
+    UNION SELECT 'n' || p_size % 5, 'p' || p_partkey FROM part WHERE p_partkey % 50 = 0),
+  c1 AS (SELECT DISTINCT change, src AS node FROM ch JOIN e ON dst = node WHERE src <> dst AND (change, src) NOT IN (SELECT (change, node) FROM ch)),
+  c2 AS (SELECT DISTINCT change, src AS node FROM c1 JOIN e ON dst = node WHERE (change, src) NOT IN (SELECT (change, node) FROM ch UNION ALL SELECT (change, node) FROM c1)),
+  c3 AS (SELECT DISTINCT change, src AS node FROM c2 JOIN e ON dst = node WHERE (change, src) NOT IN (SELECT (change, node) FROM ch UNION ALL SELECT (change, node) FROM c1 UNION ALL SELECT (change, node) FROM c2)),
+  ca AS (SELECT *, 1 AS depth FROM c1 UNION ALL SELECT *, 2 FROM c2 UNION ALL SELECT *, 3 FROM c3),
+  cb AS (SELECT change, count(*) FILTER (WHERE depth = 1) AS direct_dependents, count(*) FILTER (WHERE depth > 1) AS transitive_dependents,
+         count(*) AS total_blast, max(depth) AS depth_reached FROM ca GROUP BY 1)
+"""
+
+
+def _changes(t: Tables) -> DataFrame:
+    name = lambda letter, c: F.concat(F.lit(letter), c.cast("string"))
+    homes = t.supplier.where("s_suppkey % 7 = 0").select(
+        name("n", F.col("s_nationkey")).alias("change"), name("s", F.col("s_suppkey")).alias("node")
+    )
+    return homes.union(t.part.where("p_partkey % 50 = 0").select(name("n", F.col("p_size") % 5), name("p", F.col("p_partkey"))))
+
+
+@query(_CHANGES + "SELECT change, node, depth FROM ca")
+def reach_from_changes(t):
+    """Who depends on the nodes of each change, within three steps of them."""
+    return graph.reach_from(_changes(t), "change", "node", _edges(t), "src", "dst")
+
+
+@query(
+    _CHANGES
+    + """SELECT change, n_nodes, coalesce(direct_dependents, 0) AS direct_dependents, coalesce(transitive_dependents, 0) AS transitive_dependents,
+      coalesce(total_blast, 0) AS total_blast, coalesce(depth_reached, 0) AS depth_reached
+    FROM (SELECT change, count(*) AS n_nodes FROM ch GROUP BY 1) LEFT JOIN cb USING (change)"""
+)
+def change_blast(t):
+    return scoring.change_blast(_changes(t), "change", "node", _edges(t), "src", "dst")
+
+
+@query(
+    """
+WITH f AS (SELECT p_partkey, p_brand AS module_name FROM part),
+m AS (SELECT p_brand AS module_name, CASE WHEN p_size > 3 THEN round((p_size / 50)::DECIMAL(28,10), 4)::DOUBLE END AS dependency_score,
+        round((p_retailprice / 2000)::DECIMAL(28,10), 4)::DOUBLE AS blast_score FROM part WHERE p_brand <> 'Brand#3'),
+b AS (SELECT module_name, max(dependency_score) AS dependency_score,
+        max({'a': dependency_score, 'b': blast_score}) FILTER (WHERE dependency_score IS NOT NULL) AS top FROM m GROUP BY 1)
+SELECT p_partkey, module_name, dependency_score, top.b AS blast_score FROM f JOIN b USING (module_name) WHERE dependency_score IS NOT NULL"""
+)
+def file_dependencies(t):
+    """Many rows of a module collapse to its best before the files take its score."""
+    from shiplens.functions.stats import rounded
+
+    modules = t.part.where("p_brand <> 'Brand#3'").select(
+        F.col("p_brand").alias("module_name"),
+        F.when(F.col("p_size") > 3, rounded(F.col("p_size") / 50, 4)).alias("dependency_score"),
+        rounded(F.col("p_retailprice") / 2000, 4).alias("blast_score"),
+    )
+    files = t.part.select("p_partkey", F.col("p_brand").alias("module_name"))
+    return graph.file_dependencies(files, modules, "module_name")

@@ -254,3 +254,69 @@ def changed_path_kinds(t):
 @query(_KINDS + "SELECT page_id, regexp_replace(path, '^modules/(dxp/)?apps/', '') AS key FROM f")
 def crosswalk_keys(t):
     return _kinds(t).select("page_id", P.normalise_crosswalk_key(F.col("path")).alias("key"))
+
+
+@query(
+    _KINDS
+    + """, k AS (SELECT page_id, regexp_replace(regexp_replace(path, '/[^/]+$', ''), '^modules/(dxp/)?apps/', '') AS key FROM f),
+    m AS (SELECT DISTINCT host AS module_path, 'C-' || host[1:2] AS component_name FROM pg
+      UNION SELECT DISTINCT 'modules/apps/' || host || '/src/test', 'T-' || host[1:3] FROM pg WHERE page_id % 3 = 0),
+    mk AS (SELECT DISTINCT regexp_replace(module_path, '^modules/(dxp/)?apps/', '') AS key, component_name FROM m)
+    SELECT page_id, component_name FROM k JOIN mk USING (key)"""
+)
+def crosswalk_join(t):
+    """Folders of changed files meet the modules of the map, both without their leading folders."""
+    host = F.regexp_extract("url", r"^https?://([^/]+)", 1)
+    named = t.pages.select("page_id", host.alias("host"))
+    mapping = named.select(F.col("host").alias("module_path"), F.concat(F.lit("C-"), F.substring("host", 1, 2)).alias("component_name")).union(
+        named.where("page_id % 3 = 0").select(F.concat(F.lit("modules/apps/"), "host", F.lit("/src/test")), F.concat(F.lit("T-"), F.substring("host", 1, 3)))
+    )
+    files = _kinds(t).withColumn("folder", F.regexp_replace("path", r"/[^/]+$", ""))
+    return bridge.crosswalk_join(files, "folder", mapping.distinct(), "module_path").select("page_id", "component_name").distinct()
+
+
+@query(
+    _KINDS
+    + """, s AS (SELECT f.path, count(*) AS n, round(least(avg(length(url)) / 60, 1)::DECIMAL(28,10), 4)::DOUBLE AS churn_score,
+        round(least(count(*) / 40, 1)::DECIMAL(28,10), 4)::DOUBLE AS defect_score FROM f JOIN pages USING (page_id)
+      WHERE NOT regexp_matches(f.path, 'Test\\.java$|TestCase\\.java$|TestUtil\\.java$|/test/|/testIntegration/|/generated-sources/|/generated/')
+      AND NOT regexp_matches(regexp_extract(f.path, '[^/]+$'), '^Base[A-Z].*Impl\\.java$') GROUP BY 1),
+    c AS (SELECT *, round(least((churn_score * 0.25::DOUBLE + defect_score * 0.20::DOUBLE) * CASE WHEN (churn_score > 0.5)::INT + (defect_score > 0.5)::INT = 2 THEN 1.05::DOUBLE ELSE 1.0::DOUBLE END, 1.0)::DECIMAL(28,10), 4)::DOUBLE AS composite_risk FROM s)
+    SELECT path, churn_score, defect_score, composite_risk,
+      CASE WHEN composite_risk >= 0.75 THEN 'CRITICAL' WHEN composite_risk >= 0.5 THEN 'HIGH' WHEN composite_risk >= 0.25 THEN 'MEDIUM' ELSE 'LOW' END AS risk_tier FROM c"""
+)
+def scored_file_risk(t):
+    """Composite risk of the files that are scored at all: tests and generated files have none."""
+    from shiplens.functions.stats import rounded
+    from shiplens.operators.scoring import composite_risk
+
+    rows = _kinds(t).where(P.is_scored(F.col("path"))).join(t.pages.select("page_id", "url"), "page_id")
+    per_file = rows.groupBy("path").agg(
+        rounded(F.least(F.avg(F.length("url")) / 60, F.lit(1.0)), 4).alias("churn_score"),
+        rounded(F.least(F.count("*") / 40, F.lit(1.0)), 4).alias("defect_score"),
+    )
+    signals = [(per_file.select("path", s), "path", s) for s in ("churn_score", "defect_score")]
+    out = composite_risk(per_file.select("path"), signals)
+    return out.select("path", "churn_score", "defect_score", "composite_risk", "risk_tier")
+
+
+@query(
+    """
+WITH c AS (SELECT p_name AS module_name, p_brand AS component_name, CASE WHEN p_size % 3 = 0 THEN ' TRUE ' WHEN p_size % 3 = 1 THEN 'false' END AS approve,
+    CASE WHEN p_retailprice > 1000 THEN 'HIGH' ELSE 'LOW' END AS confidence FROM part),
+m AS (SELECT p_name AS module_name, min(p_partkey) AS module_id FROM part WHERE p_size > 10 GROUP BY 1),
+k AS (SELECT p_brand AS component_name, max(p_partkey) AS component_id FROM part GROUP BY 1)
+SELECT DISTINCT module_id, component_id, confidence FROM c JOIN m USING (module_name) JOIN k USING (component_name) WHERE lower(trim(approve)) = 'true'"""
+)
+def approved_mappings(t):
+    from shiplens.functions.similarity import approved_mappings as approved
+
+    size = F.col("p_size")
+    candidates = t.part.select(
+        F.col("p_name").alias("module_name"), F.col("p_brand").alias("component_name"),
+        F.when(size % 3 == 0, " TRUE ").when(size % 3 == 1, "false").alias("approve"),
+        F.when(F.col("p_retailprice") > 1000, "HIGH").otherwise("LOW").alias("confidence"),
+    )
+    modules = t.part.where("p_size > 10").groupBy(F.col("p_name").alias("module_name")).agg(F.min("p_partkey").alias("module_id"))
+    components = t.part.groupBy(F.col("p_brand").alias("component_name")).agg(F.max("p_partkey").alias("component_id"))
+    return approved(candidates, F.col("approve"), modules, components)

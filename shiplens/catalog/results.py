@@ -175,6 +175,54 @@ def recommended_tests(t):
     ).select("component_name", "l_partkey", "signal_score")
 
 
+_TYPED = _CHRONIC.rstrip() + """,
+ty AS (SELECT iq.*, p_type AS case_type, 'team ' || substr(component_name, 1, 2) AS team_name FROM iq JOIN part ON p_partkey = l_partkey)
+SELECT {keys}, {extra}count(DISTINCT l_partkey) AS n_test_cases,
+  sum(total_fail_builds)::BIGINT AS total_failures, sum(bug_linked_builds)::BIGINT AS bug_linked_failures,
+  sum(distinct_bugs_linked)::BIGINT AS distinct_bugs_linked,
+  round((avg(investigation_rate))::DECIMAL(28,10), 4)::DOUBLE AS avg_investigation_rate,
+  round((avg(signal_score))::DECIMAL(28,10), 4)::DOUBLE AS avg_signal_score,
+  coalesce(round((sum(bug_linked_builds) / nullif(sum(total_fail_builds), 0))::DECIMAL(28,10), 4)::DOUBLE, 0) AS bug_link_rate,
+  count(*) FILTER (WHERE signal_score > 0.1) AS high_signal_tests,
+  count(*) FILTER (WHERE investigation_rate = 0) AS zero_catch_tests,
+  round((count(*) FILTER (WHERE investigation_rate = 0) / count(DISTINCT l_partkey) * 100)::DECIMAL(28,10), 1)::DOUBLE AS pct_zero_catch
+FROM ty GROUP BY {keys}"""
+
+
+def _typed(t: Tables) -> DataFrame:
+    kinds = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("case_type"))
+    team = F.concat(F.lit("team "), F.substring("component_name", 1, 2))
+    return _chronic(t).join(kinds, "l_partkey").withColumn("team_name", team)
+
+
+@query(_TYPED.format(keys="component_name, team_name, case_type", extra=""))
+def test_health_by_component_type(t):
+    return testhealth.test_health(_typed(t), ["component_name", "team_name", "case_type"], "l_partkey")
+
+
+@query(_TYPED.format(keys="team_name, case_type", extra="count(DISTINCT component_name) AS n_components, "))
+def test_health_by_team_type(t):
+    return testhealth.test_health(_typed(t), ["team_name", "case_type"], "l_partkey", component="component_name")
+
+
+@query(
+    _CHRONIC.rstrip()
+    + """,
+ch AS (SELECT DISTINCT 'c' || n_nationkey % 4 AS change, r_name AS component_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 3 > 0),
+tp AS (SELECT component_name, l_partkey, signal_score FROM iq WHERE signal_score >= 0.1
+    QUALIFY row_number() OVER (PARTITION BY component_name ORDER BY signal_score DESC, l_partkey) <= 3)
+SELECT change, component_name, l_partkey, signal_score,
+  row_number() OVER (PARTITION BY change ORDER BY signal_score DESC, component_name, l_partkey)::INT AS place FROM ch JOIN tp USING (component_name)"""
+)
+def change_tests(t):
+    """Three best items of each component that a change touches."""
+    changed = t.nation.where("n_nationkey % 3 > 0").join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.concat(F.lit("c"), (F.col("n_nationkey") % 4).cast("string")).alias("change"), F.col("r_name").alias("component_name")
+    )
+    out = scoring.change_tests(changed, "change", "component_name", _chronic(t), "l_partkey")
+    return out.select("change", "component_name", "l_partkey", "signal_score", "place")
+
+
 _WINDOWED = """
 WITH r AS (SELECT l_partkey, l_linestatus AS routine,
              year(l_shipdate)::VARCHAR || '.Q' || quarter(l_shipdate)::VARCHAR AS window_quarter,

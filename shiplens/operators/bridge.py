@@ -255,6 +255,14 @@ def match_modules(
     )
 
 
+def crosswalk_join(paths: DataFrame, path: str, mapping: DataFrame, module_path: str) -> DataFrame:
+    """Rows of both sides whose paths are the same without their leading folders."""
+    from shiplens.functions.paths import normalise_crosswalk_key
+
+    right = mapping.withColumn("_key", normalise_crosswalk_key(F.col(module_path)))
+    return paths.withColumn("_key", normalise_crosswalk_key(F.col(path))).join(right, "_key").drop("_key")
+
+
 def top_per_group(df: DataFrame, group: list[str], order: list[Column], n: int) -> DataFrame:
     """First ``n`` rows of each group; Spark limits within each task before the shuffle."""
     w = Window.partitionBy(*group).orderBy(*order)

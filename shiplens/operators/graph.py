@@ -186,3 +186,25 @@ def resolve_edges(raw: DataFrame, registry: DataFrame) -> DataFrame:
         .select("from_module", "from_bsn", "to_module", "to_bsn", "dependency_path")
         .distinct()
     )
+
+
+def reach_from(
+    seeds: DataFrame, change: str, node: str, edges: DataFrame, src: str, dst: str, max_depth: int = 3
+) -> DataFrame:
+    """(``change``, ``node``, ``depth``): who depends on the nodes of each change, least depth first.
+
+    Only what the changes touch is walked: rows start at the changed nodes and carry their change
+    along, one join with the edges per level. The changed nodes themselves (depth 0) are not
+    returned. Each level is written out, so a lost executor restarts one level.
+    """
+    back = cut_lineage(
+        edges.where(~F.col(src).eqNullSafe(F.col(dst))).select(F.col(dst).alias(node), F.col(src).alias("_to")).distinct()
+    )
+    start = cut_lineage(seeds.select(change, node).dropna().distinct().withColumn("depth", F.lit(0)))
+    seen = frontier = start
+    for depth in range(1, max_depth + 1):
+        step = frontier.join(back, node).select(change, F.col("_to").alias(node)).distinct()
+        step = step.join(seen.select(change, node), [change, node], "left_anti")
+        frontier = cut_lineage(step.withColumn("depth", F.lit(depth)))
+        seen = seen.unionByName(frontier)
+    return seen.where(F.col("depth") > 0)

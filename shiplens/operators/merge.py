@@ -166,15 +166,21 @@ def reload(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def create_table_as(df: DataFrame, name: str, partition_by: list[str], bucket_by: str, buckets: int):
-    """Create table as select: partitioned by date, bucketed by the common join key."""
-    (
-        df.write.mode("overwrite")
-        .partitionBy(*partition_by)
-        .bucketBy(buckets, bucket_by)
-        .sortBy(bucket_by)
-        .saveAsTable(name)
-    )
+def create_table_as(
+    df: DataFrame, name: str, partition_by: list[str], bucket_by: str, buckets: int, path: str | None = None
+) -> DataFrame:
+    """Create table as select: partitioned by date, bucketed and sorted by the common join key.
+
+    Tables with equal buckets join, and group, on that key without an exchange. ``path`` puts the
+    files of the table in a folder of the caller's choice.
+    """
+    writer = df.write.mode("overwrite").bucketBy(buckets, bucket_by).sortBy(bucket_by)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
+    return df.sparkSession.table(name)
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:

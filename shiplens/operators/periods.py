@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiplens.functions.stats import rounded
@@ -224,3 +224,30 @@ def unmatched_components(
     rows = issues.select(F.explode(component_names(component_text)).alias(component_name))
     counts = rows.groupBy(component_name).agg(F.count(F.lit(1)).alias("n"))
     return counts.join(components.select(component_name), component_name, "left_anti")
+
+
+def tag_ranges(tags: DataFrame, series: str, order: str, tag: str) -> DataFrame:
+    """``tag_range`` of each tag: from the one before it in its series; null for a series' first.
+
+    A gap in the numbering is skipped, as the range starts at the tag that exists.
+    """
+    before = F.lag(tag).over(Window.partitionBy(series).orderBy(order))
+    return tags.withColumn("tag_range", F.concat(before, F.lit("..."), F.col(tag)))
+
+
+def rolled_up(rows: DataFrame, levels: list[str], measures: dict[str, Column]) -> DataFrame:
+    """``measures`` per group of all levels, of all but the last, and so on up to the total.
+
+    ``level`` is the number of levels a row keeps, so a null name is told from a total.
+    """
+    kept = F.lit(len(levels))
+    for c in levels:
+        kept = kept - F.grouping(c)
+    return rows.rollup(*levels).agg(kept.cast("int").alias("level"), *[m.alias(n) for n, m in measures.items()])
+
+
+def in_date_order(rows: DataFrame, group: list[str], date: str, ties: list[str]) -> DataFrame:
+    """``place`` by date within each group, rows without a date last, and ``sort_date``, theirs the far date."""
+    order = Window.partitionBy(*group).orderBy(F.col(date).asc_nulls_last(), *ties)
+    far = F.lit("9999-12-31").cast("date")
+    return rows.withColumns({"sort_date": F.coalesce(F.col(date).cast("date"), far), "place": F.row_number().over(order)})

@@ -172,3 +172,10 @@ def hash_mismatches(given: DataFrame, stored: DataFrame, key: str, column: str)
 def rows_without_match(target: DataFrame, baseline: DataFrame, keys: list[str]) -> DataFrame:
     """Target rows with no baseline counterpart."""
     return target.join(baseline.select(*keys).dropna(), keys, "left_anti")
+
+
+def routine_mismatches(pairs: DataFrame, builds: DataFrame, build: str, routine: str, left: str, right: str) -> DataFrame:
+    """Compared builds that ran on different routines; a routine that is unknown is no mismatch."""
+    one = builds.select(F.col(build).alias(left), F.col(routine).alias(f"{left}_routine"))
+    two = builds.select(F.col(build).alias(right), F.col(routine).alias(f"{right}_routine"))
+    return pairs.join(one, left).join(two, right).where(F.col(f"{left}_routine") != F.col(f"{right}_routine"))

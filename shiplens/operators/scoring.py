@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiplens.functions.paths import CODE_PATHS, TEST_PATHS, code_family
@@ -15,6 +15,7 @@ from shiplens.functions.stats import (
     rounded,
 )
 from shiplens.operators.bridge import top_per_group
+from shiplens.operators.graph import reach_from
 from shiplens.operators.joins import null_safe_join
 
 # Window weights, signal weights and tier limits of the score.
@@ -289,6 +290,35 @@ def change_risk(changed: DataFrame, change: str, entity: str, registry: DataFram
     return summary.withColumn("change_tier", risk_tier(F.col("max_risk")))
 
 
+def change_blast(
+    changed: DataFrame, change: str, node: str, edges: DataFrame, src: str, dst: str, max_depth: int = 3
+) -> DataFrame:
+    """Per change: its nodes, and how many others depend on them directly, at a distance, in all."""
+    hits = reach_from(changed, change, node, edges, src, dst, max_depth).groupBy(change).agg(
+        F.count_if(F.col("depth") == 1).alias("direct_dependents"),
+        F.count_if(F.col("depth") > 1).alias("transitive_dependents"),
+        F.count("*").alias("total_blast"),
+        F.max("depth").alias("depth_reached"),
+    )
+    nodes = changed.select(change, node).dropna().distinct().groupBy(change).agg(F.count("*").alias("n_nodes"))
+    counts = ("direct_dependents", "transitive_dependents", "total_blast", "depth_reached")
+    return nodes.join(hits, change, "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in counts})
+
+
+def change_tests(
+    changed: DataFrame, change: str, component: str, quality: DataFrame, item: str, n: int = 3, least: float = 0.10
+) -> DataFrame:
+    """The best ``n`` tests of each component that a change touches, ranked over the whole change.
+
+    ``place`` counts from the strongest signal of the change, so a list of any length takes from
+    all its components.
+    """
+    touched = changed.select(change, component).dropna().distinct()
+    best = touched.join(recommended_tests(touched, quality, component, item, n, least), component)
+    order = Window.partitionBy(change).orderBy(F.desc("signal_score"), component, item)
+    return best.withColumn("place", F.row_number().over(order))
+
+
 def tier_counts(scores: DataFrame, tiers=TIERS) -> DataFrame:
     """Rows per tier with every tier listed, zero where none."""
     spark = scores.sparkSession

@@ -72,9 +72,23 @@ CHURN_SCHEMA = T.StructType(
 def read_latest(spark: SparkSession, glob: str, schema: T.StructType) -> DataFrame:
     """Rows of the file whose name sorts last among those the glob matches."""
     df = spark.read.schema(schema).option("header", True).csv(glob)
-    named = df.select("*", F.col("_metadata.file_name").alias("_file"))
-    newest = named.select(F.max("_file")).scalar()
-    return named.where(F.col("_file") == newest).drop("_file")
+    return newest_file(df)
+
+
+def newest_file(df: DataFrame) -> DataFrame:
+    """Rows of the file whose name sorts last; the other files are listed but not opened."""
+    names = {path.rsplit("/", 1)[-1] for path in df.inputFiles()}
+    return df.where(F.col("_metadata.file_name") == max(names)) if names else df
+
+
+def newest_folder(df: DataFrame) -> DataFrame:
+    """Rows of the files in the folder whose path sorts last; the others are not opened."""
+    folders = {path.rsplit("/", 1)[0] for path in df.inputFiles()}
+    if not folders:
+        return df
+    # The listing says file:///, the column file:/; what follows the scheme is the same.
+    last = "/" + max(folders).split(":", 1)[-1].lstrip("/") + "/"
+    return df.where(F.contains("_metadata.file_path", F.lit(last)))
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:
@@ -84,14 +98,27 @@ def stage(df: DataFrame, path: str) -> DataFrame:
 
 
 def read_table(
-    spark: SparkSession, url: str, table: str, predicates: list[str] | None = None, **props
-) -> DataFrame:
-    """Relational table over JDBC; each predicate becomes one partition of the scan."""
+    spark: SparkSession, url: str, table: str, predicates: list[str] | None = None,
+    split: tuple[str, int, int, int] | None = None, **props,
+) -> DataFrame:
+    """Relational table over JDBC; the database applies filters and picks the columns.
+
+    Each of ``predicates`` becomes one partition of the scan; ``split`` (a numeric column, its
+    lowest and highest value, a number) makes that many ranges of the column.
+    """
     if predicates:
         return spark.read.jdbc(url, table, predicates=predicates, properties=props)
+    if split:
+        column, low, high, parts = split
+        return spark.read.jdbc(url, table, column=column, lowerBound=low, upperBound=high, numPartitions=parts, properties=props)
     return spark.read.jdbc(url, table, properties=props)
 
 
+def write_table(df: DataFrame, url: str, table: str, mode: str = "overwrite", **props) -> None:
+    """A relational table over JDBC, written by as many connections as there are partitions."""
+    df.write.jdbc(url, table, mode=mode, properties=props)
+
+
 def rows_for(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     """Rows whose key is in an id list: one semi join instead of chunked IN lists."""
     return df.join(ids.select(key), key, "left_semi")

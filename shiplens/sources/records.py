@@ -37,6 +37,13 @@ def parse_json(df: DataFrame, text: str, schema: str) -> DataFrame:
     return df.select(F.from_json(text, schema).alias("j")).select("j.*")
 
 
+def malformed(df: DataFrame, text: str, schema: str, *keep: str) -> DataFrame:
+    """The documents that do not parse under ``schema``, as they came, with the columns to keep."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+    read = F.from_json(text, f"{schema}, _bad string", options)
+    return df.withColumn("_bad", read["_bad"]).where(F.col("_bad").isNotNull()).select(*keep, F.col("_bad").alias("record"))
+
+
 def parse_issues(df: DataFrame, text: str, kind: str) -> DataFrame:
     """Issue JSON to rows: ``customer`` scores priority words, ``internal`` a numeric field."""
     f = F.col("fields")
@@ -165,18 +172,42 @@ def _properties(col: Column) -> Column:
     )
 
 
+def junit_cases(spark: SparkSession, path: str) -> DataFrame:
+    """Test cases as they stand in JUnit XML; ``_bad`` holds the text of one that does not parse.
+
+    A file is cut after each closing tag and every piece is parsed for itself, so a broken test
+    case costs no other, and large files are split among tasks. A test case without content (one
+    self-closing tag) says nothing and is passed over.
+    """
+    pieces = spark.read.option("lineSep", "</testcase>").text(path)
+    opened = F.regexp_extract("value", r"(?s)^.*(<testcase[\s>].*)$", 1)
+    text = pieces.select(F.concat(opened, F.lit("</testcase>")).alias("_xml")).where("_xml <> '</testcase>'")
+    options = {"valueTag": "_text", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+    return text.select(F.from_xml("_xml", f"{JUNIT_SCHEMA}, _bad string", options).alias("c")).select("c.*")
+
+
+def write_junit(results: DataFrame, path: str, prefix: str = "", build: str | None = None) -> None:
+    """``case_name``, ``status``, ``component_name``, ``team_name``, ``errors`` as JUnit XML.
+
+    With ``build``, a column of build names, each file holds the cases of one build.
+    """
+    names = {"testcase.name": "case_name", "testcase.status": "status", "main.component.name": "component_name", "team.name": "team_name"} | ({"build.name": build} if build else {})
+    pairs = F.array(*[F.struct(F.lit(prefix + n).alias("_name"), F.col(c).alias("_value")) for n, c in names.items()])
+    given = F.filter(pairs, lambda p: p["_value"].isNotNull())
+    failure = F.when(F.col("errors").isNotNull(), F.struct(F.col("errors").alias("_message")))
+    folder = [F.sha2(F.col(build), 224).alias("build")] if build else []
+    rows = results.select(failure.alias("failure"), F.struct(given.alias("property")).alias("properties"), *folder)
+    writer = rows.write.partitionBy("build") if build else rows.write
+    writer.format("xml").option("rowTag", "testcase").option("rootTag", "testsuite").save(path)
+
+
 def read_junit(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
     """JUnit XML test cases to the common result columns; statuses in upper case.
 
-    ``prefix`` stands before the property names that carry name, status and owners.
+    ``prefix`` stands before the property names that carry name, status and owners. A test case
+    that does not parse is left out; ``junit_cases`` has its text.
     """
-    raw = (
-        spark.read.format("xml")
-        .option("rowTag", "testcase")
-        .option("valueTag", "_text")
-        .schema(JUNIT_SCHEMA)
-        .load(path)
-    )
+    raw = junit_cases(spark, path).where(F.col("_bad").isNull())
     rows = raw.select(
         _properties(F.col("properties.property")).alias("p"),
         F.col("failure._message").alias("errors"),
