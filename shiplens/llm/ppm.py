@@ -34,15 +34,17 @@ MASK = (1 << SYMBOL) - 1
 CODE = SYMBOL * (ORDER + 1)
 #: Stands before a text and, as a predicted symbol, after it. UTF-8 has no such byte.
 EDGE = 0xFF
-#: Parts of the trie (six bits), and as many of the word counts.
-PARTS = 64
+#: Parts of the trie (five of six bits), and as many of the word counts.
+PARTS = 32
 #: Documents (ten bits) and bytes of a slice; a longer text is a slice of its own, worked on in pieces.
 DOC = 10
 SLICE_DOCS = 1 << DOC
 SLICE_BYTES = 1 << 21
 #: Training tokens for which one copy of the model answers.
 TOKENS_A_COPY = 20_000_000
+#: Words, and codes, that a task remembers before it hands on their counts.
 MEMORY = 1 << 18
+CODES = 1 << 21
 
 _U64 = np.uint64
 
@@ -50,7 +52,7 @@ _U64 = np.uint64
 def _parts_of(codes: np.ndarray) -> np.ndarray:
     """The part that holds each code: a hash of the two bytes before the symbol."""
     top = codes >> _U64(SYMBOL * (ORDER - 1))
-    return ((top * _U64(2654435761)) & _U64(0xFFFFFFFF)) >> _U64(26)
+    return ((top * _U64(2654435761)) & _U64(0xFFFFFFFF)) >> _U64(27)
 
 
 def word_part(word: bytes) -> int:
@@ -133,19 +135,29 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["part", "code", "word", "n"],
         )
 
+    def codes_out():
+        codes, n = _summed(np.concatenate([c for c, _ in seen]), np.concatenate([n for _, n in seen]))
+        seen.clear()
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(_parts_of(codes).astype(np.int32)),
+                pa.array(codes.astype(np.int64)),
+                pa.nulls(len(codes), pa.binary()),
+                pa.array(n),
+            ],
+            names=["part", "code", "word", "n"],
+        )
+
+    seen: list[tuple[np.ndarray, np.ndarray]] = []
+    waiting = 0
     for batch in _sliced(batches):
         texts = _texts(batch)
         for codes, _ in _pieces(texts):
-            codes, n = np.unique(codes, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(_parts_of(codes).astype(np.int32)),
-                    pa.array(codes.astype(np.int64)),
-                    pa.nulls(len(codes), pa.binary()),
-                    pa.array(n.astype(np.int64)),
-                ],
-                names=["part", "code", "word", "n"],
-            )
+            seen.append(np.unique(codes, return_counts=True))
+            waiting += len(seen[-1][0])
+            if waiting > CODES:
+                yield codes_out()
+                waiting = 0
         held[b""] += len(texts)  # the end of a text is a token
         for text in texts:
             for found in _words(text):
@@ -153,6 +165,8 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if len(held) > MEMORY:
                     yield words_out()
                     held.clear()
+    if seen:
+        yield codes_out()
     if held:
         yield words_out()
 
@@ -160,21 +174,33 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _REQUEST = pa.schema(
     [
         ("part", pa.int32()), ("copy", pa.int32()), ("slice", pa.int64()), ("piece", pa.int32()), ("size", pa.int32()),
-        ("wanted", pa.binary()), ("spans", pa.binary()), ("docs", pa.binary()), ("times", pa.binary()),
+        ("asked", pa.binary()), ("plain", pa.int64()),
         ("ids", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("tokens", pa.list_(pa.int64())),
     ]
 )
 REQUEST = (
-    "part int, copy int, slice long, piece int, size int, wanted binary, spans binary, docs binary, times binary, "
+    "part int, copy int, slice long, piece int, size int, asked binary, plain long, "
     "ids array<long>, keys array<long>, held array<boolean>, tokens array<long>"
 )
 _NONE = (None,) * 4
 
 
-def _request(wanted: np.ndarray | list[bytes], spans, docs, times) -> tuple:
-    """What is wanted, how many entries each has, and their documents and times in bytes.
+def _planes(values: np.ndarray, kind: str) -> bytes:
+    """All first bytes, then all second ones, and so on: high bytes are mostly zero and pack well."""
+    values = values.astype(kind)
+    return values.view("u1").reshape(-1, values.itemsize).T.tobytes()
+
+
+def _unplaned(data: memoryview, kind: str) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.frombuffer(data, dtype="u1").reshape(width, -1).T.copy().view(kind).ravel()
+
+
+def _request(wanted: np.ndarray | list[bytes], spans, docs, times) -> tuple[bytes, int]:
+    """What is wanted, how many entries each has, and their documents and times, packed.
 
-    A count above 255 is as many entries as it needs.
+    Codes and the documents of one code ascend, so their differences are kept. A count above 255 is
+    as many entries as it needs.
     """
     again = (times + 254) // 255
     if (again > 1).any():
@@ -184,8 +210,26 @@ def _request(wanted: np.ndarray | list[bytes], spans, docs, times) -> tuple:
         edges = np.cumsum(spans)
         spans = np.diff(np.concatenate([[0], np.concatenate([first, [len(full)]])[edges]]))
         docs, times = np.repeat(docs, again), full
-    data = b" ".join(wanted) if isinstance(wanted, list) else wanted.astype("<u8").tobytes()
-    return data, spans.astype("<u4").tobytes(), docs.astype("<u2").tobytes(), times.astype("u1").tobytes()
+    steps = np.diff(docs.astype(np.int64), prepend=0)
+    starts = np.cumsum(spans) - spans
+    steps[starts] = docs[starts]
+    data = b" ".join(wanted) if isinstance(wanted, list) else _planes(np.diff(wanted, prepend=_U64(0)), "<u8")
+    sizes = np.array([len(data), len(spans), len(docs)], dtype="<u4").tobytes()
+    plain = b"".join([sizes, data, _planes(spans, "<u4"), _planes(steps, "<u2"), times.astype("u1").tobytes()])
+    return pa.Codec("zstd", 1).compress(plain, asbytes=True), len(plain)
+
+
+def _opened(asked: bytes, plain: int) -> tuple[memoryview, np.ndarray, np.ndarray, np.ndarray]:
+    """What ``_request`` packed; codes or words are still bytes."""
+    data = memoryview(pa.Codec("zstd").decompress(asked, plain, asbytes=True))
+    wanted, n, entries = np.frombuffer(data[:12], dtype="<u4").astype(int)
+    at = np.cumsum([12, wanted, 4 * n, 2 * entries, entries])
+    spans = _unplaned(data[at[1] : at[2]], "<u4").astype(np.int64)
+    steps = np.cumsum(_unplaned(data[at[2] : at[3]], "<u2").astype(np.int64))
+    starts = np.cumsum(spans) - spans
+    before = np.concatenate([[0], steps])[starts]
+    docs = steps - np.repeat(before, spans)
+    return data[12 : at[1]], spans, docs, np.frombuffer(data[at[3] : at[4]], dtype="u1").astype(float)
 
 
 def _requests(copies: int):
@@ -209,7 +253,7 @@ def _requests(copies: int):
                     wanted = code[new[a:b]] & _U64((1 << CODE) - 1)
                     rows.append((int(part[a]), copy, number, piece, len(texts), *_request(wanted, spans[a:b], docs[x:y], times[x:y]), *_NONE))
             tokens = _word_requests(texts, rows, copy, number)
-            rows.append((2 * PARTS, copy, number, 0, len(texts), *_NONE, *(batch.column(c).to_pylist() for c in ("doc_id", "row_key", "held_out")), tokens))
+            rows.append((2 * PARTS, copy, number, 0, len(texts), None, None, *(batch.column(c).to_pylist() for c in ("doc_id", "row_key", "held_out")), tokens))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _REQUEST)], schema=_REQUEST)
 
     return run
@@ -331,22 +375,22 @@ def _answers(top: np.ndarray, top_counts: np.ndarray, tokens: int, words: int):
             none = pa.nulls(asked.num_rows, pa.binary())
             columns = [asked.column(c) for c in ("part", "slice", "piece")] + [none, none]
             return pa.table([*columns, *(asked.column(c) for c in ("ids", "keys", "held", "tokens"))], schema=_ANSWER)
-        requests = asked.select(["slice", "piece", "size", "wanted", "spans", "docs", "times"]).to_pylist()
+        requests = asked.select(["slice", "piece", "size", "asked", "plain"]).to_pylist()
         n = model.column("n").to_numpy()
         if part >= PARTS:
             counts = dict(zip(model.column("word").to_pylist(), n.tolist()))
         else:
             trie = ContextTrie(model.column("code").to_numpy().astype(np.uint64), n, top, top_counts)
-            wanted = [np.frombuffer(r["wanted"], dtype="<u8") for r in requests]
+            # Requests stay packed but for the one at work; every code is scored once.
+            wanted = [np.cumsum(_unplaned(_opened(r["asked"], r["plain"])[0], "<u8"), dtype=np.uint64) for r in requests]
             codes = np.unique(np.concatenate(wanted)) if wanted else np.zeros(0, dtype=np.uint64)
             logs = trie.log10(codes)
         rows = []
         for k, r in enumerate(requests):
-            spans, docs = np.frombuffer(r["spans"], dtype="<u4"), np.frombuffer(r["docs"], dtype="<u2")
-            times = np.frombuffer(r["times"], dtype="u1").astype(float)
+            what, spans, docs, times = _opened(r["asked"], r["plain"])
             known = None
             if part >= PARTS:
-                c = np.array([counts.get(w, 0) for w in r["wanted"].split(b" ")], dtype=float)
+                c = np.array([counts.get(w, 0) for w in bytes(what).split(b" ")], dtype=float)
                 each = np.log10((c + 1) / (tokens + words + 1))
                 known = np.bincount(docs, np.repeat(c > 0, spans) * times, r["size"]).astype("<i8").tobytes()
             else:
