@@ -1,7 +1,8 @@
 """Labelled pages that the main-text model is fitted on.
 
 ``data-main="1"`` starts main text and ``data-main="0"`` ends it, each for the whole element unless
-one further in says otherwise; what has no mark above it is not main text.
+one further in says otherwise; what has no mark above it is not main text. ``data-text="1"`` says
+that text which stands in the element itself is main text, and nothing about the element.
 """
 
 _P = (
@@ -53,6 +54,26 @@ PAGES = (
     <div class="sponsored advertisement"><p>Advertisement: the best boots for a long walk by the river.</p></div><div class="bottom legal"><p>Terms of use apply to all pages of this review.</p></div></body></html>""",
 )
 
+#: Pages whose text stands bare in the body, between blocks, in old layouts or in no element.
+BARE_PAGES = (
+    f"""<html><body data-text="1">{_P[0]} {_P[1]}<br><br>{_P[2]}<br><br>{_P[3]}</body></html>""",
+    f"""<html data-text="1">{_P[0]}<br>{_P[2]}</html>""",
+    f"""<html data-text="1">{_P[1]} {_P[3]}</html>""",
+    f"""<html data-text="1">{_SHORT}</html>""",
+    """<html data-text="1">Hello</html>""",
+    f"""<div id="root"><div class="bar"><a href="/">Mark</a><a href="/in">Enter</a></div><div class="grid"><div class="west"><a href="/1">One</a><a href="/2">Two</a><a href="/3">Three</a></div><div class="pane" data-main="1"><h1>Divisions only</h1><div class="unit">{_P[0]}</div><div class="unit">{_P[2]}</div><div class="unit">{_SHORT}</div></div></div><div class="base">No part may be used without leave. We keep all rights.</div></div>""",
+    f"""<body><div class="x1"><span>Mark</span></div><div class="x2"><div class="x3" data-main="1"><div class="x4">{_P[1]}</div><div class="x5">{_P[3]}</div></div><div class="x6"><a href="/1">One</a> <a href="/2">Two</a></div></div></body>""",
+    """<html><body data-text="1">Closed</body></html>""",
+    f"""<html><body data-text="1"><font size="3">{_P[1]} {_P[3]}<p data-main="1">{_P[0]}</p>{_P[2]}</font></body></html>""",
+    f"""<html><body data-text="1"><h1 data-main="1">Bare text</h1>{_P[2]} {_P[0]}<p data-main="1">{_P[1]}</p>{_P[3]}<div class="footer">All rights reserved.</div></body></html>""",
+    f"""<html><body data-text="1"><center><a href="/">Home</a> <a href="/l">Letters</a></center><hr>{_P[3]}<br>{_P[1]}<br>{_P[0]}<hr><a href="/n">Next letter</a></body></html>""",
+    f"""<html><body><a href="/a">Home</a> | <a href="/b">News</a> | <a href="/c">Sport</a><h2 data-main="1">Menu in the open</h2><p data-main="1">{_P[0]}</p><p data-main="1">{_P[2]}</p><hr>Copyright 2001</body></html>""",
+    f"""<html><body>Town Post<div><a href="/a">One</a> <a href="/b">Two</a></div><div data-main="1"><h1>With a head</h1>{_P[3]}<br><br>{_P[1]}<ul><li>First point</li></ul>{_P[0]}</div>&copy; Town Post <a href="/i">Imprint</a></body></html>""",
+    f"""<html><body><div id="page"><div class="menu"><ul><li><a href="/1">Start</a></li></ul></div><div class="text" data-main="1">{_P[2]}<p>{_P[0]}</p>{_P[1]}<div data-main="0" class="ad">Cheap boats.</div>{_P[3]}</div></div></body></html>""",
+    f"""<html><body><table><tr><td><a href="/1">One</a><br><a href="/2">Two</a></td><td data-main="1"><h3>In a cell</h3>{_P[1]}<br>{_P[3]}<p>{_SHORT}</p></td></tr></table></body></html>""",
+    f"""<html><body><div data-text="1"><h1 data-main="1">Loose</h1>{_P[0]}<p data-main="1">{_P[1]}</p>{_P[2]}<div class="share"><a href="/s">Share</a></div></div><div>Page 1 of 2 <a href="/2">Next</a></div></body></html>""",
+)
+
 #: Names that sites give to what stands beside a text, and to the text.
 BESIDE_NAMES = (
     "comments", "comment", "replies", "respond", "discussion", "cookie", "consent", "gdpr", "notice", "alert", "banner",

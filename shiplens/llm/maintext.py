@@ -3,7 +3,9 @@
 A page is parsed to its element tree. Each element is in one of three states: it surrounds the main
 text, it is main text, or it stands beside it (menus, notices, comments and so on). A table of parent
 and child states, and what an element looks like in each state (its tag, the words of its class, id
-and role, its share of link text, its length and punctuation), are counted on labelled pages. Messages
+and role, its share of link text, its length and punctuation), are counted on labelled pages. Text that
+stands between the blocks of an element, or in the body or in no element at all, is a leaf of its own,
+so it can be main text where what is around it is not. Messages
 are summed from the leaves up and from the root down, which gives each element's exact probability of
 being main text. The texts of elements above one half are the page's main text.
 """
@@ -41,11 +43,14 @@ ENDS = {
     "option": ({"option"}, {"select"}),
 }
 
+#: What stands in these is never taken for one piece with the blocks beside it.
+PAGE_TAGS = frozenset(("#page", "html", "body"))
+
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*(?:>|\Z)""",
     re.S,
 )
-_MARKS = re.compile(r"""\b(class|id|role|data-main)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_MARKS = re.compile(r"""\b(class|id|role|data-main|data-text)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _STOPS = re.compile(r"[.!?;:,]")
 
@@ -54,7 +59,7 @@ AROUND, MAIN, BESIDE = range(3)
 SMOOTH = 0.3
 #: Pseudo-count of each step from a parent's state to a child's.
 RARE = 0.05
-#: Length, links and punctuation say much the same, so each counts for less.
+#: Length, share, links and punctuation say much the same, so each counts for less.
 TEXT_WEIGHT = 0.5
 #: A single element's evidence is bounded, in log-odds.
 MOST_EVIDENCE = 8.0
@@ -69,6 +74,7 @@ class Page:
     words: list[tuple[str, ...]] = field(default_factory=list)
     labels: list[int | None] = field(default_factory=list)
     chunks: list[tuple[int, int, str, bool]] = field(default_factory=list)  # block, element, text, in a link
+    bare: dict[int, int] = field(default_factory=dict)  # labels of the text that stands in an element itself
 
 
 def parse(html: str) -> Page:
@@ -136,13 +142,15 @@ def parse(html: str) -> Page:
             continue
         above = stack[-1]
         given = m[3] or m[6] or ""
-        words, label = (), None
+        words, label, bare = (), None, None
         if "=" in given:
             found = []
             for key, *values in _MARKS.findall(given):
                 value = values[0] or values[1] or values[2]
                 if key.lower() == "data-main":
                     label = int(value == "1")
+                elif key.lower() == "data-text":
+                    bare = int(value == "1")
                 else:
                     found += [w.lower() for w in _WORDS.findall(unescape(value))]
             words = tuple(dict.fromkeys(found))
@@ -153,12 +161,32 @@ def parse(html: str) -> Page:
             page.parents.append(above[1])
             page.words.append(words)
             page.labels.append(label)
+            if bare is not None:
+                page.bare[element] = bare
         if not given.endswith("/") or name not in INLINE:
             stack.append((name, element, above[2] or name == "a"))
             open_names[name] += 1
+    _add_leaves(page)
     return page
 
 
+def _add_leaves(page: Page) -> None:
+    """A leaf for each run of text among the blocks of an element, or directly in the page."""
+    mixed = {page.parents[v] for v in range(1, len(page.tags)) if page.tags[v] not in INLINE}
+    mixed |= {v for v, tag in enumerate(page.tags) if tag in PAGE_TAGS}
+    last = leaf = None
+    for k, (block, element, text, link) in enumerate(page.chunks):
+        if element not in mixed or not text.strip() and (block, element) != last:
+            continue
+        if (block, element) != last:
+            last, leaf = (block, element), len(page.tags)
+            page.tags.append("#text")
+            page.parents.append(element)
+            page.words.append(())
+            page.labels.append(page.bare.get(element))
+        page.chunks[k] = (block, leaf, text, link)
+
+
 def features(page: Page) -> list[list[str]]:
     """What each element looks like, over all text below it."""
     n = len(page.tags)
@@ -183,6 +211,10 @@ def features(page: Page) -> list[list[str]]:
             mine.append(f"l:{min(3, 4 * link[v] // s)}")
             mine.append(f"n:{min(5, int(math.log(s, 4)))}")
             mine.append(f"s:{min(3, 100 * stops[v] // s)}")
+            if page.tags[v] != "#text":
+                mine.append(f"p:{4 * s // size[0]}")  # its share of the page
+            if page.tags[v] == "#text" and s == size[0]:
+                mine.append("a:all")  # the page has no other text
         out.append(mine)
     return out
 
@@ -281,7 +313,7 @@ def train(pages: Iterable[str], smooth: float = SMOOTH) -> TreeModel:
                 steps[states[page.parents[v]]][states[v]] += 1
     weight = {}
     for f in set().union(*seen):
-        scale = TEXT_WEIGHT if f[:2] in ("l:", "n:", "s:") else 1.0
+        scale = TEXT_WEIGHT if f[:2] in ("l:", "n:", "s:", "p:") else 1.0
         weight[f] = tuple(scale * math.log((seen[k][f] + smooth) / (total[k] + 2 * smooth)) for k in range(3))
     return TreeModel([_normal(r) for r in steps], weight)
 
@@ -290,8 +322,8 @@ def extract_main_text(pages: DataFrame, model: TreeModel, page_id: str = "page_i
     """``page_id``, ``url``, ``text``, ``n_chars`` (code points) of each row of ``pages``.
 
     Nulls in the html count as an empty page, which has an empty text; a null id or url is passed
-    on. Repeated rows are returned as often as given; further columns are ignored. Nothing is cut:
-    the work is linear in the page.
+    on. Repeated rows are returned as often as given; further columns are ignored. Nothing is cut,
+    however long the page: the work is linear in it. An empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiplens.llm.common import stage
-from shiplens.llm.labelled_pages import PAGES, named_pages
+from shiplens.llm.labelled_pages import BARE_PAGES, PAGES, named_pages
 from shiplens.llm.langid import identify, train
 from shiplens.llm.linededup import remove_shared_lines
 from shiplens.llm.maintext import extract_main_text
@@ -219,7 +219,7 @@ def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op5_main_text(spark: SparkSession, folder: str) -> DataFrame:
-    return extract_main_text(load(spark, folder, "pages"), train_tree([*PAGES, *named_pages()]))
+    return extract_main_text(load(spark, folder, "pages"), train_tree([*PAGES, *BARE_PAGES, *named_pages()]))
 
 
 @query()

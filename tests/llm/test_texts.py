@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 from html import unescape
 
 import pytest
@@ -11,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from shiplens.llm import maintext, pii, tiling, wordpiece
-from shiplens.llm.labelled_pages import PAGES, named_pages
+from shiplens.llm.labelled_pages import BARE_PAGES, PAGES, named_pages
 from shiplens.llm.queries import VOCABULARY
 
 # ---- token counts
@@ -142,7 +143,7 @@ def test_leaks_in_the_given_documents(spark, given, odd, clashing, none):
 
 # ---- main text
 
-MODEL = maintext.train([*PAGES, *named_pages()])
+MODEL = maintext.train([*PAGES, *BARE_PAGES, *named_pages()])
 
 
 def test_messages_equal_summing_over_all_states():
@@ -168,7 +169,7 @@ def test_messages_equal_summing_over_all_states():
 
 
 def test_each_labelled_page_read_by_a_model_of_the_others():
-    pages, right, every = [*PAGES, *named_pages()], 0, 0
+    pages, right, every = [*PAGES, *BARE_PAGES, *named_pages()], 0, 0
     for k, html in enumerate(pages):
         model = maintext.train(pages[:k] + pages[k + 1 :])
         page = maintext.parse(html)
@@ -189,6 +190,48 @@ def test_main_text_of_the_given_pages(spark):
         assert got[r.page_id].text == "\n\n".join(b for b in blocks if b) and got[r.page_id].n_chars == len(got[r.page_id].text)
 
 
+def test_bare_text_stays():
+    bare = "Some bare article text, which stands in the body and in nothing else."
+    assert MODEL.main_text(f"<html><body>{bare}<br><br>Second paragraph, with a stop.</body></html>") == f"{bare} Second paragraph, with a stop."
+    assert MODEL.main_text(f"<font>An old page about ships. It is long enough.<p>{bare}</p></font>") == f"An old page about ships. It is long enough.\n\n{bare}"
+    assert MODEL.main_text("text") == "text" and MODEL.main_text("<body>one &amp; two</body>") == "one & two"
+    mixed = f"<article><h1>Head</h1>{bare}<p>{bare}</p>{bare}<ul><li>Point one</li></ul>And an end, at last.</article>"
+    nav = "<nav><a href='/'>Home</a> <a href='/n'>News</a></nav>"
+    assert MODEL.main_text(f"<body>{nav}{mixed}<footer>&copy; us</footer></body>") == "\n\n".join(["Head", bare, bare, bare, "Point one", "And an end, at last."])
+
+
+#: Pages of layouts that no labelled page has: {m..} is main text, the rest is not.
+HELD_OUT = (
+    "<body bgcolor=white><table width=100%><tr><td><a href=/>Main</a> <a href=/x>Archive</a></td></tr></table><table><tr><td>{The mill stands where two streams meet, and it has done so for six hundred years.}<br><br>{Nobody knows who built it.} {A charter of 1423 names a miller, but not his mill.}</td></tr></table><hr><small>Last change: 3 May 1998</small></body>",
+    "<div id=app><div class=topbar><a href=/>Logo</a><a href=/login>Log in</a></div><div class=layout><div class=col-left><a href=/1>First</a><a href=/2>Second</a><a href=/3>Third</a></div><div class=reader><h1>{On mills}</h1><div class=para>{A mill needs water, and water needs a slope.}</div><div class=para>{Where there is none, people built weirs; some of them still hold.}</div></div></div><div class=legal>Terms and privacy. All rights reserved.</div></div>",
+    "<body><h1>{A letter from the coast}</h1>{Dear all, the storm has passed and the boats are safe.}<p>{We lost two nets, but nobody was hurt, which is what counts.}</p><p>{Write soon.}</p><hr><a href=/prev>Earlier letter</a> <a href=/next>Later letter</a></body>",
+    "<header class=masthead><h2>The Evening Paper</h2></header><main><h1>{Ferry stops for the winter}</h1><p class=standfirst>{The last boat leaves on Sunday at noon, the company said.}</p><p>{Passengers have to take the bridge until March. It adds an hour to the way.}</p><div class=newsletter-box><p>Sign up for our letter and read it every morning.</p></div><p>{The company hopes for a mild winter.}</p></main><section class=comments><p>I will miss it. It was always late, but it came.</p></section>",
+    "<body><center><b>Home page of the river club</b></center><ul><li><a href=/a>About</a></li><li><a href=/t>Trips</a></li></ul><h3>{Trip to the falls}</h3><p>{We met at six, which was early, and drove north for three hours.}</p><p>{The falls were higher than we had thought.} <i>{Nobody fell in.}</i></p><address>Mail the keeper of these pages.</address></body>",
+    "<div class=blog><div class=post><h2 class=post-title>{How I mend a net}</h2><div class=post-body><p>{First find the hole, and cut it square.}</p><ol><li>{Tie on at a corner.}</li><li>{Work along the row, one knot for each mesh.}</li></ol><p>{It takes an evening.}</p></div><div class=post-tags><a href=/t/net>net</a><a href=/t/boat>boat</a></div></div><div class=sidebar><h4>About me</h4><p>I fish and I write about it, mostly in that order.</p></div></div>",
+    "<html><body><div class=cookie-bar>We use cookies. <button>Fine</button></div><article><header><h1>{The price of salt}</h1></header><section><p>{Salt was once worth its weight in silver, or so they say.}</p><p>{It never was, but it made towns rich.}</p></section><section><h2>{Roads of salt}</h2><p>{From the coast it went inland on mules; the roads are still there.}</p></section></article><div class=ad-slot>Boots at half price!</div></body></html>",
+    "<frameset></frameset><noframes><body>{This page tells the story of a lighthouse, from its first lamp to its last.}<br>{It was lit in 1811, and put out in 1975.}</body></noframes>",
+    "<body><pre>{A poem of the sea}\n{The tide comes in, the tide goes out,}\n{and nobody asks it why.}</pre><p><a href=/>Back to all poems</a></p></body>",
+    "<div role=navigation><a href=/>Start</a><a href=/map>Map</a></div><div role=main><h1>{Walk five}</h1><p>{Start at the church and go down to the water.}</p><table><tr><td>{Length}</td><td>{nine miles}</td></tr></table><p>{Mind the cows, which mind you less.}</p></div><div role=contentinfo>The walkers of the valley, since 1962.</div>",
+)
+
+
+def held_out_scores():
+    """Share of what is kept that is main text, and share of main text that is kept, by words of each page."""
+    out = []
+    for page in HELD_OUT:
+        main = " ".join(unescape(re.sub(r"<[^>]+>", " ", x)) for x in re.findall(r"\{(.*?)\}", page, re.S)).split()
+        got = MODEL.main_text(page.replace("{", "").replace("}", "")).split()
+        right = sum((Counter(main) & Counter(got)).values())
+        out.append((right / len(got) if got else 0.0, right / len(main)))
+    return out
+
+
+def test_pages_of_other_layouts():
+    scores = held_out_scores()
+    precision, recall = (sum(s[k] for s in scores) / len(scores) for k in (0, 1))
+    assert precision > 0.85 and recall > 0.9, scores
+
+
 def test_odd_pages(spark):
     body = "<p>One line of text that is long enough to be read, and then some more.</p>"
     rows = [
@@ -203,6 +246,7 @@ def test_odd_pages(spark):
     text = {r.page_id: r.text for r in got}
     assert text[1] == text[2] == text[5] == "" and text[11].count("\n\n") == 29_999
     assert text[3].startswith("éé&lt; a < b\n\nOne line")
+    assert text[8].startswith("One line") and text[9] == "plain text only, without any element at all, but with a stop."
     assert maintext.extract_main_text(pages.filter("page_id < 0"), MODEL).count() == 0
 
 
