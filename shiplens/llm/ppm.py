@@ -261,31 +261,35 @@ def _requests(copies: int):
 
 def _word_requests(texts: list[bytes], rows: list, copy: int, number: int) -> list[int]:
     """Adds the requests for words to ``rows``; the tokens of each text are returned."""
-    places: dict[bytes, list[tuple[int, int]]] = {b"": [(k, 1) for k in range(len(texts))]}
     tokens = [1] * len(texts)
-    piece = 0
-
-    def out():
-        nonlocal piece
-        by_part: dict[int, list[bytes]] = {}
-        for word in places:
-            by_part.setdefault(word_part(word), []).append(word)
-        for part, words in sorted(by_part.items()):
-            flat = np.array([e for w in words for e in places[w]], dtype=np.int64).reshape(-1, 2)
-            spans = np.array([len(places[w]) for w in words])
-            rows.append((part, copy, number, piece, len(texts), *_request(words, spans, flat[:, 0], flat[:, 1]), *_NONE))
-        places.clear()
-        piece += 1
-
-    for k, text in enumerate(texts):
-        for found in _words(text):
-            tokens[k] += len(found)
-            for word, n in Counter(found).items():
-                places.setdefault(word, []).append((k, n))
-            if len(texts) == 1 and len(places) > MEMORY:
-                out()
-    if places:
-        out()
+    if len(texts) > 1:
+        found = [text.split() for text in texts]
+        pieces = iter([([w for words in found for w in words], np.repeat(np.arange(len(texts)), [len(f) for f in found]))])
+        tokens = [1 + len(f) for f in found]
+    else:
+        pieces = ((f, np.zeros(len(f), dtype=np.int64)) for f in _words(texts[0]))
+    for piece, (words, docs) in enumerate(pieces):
+        if len(texts) == 1:
+            tokens[0] += len(words)
+        if piece == 0:  # every text has one end
+            words, docs = words + [b""] * len(texts), np.append(docs, np.arange(len(texts)))
+        coded = pa.array(words, pa.binary()).dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        part = np.array([word_part(w) for w in names], dtype=np.int64)
+        # Words in the order of their parts, then each word's documents in turn.
+        order = np.argsort(part, kind="stable")
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        keys, times = np.unique((place[coded.indices.to_numpy()] << DOC) | docs, return_counts=True)
+        word = keys >> DOC
+        spans = np.bincount(word, minlength=len(order))
+        edges = np.concatenate([[0], np.cumsum(spans)])
+        docs, part = keys & (SLICE_DOCS - 1), part[order]
+        cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, int)
+        for x, y in zip(cuts, np.append(cuts[1:], len(part))):
+            asked = [names[k] for k in order[x:y]]
+            inner = slice(edges[x], edges[y])
+            rows.append((int(part[x]), copy, number, piece, len(texts), *_request(asked, spans[x:y], docs[inner], times[inner]), *_NONE))
     return tokens
 
 
