@@ -8,7 +8,7 @@ around it only, so equal substrings are cut alike inside, wherever they stand. A
 hash of its symbols; the names are the next level's symbols, until one is left.
 
 The fingerprint is a one-permutation min-hash sketch of all names from level ``LOWEST`` up: 64 bins
-of 16 bits. The likeness of two fingerprints is the share of equal bins among those that either
+of 32 bits, which unrelated texts of a hundred megabytes do not fill up. The likeness of two fingerprints is the share of equal bins among those that either
 fills, an estimate of how many phrases the texts share.
 """
 
@@ -26,7 +26,7 @@ from shiplens.llm.common import row_key, slices, text_or_empty
 
 LOWEST = 2
 BINS = 64
-EMPTY = 0xFFFF
+EMPTY = 0xFFFFFFFF
 #: Rows of an id range, and id ranges at most.
 RANGE_ROWS, RANGES = 2_000, 10_000
 
@@ -106,7 +106,7 @@ def next_level(names: np.ndarray, sizes: np.ndarray, level: int) -> tuple[np.nda
 
 def sketches(texts: list[bytes], lowest: int = LOWEST) -> np.ndarray:
     """One row of ``BINS`` values for each text; all bins of an empty text are ``EMPTY``."""
-    out = np.full((len(texts), BINS), EMPTY, dtype=np.uint16)
+    out = np.full((len(texts), BINS), EMPTY, dtype=np.uint32)
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     which = np.nonzero(sizes)[0]
     if not len(which):
@@ -122,7 +122,7 @@ def sketches(texts: list[bytes], lowest: int = LOWEST) -> np.ndarray:
         names, sizes = next_level(names, sizes, level)
         if level >= lowest:
             owner = np.repeat(which, sizes) * BINS
-            value = ((names >> np.uint64(6)) % np.uint64(EMPTY)).astype(np.uint16)
+            value = ((names >> np.uint64(6)) % np.uint64(EMPTY)).astype(np.uint32)
             np.minimum.at(flat, owner + (names & np.uint64(BINS - 1)).astype(np.int64), value)
             # A text that is down to one symbol is done, whatever stands beside it.
             going = sizes > 1
@@ -138,7 +138,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def as_hex(sketch: np.ndarray) -> str:
-    return sketch.astype(">u2").tobytes().hex()
+    return sketch.astype(">u4").tobytes().hex()
 
 
 def edited(text: str, following: str) -> str:
@@ -248,7 +248,7 @@ def fingerprint_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
 def fingerprint_likeness(a: Column, b: Column) -> Column:
     """``likeness`` of two fingerprint strings as a column expression."""
     places = F.sequence(F.lit(0), F.lit(BINS - 1))
-    piece = lambda c, k: F.substr(c, k * 4 + 1, F.lit(4))
-    filled = F.size(F.filter(places, lambda k: (piece(a, k) != "ffff") | (piece(b, k) != "ffff")))
-    equal = F.size(F.filter(places, lambda k: (piece(a, k) == piece(b, k)) & (piece(a, k) != "ffff")))
+    piece = lambda c, k: F.substr(c, k * 8 + 1, F.lit(8))
+    filled = F.size(F.filter(places, lambda k: (piece(a, k) != "ffffffff") | (piece(b, k) != "ffffffff")))
+    equal = F.size(F.filter(places, lambda k: (piece(a, k) == piece(b, k)) & (piece(a, k) != "ffffffff")))
     return F.when(filled == 0, F.lit(1.0)).otherwise(equal / filled)

@@ -161,3 +161,12 @@ def test_likeness_column_is_likeness(spark, given):
     assert all(abs(r.near_edited - r.x) < 1e-12 for r in rows.collect())
     whole = {r.doc_id: r.fingerprint for r in phrases.fingerprint_texts(given).collect()}
     assert whole == {r.doc_id: r.fingerprint for r in phrases.edited_fingerprints(given).collect()}
+
+
+def test_unrelated_long_texts_stay_unlike():
+    rnd = np.random.default_rng(3)
+    one, two = (rnd.integers(32, 127, 20_000_000, dtype=np.uint8).tobytes() for _ in range(2))
+    a, b = phrases.sketches([one]), phrases.sketches([two])
+    assert phrases.likeness(a[0], b[0]) < 0.05
+    half = phrases.sketches([one[:12_000_000] + two[:8_000_000]])
+    assert 0.2 < phrases.likeness(a[0], half[0]) < 0.7
