@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shiplens.catalog.registry import query
+from shiplens.functions.stats import rounded
 from shiplens.plans import terms
+from shiplens.sources import readers
 
 _STOPS = ", ".join(f"'{w}'" for w in terms.STOP_WORDS)
 _KEEP = (
@@ -60,11 +62,23 @@ def top_bigrams(t):
     return terms.top_bigrams(t.documents, "lang", "text")
 
 
-def _topic_tables(t):
-    docs = t.documents.withColumn(
-        "side", F.when(F.col("lang") == "en", "customer").otherwise("internal")
-    )
-    return terms.topics(docs, "doc_id", "text", "side", "customer", "internal", k=10)
+#: Topic tables of this process, by application, folder and period: the queries share each fit.
+_FITTED: dict[tuple[str, str, str], dict] = {}
+
+
+def _topic_tables(t, label="all"):
+    """Topics of a period (all documents, or those of even or odd id), with a stop list of lines."""
+    key = (t.spark.sparkContext.applicationId, t.folder, label)
+    if key not in _FITTED:
+        docs = t.documents.withColumn("side", F.when(F.col("lang") == "en", "customer").otherwise("internal"))
+        # The list as it stands in a file: the commonest source names, a remark and a blank line.
+        lines = t.documents.select(F.upper("source").alias("value")).distinct().union(t.region.select(F.lit("# no words")))
+        inside = {"all": F.lit(True), "even": F.col("doc_id") % 2 == 0, "odd": F.col("doc_id") % 2 == 1}[label]
+        _FITTED[key] = terms.topics_by_period(
+            docs, {label: inside}, text="text", source="side", component="source",
+            customer="customer", internal="internal", k=10, extra_stop=readers.stopwords(lines),
+        )
+    return _FITTED[key]
 
 
 @query()
@@ -77,13 +91,73 @@ def topic_divergence(t):
     return _topic_tables(t)["divergence"]
 
 
-@query("SELECT side, 10::BIGINT AS n_topics, 1.0::DOUBLE AS weight FROM (VALUES ('customer'), ('internal')) AS t(side)")
+@query()
+def topic_by_component(t):
+    return _topic_tables(t)["by_component"]
+
+
+@query()
+def topics_between_periods(t):
+    both = _topic_tables(t, "even")["terms"].unionByName(_topic_tables(t, "odd")["terms"])
+    return terms.matched_topics(both, "even", "odd")
+
+
+@query(
+    "SELECT DISTINCT CASE lang WHEN 'en' THEN 'customer' ELSE 'internal' END AS side, 'all' AS period, 10::BIGINT AS n_topics, 1.0::DOUBLE AS weight FROM documents"
+)
 def topic_shares(t):
     """Mean topic weights of each source: ten of them, adding up to one."""
-    by = _topic_tables(t)["by_source"].groupBy("side")
+    by = _topic_tables(t)["by_source"].groupBy("side", "period")
     return by.agg(F.count("topic").alias("n_topics"), F.round(F.sum("avg_gamma"), 4).alias("weight"))
 
 
+_WEIGHTS = """
+WITH g AS (SELECT doc_id, CASE lang WHEN 'en' THEN 'customer' ELSE 'internal' END AS side, source, unnest(range(1, 5)) AS topic, n_chars FROM documents),
+w AS (SELECT side, source, topic, ((n_chars * topic) % 7 + 1 + CASE WHEN side = 'customer' THEN 3 * topic ELSE 0 END)::DOUBLE AS gamma FROM g),
+m AS (SELECT side, topic, avg(gamma) AS avg_gamma FROM w GROUP BY 1, 2),
+s AS (SELECT *, round((avg_gamma / sum(avg_gamma) OVER (PARTITION BY side) * 100)::DECIMAL(28,10), 1)::DOUBLE AS prop FROM m),
+te AS (SELECT topic, r AS rank, 't' || topic || '-' || r AS term FROM range(1, 5) a(topic), range(1, 9) b(r)),
+tt AS (SELECT topic, string_agg(term, ', ' ORDER BY rank) AS top_terms FROM te WHERE rank <= 5 GROUP BY 1)
+"""
+
+
+def _given_weights(t):
+    """Topic weights by a rule, so that what is made of them can be checked to the digit."""
+    side = F.when(F.col("lang") == "en", "customer").otherwise("internal")
+    rows = t.documents.select(side.alias("side"), "source", "n_chars", F.explode(F.sequence(F.lit(1), F.lit(4))).alias("topic"))
+    extra = F.when(F.col("side") == "customer", F.col("topic") * 3).otherwise(0)
+    return rows.select("side", "source", "topic", ((F.col("n_chars") * F.col("topic")) % 7 + 1 + extra).cast("double").alias("gamma"))
+
+
+@query(_WEIGHTS + "SELECT side, topic::INT AS topic, round(avg_gamma::DECIMAL(28,10), 6)::DOUBLE AS avg_gamma, prop FROM s")
+def shares_of_weights(t):
+    out = terms.topic_by_source(_given_weights(t), "side")
+    return out.withColumn("avg_gamma", rounded("avg_gamma", 6))
+
+
+@query(
+    _WEIGHTS
+    + """, v AS (SELECT topic, coalesce(max(prop) FILTER (WHERE side = 'customer'), 0) AS customer_pct, coalesce(max(prop) FILTER (WHERE side = 'internal'), 0) AS internal_pct FROM s GROUP BY 1),
+    d AS (SELECT *, round((customer_pct - internal_pct)::DECIMAL(28,10), 1)::DOUBLE AS difference FROM v)
+    SELECT topic::INT AS topic, customer_pct, internal_pct, difference, abs(difference) AS abs_difference,
+      CASE WHEN difference > 5 THEN 'Customer-skewed' WHEN difference < -5 THEN 'Internal-skewed' ELSE 'Balanced' END AS direction, top_terms FROM d JOIN tt USING (topic)"""
+)
+def divergence_of_weights(t):
+    numbers = lambda n: F.explode(F.sequence(F.lit(1), F.lit(n)))
+    names = t.documents.limit(1).select(numbers(4).alias("topic")).select("topic", numbers(8).alias("rank"))
+    leading = names.select("topic", "rank", F.format_string("t%d-%d", "topic", "rank").alias("term"))
+    return terms.topic_divergence(terms.topic_by_source(_given_weights(t), "side"), "side", "customer", "internal", leading)
+
+
+@query(
+    _WEIGHTS
+    + """, tc AS (SELECT source FROM documents WHERE source <> '' GROUP BY 1 ORDER BY count(*) DESC, source LIMIT 15)
+    SELECT source, topic::INT AS topic, side, round(avg(gamma)::DECIMAL(28,10), 3)::DOUBLE AS avg_gamma FROM w WHERE source IN (FROM tc) GROUP BY ALL"""
+)
+def component_weights(t):
+    return terms.topic_by_component(_given_weights(t), t.documents, "source", "side")
+
+
 @query(
     f"""
 WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS word FROM documents),
@@ -93,10 +167,7 @@ SELECT doc_id, count(DISTINCT word) AS n_terms, count(*)::DOUBLE AS n_words FROM
 )
 def term_matrix_rows(t):
     """The document-term matrix by its rows: terms and words of each document that has any."""
-    from pyspark.ml.functions import vector_to_array
-
-    matrix, _ = terms.term_matrix(t.documents, "doc_id", "text")
-    counts = F.filter(vector_to_array("features"), lambda x: x > 0)
-    return matrix.select(
-        "doc_id", F.size(counts).cast("long").alias("n_terms"), F.aggregate(counts, F.lit(0.0), lambda a, x: a + x).alias("n_words")
-    )
+    # So many places that no two of the words share one.
+    matrix, _ = terms.term_matrix(t.documents, "doc_id", "text", slots=(1 << 31) - 1)
+    cells = matrix.select("doc_id", F.from_json(F.to_json(F.struct(F.col("features").alias("f"))), "f struct<values: array<double>>")["f"]["values"].alias("v"))
+    return cells.select("doc_id", F.size("v").cast("long").alias("n_terms"), F.aggregate("v", F.lit(0.0), lambda a, x: a + x).alias("n_words"))

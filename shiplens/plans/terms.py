@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shiplens.functions.stats import ratio, share_of_total, rounded
-from shiplens.lineage import spread
+from shiplens.lineage import cut_lineage, run_folder, spread
 from shiplens.operators.bridge import top_with_ties
 
 # A short stop list; callers add their own words as a table.
@@ -21,11 +22,14 @@ STOP_WORDS = (
 MIN_WORD_LENGTH = 3
 MIN_CORPUS_COUNT = 3
 N_TOPICS = 10
-VOCABULARY_LIMIT = 1 << 20
+#: Places of the term matrix at most.
+SLOTS = 1 << 18
 TOP_TERMS = 10
-#: Passes of the topic model over all documents, and the weight that delays its first steps; at
+#: Passes of the topic model over all documents before it is first tested, the share of
+#: log-perplexity that further ones must gain, and the weight that delays the first steps; at
 #: Spark's default of 1024 each pass would move the topics by three hundredths only.
-PASSES = 20
+PASSES = 12
+TOLERANCE = 0.02
 LEARNING_OFFSET = 1.0
 
 
@@ -114,7 +118,9 @@ def blind_spots(
     )
 
 
-def bigrams(docs: DataFrame, corpus: str, text: str, stop=STOP_WORDS) -> DataFrame:
+def bigrams(
+    docs: DataFrame, corpus: str, text: str, stop=STOP_WORDS, extra_stop: DataFrame | None = None
+) -> DataFrame:
     """Neighbouring word pairs, both words kept."""
     rows = spread(docs.select(corpus, text)).select(corpus, words_of(F.col(text)).alias("_w"))
     pairs = F.arrays_zip(
@@ -122,63 +128,89 @@ def bigrams(docs: DataFrame, corpus: str, text: str, stop=STOP_WORDS) -> DataFra
         F.slice("_w", F.lit(2), F.greatest(F.size("_w") - 1, F.lit(0))).alias("b"),
     )
     rows = rows.select(corpus, F.inline(pairs).alias("a", "b"))
-    return rows.where(keeps(F.col("a"), stop) & keeps(F.col("b"), stop)).select(
-        corpus, F.concat_ws(" ", "a", "b").alias("bigram")
-    )
+    rows = rows.where(keeps(F.col("a"), stop) & keeps(F.col("b"), stop))
+    if extra_stop is not None:
+        for side in ("a", "b"):
+            rows = rows.join(extra_stop.select(F.col("word").alias(side)), side, "left_anti")
+    return rows.select(corpus, F.concat_ws(" ", "a", "b").alias("bigram"))
 
 
-def top_bigrams(docs: DataFrame, corpus: str, text: str, n: int = 15, stop=STOP_WORDS) -> DataFrame:
+def top_bigrams(
+    docs: DataFrame, corpus: str, text: str, n: int = 15, stop=STOP_WORDS, extra_stop: DataFrame | None = None
+) -> DataFrame:
     """Most frequent bigrams per corpus, ties kept."""
-    counts = bigrams(docs, corpus, text, stop).groupBy(corpus, "bigram").agg(
+    counts = bigrams(docs, corpus, text, stop, extra_stop).groupBy(corpus, "bigram").agg(
         F.count(F.lit(1)).alias("n")
     )
     return top_with_ties(counts, [corpus], [F.desc("n")], n)
 
 
 def term_matrix(
-    docs: DataFrame, doc: str, text: str, min_count: int = MIN_CORPUS_COUNT, stop=STOP_WORDS
-) -> tuple[DataFrame, CountVectorizerModel]:
-    """Sparse term counts per document over words of enough occurrences in the corpus.
-
-    The topic model keeps the vocabulary on the driver, so its size is checked first; a
-    larger one is an error, never a silent cut.
+    docs: DataFrame,
+    doc: str,
+    text: str,
+    min_count: int = MIN_CORPUS_COUNT,
+    stop=STOP_WORDS,
+    extra_stop: DataFrame | None = None,
+    slots: int = SLOTS,
+) -> tuple[DataFrame, DataFrame]:
+    """Sparse term counts per document (``features``) and the ``slot``, ``term`` table of their places.
+
+    Words are hashed to ``slots`` and the used ones numbered, so neither driver nor tasks hold a
+    vocabulary and a model's size is bounded; words that share a slot are counted together under the
+    name of the most frequent. Rows of one document are added up first, so a document may be of any
+    size. A document without a kept word has no row. The matrix is written in a part per core.
     """
-    words = token_counts(tokens(docs, [doc], text, stop), [doc])
-    corpus = words.groupBy("word").agg(F.sum("n").alias("_n")).where(F.col("_n") >= min_count)
-    size = corpus.count()
-    if size > VOCABULARY_LIMIT:
-        raise ValueError(f"vocabulary of {size} words; raise min_count or add stop words")
-    vocabulary = sorted(r["word"] for r in corpus.select("word").toLocalIterator())
-    model = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_words", outputCol="features")
-    # A document without a word of the vocabulary has no topics, and none is drawn for it.
-    kept = words.join(corpus, "word", "left_semi").select(doc).distinct()
-    bags = docs.join(kept, doc, "left_semi").select(
-        doc, F.filter(words_of(F.col(text)), lambda w: keeps(w, stop)).alias("_words")
-    )
-    return model.transform(bags).select(doc, "features"), model
-
-
-def fit_topics(matrix: DataFrame, k: int = N_TOPICS, seed: int = 1234, max_iter: int = PASSES) -> LDAModel:
-    """Topics of all documents: each iteration draws as many as there are, with replacement.
-
-    A draw leaves out a document with probability 1/e, so all of ``max_iter`` leave it out with
-    probability ``exp(-max_iter)``.
+    counts = cut_lineage(token_counts(tokens(docs, [doc], text, stop, extra_stop), [doc]))
+    corpus = counts.groupBy("word").agg(F.sum("n").alias("_n")).where(F.col("_n") >= min_count)
+    corpus = cut_lineage(corpus.withColumn("_hash", F.pmod(F.xxhash64("word"), F.lit(slots))))
+    names = corpus.groupBy("_hash").agg(F.max_by("word", F.struct("_n", "word")).alias("term"))
+    # At most ``slots`` rows in one window.
+    places = names.withColumn("slot", (F.row_number().over(Window.orderBy("_hash")) - 1).cast("int"))
+    places = cut_lineage(places)
+    known = corpus.join(places.select("_hash", "slot"), "_hash").select("word", "slot")
+    cells = counts.join(known, "word").groupBy(doc, "slot").agg(F.sum("n").cast("double").alias("v"))
+    size = places.count()
+    bags = cells.groupBy(doc).agg(F.sort_array(F.collect_list(F.struct("slot", "v"))).alias("_c"))
+    # The stored form of a sparse vector; read back under the vector type, it is one.
+    vector = F.struct(
+        F.lit(0).cast("tinyint").alias("type"), F.lit(size).cast("int").alias("size"),
+        F.col("_c.slot").alias("indices"), F.col("_c.v").alias("values"),
+    )
+    spark = docs.sparkSession
+    path = run_folder(spark, "matrix")
+    bags.select(doc, vector.alias("features")).repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
+    schema = T.StructType([docs.schema[doc], T.StructField("features", VectorUDT())])
+    return spark.read.schema(schema).parquet(path), places.select("slot", "term")
+
+
+def fit_topics(
+    matrix: DataFrame, k: int = N_TOPICS, seed: int = 1234, max_iter: int = PASSES, tolerance: float = TOLERANCE
+) -> LDAModel:
+    """Topics of all documents, in full passes, until they explain the words no better.
+
+    The number of passes doubles from ``max_iter`` on, until log-perplexity falls by less than
+    ``tolerance`` of itself.
     """
-    lda = LDA(k=k, seed=seed, maxIter=max_iter, optimizer="online", subsamplingRate=1.0, learningOffset=LEARNING_OFFSET)
-    return lda.fit(matrix)
-
-
-def topic_terms(model: LDAModel, vocabulary: CountVectorizerModel, n: int = TOP_TERMS) -> DataFrame:
+    before, passes = None, max_iter
+    while True:
+        # A draw of rate 1 takes as many documents as there are, with replacement.
+        lda = LDA(k=k, seed=seed, maxIter=passes, optimizer="online", subsamplingRate=1.0, learningOffset=LEARNING_OFFSET)
+        model = lda.fit(matrix)
+        now = model.logPerplexity(matrix)
+        if before is not None and before - now < tolerance * abs(before):
+            return model
+        before, passes = now, passes * 2
+
+
+def topic_terms(model: LDAModel, names: DataFrame, n: int = TOP_TERMS) -> DataFrame:
     """Heaviest terms of each topic with their weights."""
-    words = vocabulary.vocabulary
     top = model.describeTopics(n)
     pairs = top.select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "t"))
-    used = {i for r in top.select("termIndices").collect() for i in r[0]}
-    names = F.create_map(*[x for i in sorted(used) for x in (F.lit(i), F.lit(words[i]))])
-    return pairs.select(
+    return pairs.withColumn("slot", F.col("t.termIndices")).join(names, "slot").select(
         (F.col("topic") + 1).alias("topic"),
         (F.col("rank") + 1).alias("rank"),
-        F.element_at(names, F.col("t.termIndices")).alias("term"),
+        "term",
         F.col("t.termWeights").alias("beta"),
     )
 
@@ -249,38 +281,65 @@ def topic_by_component(
 
 def topics(
     docs: DataFrame,
-    doc: str,
     text: str,
     source: str,
+    component: str,
     customer,
     internal,
     k: int = N_TOPICS,
     seed: int = 1234,
     max_iter: int = PASSES,
     stop=STOP_WORDS,
+    extra_stop: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Topic model of a corpus and its tables: terms, by source, divergence, weights."""
-    matrix, vocabulary = term_matrix(docs, doc, text, stop=stop)
-    matrix = matrix.cache()
+    """The tables of a topic model: terms, by_source, divergence, by_component, bigrams.
+
+    A document of the model is all text of one source and component; a null component is one.
+    """
+    name = F.coalesce(F.col(component).cast("string"), F.lit("Unspecified"))
+    rows = docs.where(F.col(source).isNotNull()).withColumn("_doc", F.concat_ws("_", F.col(source).cast("string"), name))
+    matrix, names = term_matrix(rows, "_doc", text, stop=stop, extra_stop=extra_stop)
     model = fit_topics(matrix, k, seed, max_iter)
-    terms = topic_terms(model, vocabulary)
-    weights = topic_weights(model, matrix, doc).join(docs.select(doc, source), doc)
+    terms = cut_lineage(topic_terms(model, names))
+    keys = rows.select("_doc", source, component).distinct()
+    weights = cut_lineage(topic_weights(model, matrix, "_doc").join(keys, "_doc").drop("_doc"))
     by_source = topic_by_source(weights, source)
     return {
         "terms": terms,
         "weights": weights,
         "by_source": by_source,
         "divergence": topic_divergence(by_source, source, customer, internal, terms),
+        "by_component": topic_by_component(weights, docs, component, source),
+        "bigrams": top_bigrams(docs, source, text, stop=stop, extra_stop=extra_stop),
     }
 
 
-def topics_by_period(docs: DataFrame, period: str, labels: list[str], min_docs: int = 50, **kwargs):
-    """The same model over several named periods; periods with too few documents are left out."""
-    out = None
-    for label in labels:
-        part = docs.where(F.col(period) == label)
+def topics_by_period(
+    docs: DataFrame, periods: dict[str, Column], min_docs: int = 50, **kwargs
+) -> dict[str, DataFrame]:
+    """``topics`` of each period (a label and the rows it takes), every table with its ``period``.
+
+    Periods may overlap; one with fewer than ``min_docs`` rows is left out.
+    """
+    out: dict[str, DataFrame] = {}
+    for label, inside in periods.items():
+        part = docs.where(inside)
         if part.limit(min_docs).count() < min_docs:
             continue
-        terms = topics(part, **kwargs)["divergence"].withColumn("period", F.lit(label))
-        out = terms if out is None else out.unionByName(terms)
+        for name, table in topics(part, **kwargs).items():
+            table = table.withColumn("period", F.lit(label))
+            out[name] = out[name].unionByName(table) if name in out else table
     return out
+
+
+def matched_topics(terms: DataFrame, one: str, two: str) -> DataFrame:
+    """For each topic of period ``one`` the topic of ``two`` that shares most of its leading weight.
+
+    ``shared`` adds up the lesser weight of each term that leads both; a topic without such a term
+    has no match.
+    """
+    a = terms.where(F.col("period") == one).select("term", F.col("topic").alias("topic"), F.col("beta").alias("_a"))
+    b = terms.where(F.col("period") == two).select("term", F.col("topic").alias("match"), F.col("beta").alias("_b"))
+    both = a.join(b, "term").groupBy("topic", "match").agg(F.sum(F.least("_a", "_b")).alias("shared"))
+    best = both.groupBy("topic").agg(F.min_by(F.struct("match", "shared"), F.struct(-F.col("shared"), F.col("match"))).alias("_m"))
+    return best.select("topic", "_m.match", "_m.shared")

@@ -1,14 +1,12 @@
 """Forecast, topic and streaming behaviour."""
 
 import random
-from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from shiplens.catalog import terms as topic_queries
 from shiplens.operators.merge import PartitionedTable
 from shiplens.plans import forecast, terms
 from shiplens.streaming import builds
@@ -61,34 +59,49 @@ def test_soft_cap(spark):
     assert m.predict(huge).agg(F.max("prediction")).first()[0] <= 3 * top
 
 
-def test_topics_add_up(spark):
-    docs = [(i, "cart checkout payment order invoice" if i % 2 else "search index query result page", "c" if i % 2 else "i") for i in range(60)]
-    df = spark.createDataFrame(docs, "d int, t string, s string")
-    out = terms.topics(df, "d", "t", "s", "c", "i", k=2, max_iter=20)
-    assert out["terms"].count() == 20 or out["terms"].count() == 2 * 10
-    sums = out["weights"].groupBy("d").agg(F.sum("gamma").alias("g")).agg(F.min("g"), F.max("g")).first()
-    assert sums[0] == pytest.approx(1) and sums[1] == pytest.approx(1)
-    assert out["divergence"].count() == 2
-    assert terms.topic_by_component(out["weights"].withColumn("comp", F.lit("x")), df.withColumn("comp", F.lit("x")), "comp", "s").count() == 4
-
-
-def test_topics_reach_every_document(spark):
-    """A topic in two documents of a hundred comes out whole: 10 of its 12 even words weigh 10/12."""
+def _corpus(spark, n=600):
+    """Words of three topics; the third is in two documents of a hundred."""
     draw = random.Random(1)
     words = {"en": [f"red{i}" for i in range(20)], "de": [f"blue{i}" for i in range(20)], "fr": [f"rare{i}" for i in range(12)]}
-    langs = ["fr" if i % 50 == 0 else "en" if i % 2 else "de" for i in range(600)]
-    rows = [(i, " ".join(draw.choices(words[x], k=30)), x) for i, x in enumerate(langs)]
-    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string").repartition(4)
-    out = topic_queries._topic_tables(SimpleNamespace(documents=docs))["terms"]
-    rare = out.groupBy("topic").agg(F.sum(F.when(F.col("term").startswith("rare"), F.col("beta"))).alias("weight"))
+    langs = ["fr" if i % 50 == 0 else "en" if i % 2 else "de" for i in range(n)]
+    rows = [(i, " ".join(draw.choices(words[x], k=30)) + " banned 77", x, None if i % 7 == 0 else f"c{i % 3}{x}") for i, x in enumerate(langs)]
+    return spark.createDataFrame(rows, "d int, t string, s string, c string").repartition(4)
+
+
+def test_topic_tables(spark):
+    df = _corpus(spark).where("s <> 'fr'")
+    stop = spark.createDataFrame([("banned",)], "word string")
+    periods = {"early": F.col("d") < 300, "late": F.col("d") >= 300, "none": F.col("d") < 0}
+    out = terms.topics_by_period(df, periods, text="t", source="s", component="c", customer="en", internal="de", k=2, extra_stop=stop)
+    sums = out["by_source"].groupBy("period", "s").agg(F.sum("avg_gamma").alias("g"), F.sum("prop").alias("p")).collect()
+    assert len(sums) == 4 and all(r.g == pytest.approx(1) and r.p == pytest.approx(100, abs=0.2) for r in sums)
+    assert {r[0] for r in out["terms"].where("period = 'early'").select("term").collect()} <= {f"{c}{i}" for c in ("red", "blue") for i in range(20)}
+    assert out["bigrams"].where("bigram like '%banned%' or bigram like '%77%'").count() == 0
+    # Each component has documents of one source, so it has a row for each topic, source and period.
+    assert out["by_component"].count() == out["by_component"].select("c", "topic", "s", "period").distinct().count() == 6 * 2 * 2
+    # A topic is named by its place in the fit, but its words are the same in both periods.
+    match = {r.topic: (r.match, r.shared) for r in terms.matched_topics(out["terms"], "early", "late").collect()}
+    assert sorted(m for m, _ in match.values()) == [1, 2] and all(s > 0.05 for _, s in match.values())
+    sides = {(r.period, r.direction) for r in out["divergence"].collect()}
+    assert sides == {(p, f"{x}-skewed") for p in ("early", "late") for x in ("Customer", "Internal")}
+
+
+def test_topics_beat_one_topic_and_reach_every_document(spark):
+    df = _corpus(spark)
+    matrix, names = terms.term_matrix(df, "d", "t", stop=("banned",))
+    assert matrix.rdd.getNumPartitions() >= min(4, spark.sparkContext.defaultParallelism) and matrix.count() == 600
+    model = terms.fit_topics(matrix, k=3)
+    flat = terms.LDA(k=2, maxIter=5, optimizer="online", subsamplingRate=1.0).fit(matrix)
+    assert model.logPerplexity(matrix) < flat.logPerplexity(matrix)
+    rare = terms.topic_terms(model, names, 12).groupBy("topic").agg(F.sum(F.when(F.col("term").startswith("rare"), F.col("beta"))).alias("weight"))
     assert rare.agg(F.max("weight")).first()[0] > 0.75
 
 
-def test_vocabulary_is_checked_not_cut(spark, monkeypatch):
-    monkeypatch.setattr(terms, "VOCABULARY_LIMIT", 3)
-    df = spark.createDataFrame([(1, "alpha beta gamma delta " * 3)], "d int, t string")
-    with pytest.raises(ValueError, match="vocabulary"):
-        terms.term_matrix(df, "d", "t")
+def test_places_of_words_are_shared_not_dropped(spark):
+    df = spark.createDataFrame([(1, "alpha beta gamma delta " * 3), (2, "alpha " * 4), (3, "x 12"), (4, None)], "d int, t string")
+    matrix, names = terms.term_matrix(df, "d", "t", slots=2)
+    cells = {r.d: float(sum(r.features.values)) for r in matrix.collect()}
+    assert cells == {1: 12.0, 2: 4.0} and names.count() <= 2 and "alpha" in {r.term for r in names.collect()}
 
 
 def test_stream_resumes_and_merges(spark, tmp_path):
