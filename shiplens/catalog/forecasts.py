@@ -88,7 +88,7 @@ def forecast_features(t):
 
 def _model(train: DataFrame, name: str) -> forecast.Fitted:
     """The named model. Where the dispersion of few counts does not settle, selection leaves the
-    count regression out; a query of its own still shows the last round's coefficients."""
+    count regression out; a query of its own shows the last round, and ``converged`` as false."""
     found = forecast.fit_all(train, TREES, names=[name])
     if found or name != "NegBin":
         return found[0]
@@ -98,8 +98,9 @@ def _model(train: DataFrame, name: str) -> forecast.Fitted:
 def _fitted(t: Tables, name: str) -> DataFrame:
     train, valid = _split(t)
     model = _model(train, name)
+    converged = F.lit(bool(getattr(model.model, "converged", True)))
     return model.predict(valid).select(
-        "component", "quarter", "actual", rounded("prediction", 4).alias("predicted")
+        "component", "quarter", "actual", rounded("prediction", 4).alias("predicted"), converged.alias("converged")
     )
 
 
@@ -215,13 +216,28 @@ def forecast_ranks(t):
 @query(
     _ROWS
     + f"""SELECT quarter, round((CASE WHEN abs((avg(actual) - avg(stories)) / avg(actual) * 100) > 20 THEN avg(actual) / avg(stories) ELSE 1 END){_D}, 6)::DOUBLE AS factor
-    FROM x WHERE quarter IN ('1998.Q1', '1999.Q4', '2000.Q2') GROUP BY quarter"""
+    FROM x WHERE actual > 0 OR stories > 0 GROUP BY quarter HAVING avg(stories) > 0 AND avg(actual) > 0"""
 )
 def calibration_factors(t):
-    """The calibration of given predictions for three quarters."""
-    rows = _rows(t).withColumn("prediction", F.col("stories"))
-    parts = [(q, forecast.calibration_factor(rows.where(F.col("quarter") == q))) for q in ("1998.Q1", "1999.Q4", "2000.Q2")]
-    return t.spark.createDataFrame(parts, "quarter string, factor double").withColumn("factor", rounded("factor", 6))
+    """The calibration of given predictions for every quarter in which both are seen."""
+    rows = _rows(t).withColumn("prediction", F.col("stories")).where("actual > 0 or stories > 0")
+    both = rows.groupBy("quarter").agg(F.avg("actual").alias("a"), F.avg("stories").alias("p")).where("a > 0 and p > 0")
+    out = forecast.calibration_factors(rows.join(both, "quarter", "left_semi"), ["quarter"])
+    return out.withColumn("factor", rounded("factor", 6))
+
+
+@query(
+    _ROWS
+    + f""", given AS (SELECT quarter, actual, unnest(['A flat', 'B months', 'C stories']) AS model, unnest([3.0::DOUBLE, months * 0.05::DOUBLE, stories * 0.9::DOUBLE]) AS prediction FROM x),
+    s AS (SELECT quarter, model, round((1 - sum((actual - prediction) ** 2) / nullif(var_pop(actual) * count(*), 0)){_D}, 4)::DOUBLE AS r2, round((sum(abs(actual - prediction)) / count(*)){_D}, 4)::DOUBLE AS mae FROM given GROUP BY 1, 2)
+    SELECT quarter, model, r2, mae FROM s QUALIFY row_number() OVER (PARTITION BY quarter ORDER BY r2 DESC NULLS LAST, model) = 1"""
+)
+def model_choice(t):
+    """Which of three given predictions explains each quarter best."""
+    one = lambda name, c: F.struct(F.lit(name).alias("model"), c.cast("double").alias("prediction"))
+    named = F.array(one("A flat", F.lit(3.0)), one("B months", F.col("months") * 0.05), one("C stories", F.col("stories") * 0.9))
+    given = _rows(t).select("quarter", "actual", F.explode(named).alias("m")).select("quarter", "actual", "m.*")
+    return forecast.best_models(given, ["quarter"])
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiplens.functions.stats import cap_one, percentile_of_counts, ratio, rounded
-from shiplens.lineage import cut_lineage, spread
+from shiplens.lineage import cut_lineage
 
 
 def degree_stats(
@@ -29,6 +29,8 @@ def degree_stats(
             }
         )
     )
+    # Written once: the limit and the rows read the same counts.
+    stats = cut_lineage(stats)
     limit = percentile_of_counts(stats, [], "dependent_count", quantile, "q").scalar()
     return stats.withColumn("is_shared_util", F.col("dependent_count") >= limit)
 
@@ -52,8 +54,9 @@ def reach(
     )
     frontier = seen
     for depth in range(2, max_depth + 1):
+        # A frontier of few bytes may reach very far, so its rows go to all cores.
         step = (
-            spread(frontier)
+            frontier.repartition("source", "node")
             .join(back.withColumnRenamed("_from", "node"), "node")
             .where(F.col("source") != F.col("_to"))
             .select("source", F.col("_to").alias("node"))
@@ -134,8 +137,10 @@ def dependency_score(
             ),
         )
     )
-    p95_blast = percentile_of_counts(stats, [], "total_blast", p, "q").scalar()
-    p95_out = percentile_of_counts(stats, [], "outgoing_critical_count", p, "q").scalar()
+    stats = cut_lineage(stats)
+    # Counts have few distinct values, so both percentiles are one small aggregate.
+    ends = stats.agg(F.percentile("total_blast", F.lit(p)).alias("b"), F.percentile("outgoing_critical_count", F.lit(p)).alias("o"))
+    p95_blast, p95_out = (F.lit(x) if x is not None else F.lit(None).cast("double") for x in ends.first())
     return (
         stats.withColumn(
             "blast_score", rounded(cap_one(ratio(F.col("total_blast"), p95_blast)), 4)

@@ -268,14 +268,25 @@ def select_model(models: list[Fitted], valid: DataFrame) -> Fitted:
     return max(models, key=lambda m: m.r2)
 
 
+def calibration_factors(predicted: DataFrame, keys: list[str], limit: float = BIAS_LIMIT) -> DataFrame:
+    """``factor`` per group: the scale for ``prediction`` against ``actual``, 1 unless the bias is
+    beyond the limit or one of the means is zero."""
+    actual, mean = F.avg("actual"), F.avg("prediction")
+    biased = F.abs((actual - mean) / F.nullif(actual, F.lit(0.0)) * 100) > limit
+    factor = F.when(biased & (mean != 0), actual / F.nullif(mean, F.lit(0.0))).otherwise(1.0)
+    return predicted.groupBy(*keys).agg(factor.alias("factor"))
+
+
 def calibration_factor(predicted: DataFrame, limit: float = BIAS_LIMIT) -> float:
-    """Scale for ``prediction`` against ``actual``, used only where the bias is beyond the limit."""
-    r = predicted.agg(F.avg("actual"), F.avg("prediction")).first()
-    actual, mean = float(r[0] or 0), float(r[1] or 0)
-    if actual == 0 or mean == 0:
-        return 1.0
-    bias = (actual - mean) / actual * 100
-    return actual / mean if abs(bias) > limit else 1.0
+    """The factor of all rows together."""
+    return float(calibration_factors(predicted, [], limit).first()["factor"])
+
+
+def best_models(predicted: DataFrame, keys: list[str], model: str = "model") -> DataFrame:
+    """The model of highest R2 per group, of equal ones the first by name; R2 of none is lowest."""
+    scores = error_metrics(predicted, "actual", "prediction", [*keys, model])
+    order = F.struct(-F.coalesce("r2", F.lit(float("-inf"))), F.col(model))
+    return scores.groupBy(*keys).agg(F.min_by(F.struct(model, "r2", "mae"), order).alias("_b")).select(*keys, "_b.*")
 
 
 def calibration(model: Fitted, valid: DataFrame, limit: float = BIAS_LIMIT) -> float:
