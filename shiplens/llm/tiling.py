@@ -1,10 +1,10 @@
 """Benchmark decontamination by greedy string tiling.
 
 Token windows of ``SEED_WORDS`` words that an item shares with a document are its seeds, found by a
-running Karp-Rabin hash. Seeds on one diagonal join to matches; the longest match that overlaps no
-tile becomes a tile, again and again, where the free parts of a cut match stay in the race. As tiles
-may lie in any order, a reordered passage is covered like a straight one. An item whose tiles cover
-enough of its words is leaked into the document.
+running Karp-Rabin hash. A match starts where the words before a shared seed differ and goes on as far
+as running hashes agree; the longest match that overlaps no tile becomes a tile, again and again, where
+the free parts of a cut match stay in the race. As tiles may lie in any order, a reordered passage is
+covered like a straight one. An item whose tiles cover enough of its words is leaked into the document.
 """
 
 from __future__ import annotations
@@ -25,7 +25,9 @@ COVERAGE = 0.8
 #: Bytes of benchmark text that one pass over the documents carries along.
 BLOCK_BYTES = 32 << 20
 
-_WORD = re.compile(r"\w+")
+#: Thai, Lao, Tibetan, Burmese, Khmer, kana and Han, whose words have no blanks between.
+UNSPACED = r"\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_WORD = re.compile(rf"[{UNSPACED}]|[^\W{UNSPACED}]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -45,25 +47,32 @@ def rolling_hashes(ids: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def greedy_tiles(matches: list[tuple[int, int, int]], least: int) -> list[tuple[int, int, int]]:
+def greedy_tiles(
+    matches: list[tuple[int, int, int]], least: int, item: np.ndarray, doc: np.ndarray
+) -> list[tuple[int, int, int]]:
     """Tiles (length, item place, document place) out of maximal matches, longest first.
 
-    Ties go to the smaller item place, then the smaller document place.
+    Ties go to the smaller item place, then the smaller document place. Each tile is compared word
+    by word; once less than ``least`` words of the item are free, no further one can lie.
     """
     heap = [(-n, a, b) for n, a, b in matches]
     heapq.heapify(heap)
-    in_item: set[int] = set()
-    in_doc: set[int] = set()
+    item_free, doc_free = np.ones(len(item), dtype=bool), np.ones(len(doc), dtype=bool)
+    left = len(item)
     tiles = []
-    while heap:
+    while heap and left >= least:
         n, a, b = heapq.heappop(heap)
         n = -n
-        free = [a + k not in in_item and b + k not in in_doc for k in range(n)]
-        if all(free):
-            tiles.append((n, a, b))
-            in_item.update(range(a, a + n))
-            in_doc.update(range(b, b + n))
+        free = item_free[a : a + n] & doc_free[b : b + n]
+        if free.all():
+            if np.array_equal(item[a : a + n], doc[b : b + n]):
+                tiles.append((n, a, b))
+                item_free[a : a + n] = doc_free[b : b + n] = False
+                left -= n
             continue
+        if np.count_nonzero(free) < least:
+            continue
+        free = free.tolist()
         k = 0
         while k < n:
             if not free[k]:
@@ -135,25 +144,55 @@ class Benchmark:
                 cut = np.unique(at[hits][order], return_index=True)
                 by_seed = dict(zip(cut[0].tolist(), np.split(hits[order], cut[1][1:])))
             seed_of = np.searchsorted(self.first, mine, side="right") - 1
-            a = np.concatenate([np.full(len(by_seed[int(s)]), p) for s, p in zip(seed_of, self.place[mine])])
-            b = np.concatenate([by_seed[int(s)] for s in seed_of])
-            tiles = greedy_tiles(self._matches(item, ids, a, b), self.least)
+            starts = _starts(item, ids, seed_of, self.place[mine], by_seed)
+            tiles = greedy_tiles(_matches(item, ids, starts), self.least, item, ids)
             share = sum(t[0] for t in tiles) / len(item)
             if share >= self.coverage:
                 out.append((self.items[k], share, len(tiles)))
         return out
 
-    def _matches(self, item: np.ndarray, ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int]]:
-        """Maximal runs of seeds on a diagonal, each compared word by word."""
-        order = np.lexsort((a, b - a))
-        a, b = a[order], b[order]
-        new = np.nonzero((np.diff(b - a) != 0) | (np.diff(a) != 1))[0] + 1
-        runs = []
-        for s, e in zip(np.concatenate(([0], new)), np.concatenate((new, [len(a)]))):
-            n, x, y = int(e - s) + self.least - 1, int(a[s]), int(b[s])
-            if np.array_equal(item[x : x + n], ids[y : y + n]):
-                runs.append((n, x, y))
-        return runs
+
+#: Pairs of places that are laid side by side at once.
+PAIRS = 1 << 20
+
+
+def _starts(item: np.ndarray, doc: np.ndarray, seed_of: np.ndarray, places: np.ndarray, by_seed: dict[int, np.ndarray]):
+    """Blocks of (item places, document places) that share a seed and differ in the word before.
+
+    Places with the same word before lie within a longer match, so a seed that repeats itself (la la
+    la) is paired where a run begins and nowhere else.
+    """
+    order = np.argsort(seed_of, kind="stable")
+    cuts = np.flatnonzero(np.diff(seed_of[order])) + 1
+    for group in np.split(order, cuts):
+        a, b = places[group], by_seed[int(seed_of[group[0]])]
+        before_a = np.where(a > 0, item[a - 1], -2)
+        before_b = np.where(b > 0, doc[b - 1], -3)
+        for word in np.unique(before_a):
+            mine, other = a[before_a == word], b[before_b != word]
+            step = max(1, PAIRS // max(1, len(mine)))
+            for k in range(0, len(other), step):
+                part = other[k : k + step]
+                yield np.repeat(mine, len(part)), np.tile(part, len(mine))
+
+
+def _matches(item: np.ndarray, doc: np.ndarray, starts) -> list[tuple[int, int, int]]:
+    """Length, item place and document place of the match from each start, by bisection on hashes."""
+    x, y = ((w + 2).view(np.uint64) for w in (item, doc))
+    power = np.ones(max(len(x), len(y)) + 1, dtype=np.uint64)
+    np.cumprod(np.full(len(power) - 1, _BASE), out=power[1:])
+    zero = np.zeros(1, dtype=np.uint64)
+    hx = np.concatenate([zero, np.cumsum(x * power[: len(x)], dtype=np.uint64)])
+    hy = np.concatenate([zero, np.cumsum(y * power[: len(y)], dtype=np.uint64)])
+    out = []
+    for a, b in starts:
+        low, high = np.zeros(len(a), dtype=np.int64), np.minimum(len(x) - a, len(y) - b)
+        while (low < high).any():
+            middle = (low + high + 1) // 2
+            same = (hx[a + middle] - hx[a]) * power[b] == (hy[b + middle] - hy[b]) * power[a]
+            low, high = np.where(same, middle, low), np.where(same, high, middle - 1)
+        out += zip(low.tolist(), a.tolist(), b.tolist())
+    return out
 
 
 def leaked_items(
@@ -169,9 +208,11 @@ def leaked_items(
 ) -> DataFrame:
     """``doc_id``, ``row_key``, ``item_id``, ``coverage``, ``tiles`` for each leak.
 
-    Words are lower-cased runs of letters, digits and underscores. An item of fewer than
-    ``seed_words`` words leaks only into a document of exactly its words; an item without words
-    leaks nowhere. Null texts are empty. Repeated documents and repeated items are reported each.
+    Words are lower-cased runs of letters, digits and underscores; in scripts without blanks each
+    character is one. An item of fewer than ``seed_words`` words leaks only into a document of
+    exactly its words; an item without words leaks nowhere. Null texts are empty. Repeated documents
+    and repeated items are reported each; an empty table of either gives no rows. Texts are compared
+    whole; repeated words in long ones cost no more than their runs.
     The benchmark goes to the tasks in blocks of at most ``block_bytes`` (or one longer item), one
     pass over the documents for each, so it may grow without any task holding more.
     """

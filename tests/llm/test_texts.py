@@ -123,6 +123,22 @@ def test_leaks_with_gaps_and_new_order(spark):
     assert tiling.leaked_items(docs, bench.filter("item_id < 0")).count() == 0
 
 
+def test_repeated_words_and_long_texts():
+    item = "la " * 5000
+    bench = tiling.Benchmark([(1, item), (2, "intro " + "la " * 3000 + "outro words here at the end")], 5, 0.8)
+    doc = "la " * 1_000_000
+    assert bench.leaks(doc) == [(1, 1.0, 1), (2, pytest.approx(3000 / 3007), 1)]
+    assert bench.leaks("so " + "la la la la " * 40 + "la") == []
+
+
+def test_scripts_without_blanks():
+    item = "東京は日本の首都であり、人口は千四百万人を超える。"
+    bench = tiling.Benchmark([(1, item), (2, "กรุงเทพมหานครเป็นเมืองหลวง")], 5, 0.8)
+    assert bench.leaks("前書き。" + item + "後書きもある。")[0][:2] == (1, 1.0)
+    assert bench.leaks("คำนำ กรุงเทพมหานครเป็นเมืองหลวง จบ")[0][:2] == (2, 1.0)
+    assert bench.leaks("大阪は日本の西にある大きな町である。") == []
+
+
 def test_leaks_in_the_given_documents(spark, given, odd, clashing, none):
     bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     items = [(r.item_id, tiling.tokens(r.text)) for r in bench.collect()]
