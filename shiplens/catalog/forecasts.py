@@ -15,9 +15,8 @@ from shiplens.plans import forecast, reports
 
 AS_OF = "2001-12-31"
 FORECAST_QUARTER = "2001.Q2"
-#: Trees of a registered query; the library's default is 500, which a walk over 23 quarters of a
-#: few hundred rows would spend minutes of job start-up on.
-TREES = 40
+#: Trees of a forest.
+TREES = 500
 
 _D = "::DECIMAL(28,10)"
 _ROWS = (
@@ -161,7 +160,7 @@ def poisson_score_equations(t):
 def walk_forward_folds(t):
     """Which rows are predicted from how many earlier ones; the cheap model stands for all."""
     rows = _rows(t)
-    wf = forecast.walk_forward(rows, _mature(rows), prefer=("Quasi-Poisson", "Random Forest"), trees=10)
+    wf = forecast.walk_forward(rows, _mature(rows), prefer=("Quasi-Poisson", "Random Forest"), trees=TREES)
     return wf.select("quarter", "component", "actual", "n_train_quarters", F.col("n_train_rows").cast("long").alias("n_train_rows"))
 
 
