@@ -224,3 +224,25 @@ def windowed_defects(t):
         issues, t.part, "p_brand", "p_type", "l_shipdate", "source", "severity",
         as_of=periods.latest_date(t.lineitem, "l_shipdate"),
     )
+
+
+_FIVE = """
+WITH u AS (SELECT user_id, count(*) AS n FROM events GROUP BY 1),
+s AS (SELECT user_id, ((n * 7 + user_id) % 101 / 100)::DOUBLE AS complexity_score, ((n * 11 + user_id) % 101 / 100)::DOUBLE AS churn_score,
+    ((n * 13 + user_id) % 101 / 100)::DOUBLE AS defect_score, ((n * 17 + user_id) % 101 / 100)::DOUBLE AS test_score, ((n * 19 + user_id) % 101 / 100)::DOUBLE AS dependency_score FROM u),
+c AS (SELECT *, complexity_score * 0.28::DOUBLE + churn_score * 0.25::DOUBLE + defect_score * 0.20::DOUBLE + test_score * 0.15::DOUBLE + dependency_score * 0.12::DOUBLE AS raw,
+    (complexity_score > 0.5)::INT + (churn_score > 0.5)::INT + (defect_score > 0.5)::INT + (test_score > 0.5)::INT + (dependency_score > 0.5)::INT AS above FROM s),
+k AS (SELECT user_id, above, round((least(raw * CASE WHEN above >= 4 THEN 1.25::DOUBLE WHEN above = 3 THEN 1.15::DOUBLE WHEN above = 2 THEN 1.05::DOUBLE ELSE 1.0::DOUBLE END, 1.0))::DECIMAL(28,10), 4)::DOUBLE AS composite_risk FROM c)
+SELECT user_id, above AS signals_above_50, composite_risk, CASE WHEN composite_risk >= 0.75 THEN 'CRITICAL' WHEN composite_risk >= 0.5 THEN 'HIGH'
+    WHEN composite_risk >= 0.25 THEN 'MEDIUM' ELSE 'LOW' END AS risk_tier FROM k
+"""
+
+
+@query(_FIVE)
+def composite_risk_of_five(t):
+    """All five signals by a rule, so that each amplifier acts."""
+    n = t.events.groupBy("user_id").agg(F.count("*").alias("n"))
+    factors = {"complexity_score": 7, "churn_score": 11, "defect_score": 13, "test_score": 17, "dependency_score": 19}
+    rows = n.select("user_id", *[(((F.col("n") * k + F.col("user_id")) % 101) / 100).alias(c) for c, k in factors.items()])
+    out = scoring.composite_risk(rows.select("user_id"), [(rows.select("user_id", c), "user_id", c) for c in factors])
+    return out.select("user_id", "signals_above_50", "composite_risk", "risk_tier")

@@ -49,6 +49,13 @@ def diff_blocks(t):
     return _blocks(t).drop("block")
 
 
+@query(_LINES + "SELECT * FROM bl WHERE NOT (file_path LIKE '%/en.java' OR regexp_matches(file_path, '^modules/apps/src1[^/]*/'))")
+def diff_blocks_kept(t):
+    """The blocks of a comparison without the files that two globs leave out."""
+    left_out = P.glob_pattern(("**/en.java", "modules/apps/src1*/**"))
+    return vcs.diff_blocks(_diffs(t), "doc_id", "text", left_out).drop("block", "changed")
+
+
 @query(
     _LINES
     + """SELECT CASE WHEN file_path LIKE 'modules/%' THEN regexp_extract(file_path, '^([^/]+/[^/]+/[^/]+)', 1) || '/'
@@ -268,9 +275,9 @@ def revert_split(t):
 )
 def marked_commits(t):
     """A customer is a commit here: it counts once per priority and quarter."""
-    rows = _subjects(t).where(F.col("subject").rlike("^Revert|fix")).withColumn(
-        "message", F.concat(F.lit("change # BREAKING "), "subject")
-    )
+    marked = F.col("subject").rlike("^Revert|fix")
+    message = F.when(marked, F.concat(F.lit("change # BREAKING "), "subject")).otherwise(F.concat(F.lit("breaking no marker "), "subject"))
+    rows = _subjects(t).withColumn("message", message)
     return vcs.marked_commits(rows, "message", "o_custkey", "o_orderpriority", "quarter")
 
 

@@ -21,14 +21,14 @@ DEEP_PREFIXES = (
 EXCLUDED_COMPLEXITY_PATHS = r"^modules/third-party/|/antlr/|^modules/dxp/apps/osb/"
 # Test and generated sources, left out of risk scores.
 UNSCORED_PATHS = (
-    r"Test\.java$|TestCase\.java$|TestUtil\.java$|/test/|/testIntegration/"
-    r"|/generated-sources/|/generated/"
+    r"Test\.java$|TestCase\.java$|TestUtil\.java$|/test/|/testIntegration/|/generated-sources/|/generated/"
 )
 UNSCORED_BASENAMES = r"^Base[A-Z].*Impl\.java$"
 # The category part of a module path, used as the bridge key.
 CATEGORY_PATTERN = (
     r"^(modules/(?:apps|dxp/apps|core|util)/[^/]+|portal-impl|portal-kernel|util-taglib).*$"
 )
+# Changed files that are tests, and those that are code.
 TEST_PATHS = (
     r"Test\.java$|TestCase\.java$|\.spec\.ts$|\.test\.js$|\.test\.ts$|/test/|/testIntegration/"
 )

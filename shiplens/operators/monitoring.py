@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shiplens.functions.stats import ratio, rounded
 from shiplens.operators.periods import week_start
 
+# Counts that are no pass.
 STATUS_COUNTS = ("in_progress", "incomplete", "testfix", "blocked", "untested", "failed")
 
 
@@ -130,6 +131,7 @@ def weekly_build_pass_rate(
     )
 
 
+# Fixed value: what stands for an empty list.
 PLACEHOLDER = "No failed items (or filtered out)"
 
 
