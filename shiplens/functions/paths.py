@@ -164,9 +164,10 @@ def glob_pattern(globs) -> str:
         body = (
             glob.replace(".", r"\.")
             .replace("**/", "\0")
-            .replace("**", ".*")
+            .replace("**", "\1")
             .replace("*", "[^/]*")
             .replace("\0", "(?:.*/)?")
+            .replace("\1", ".*")
         )
         out.append(f"^{body}$")
     return "|".join(out)

@@ -51,3 +51,13 @@ def test_blocks_by_parts_of_words(spark):
     assert sorted(r["path"] for r in named.collect()) == ["m/Repay.java", "n/other.js"]
     got = triage.blocks_for_failure(fails, "id", "name", "component", blocks, "path", named, n=4)
     assert [(r["source_rank"], r["path"]) for r in got.orderBy("source_rank", "path").collect()] == [(1, "m/Repay.java"), (1, "n/other.js"), (2, "m/shopcart/A.java"), (3, "m/mycheckoutpages/B.java")]
+
+
+def test_double_stars_cross_folders():
+    import re
+
+    from shiplens.functions.paths import glob_pattern
+
+    pattern = re.compile(glob_pattern(("lib/*/x/**", "**/gen.js")))
+    assert pattern.search("lib/a/x/b/c/d.js") and pattern.search("gen.js") and pattern.search("a/b/gen.js")
+    assert not pattern.search("lib/a/b/x/c.js") and not pattern.search("a/regen.js.map")
