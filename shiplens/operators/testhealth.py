@@ -240,13 +240,23 @@ def item_quality_chronic(
     several components is reported under its newest one, with its best-covered row.
     """
     linked = F.col(issue).isNotNull() & (F.length(issue) > 0)
-    stats = failures.groupBy(item, *attributes, component).agg(
-        F.count_distinct(unit).alias("total_fail_builds"),
-        F.count_distinct(F.when(linked, F.col(unit))).alias("bug_linked_builds"),
-        F.count_distinct(F.when(linked, F.col(issue))).alias("distinct_bugs_linked"),
+    # Units and issues are told apart first and counted then, each step combined before its shuffle.
+    names = F.array(
+        F.struct(F.lit(True).alias("is_unit"), F.col(unit).cast("string").alias("name"), linked.alias("linked")),
+        F.struct(F.lit(False).alias("is_unit"), F.when(linked, F.col(issue).cast("string")).alias("name"), linked.alias("linked")),
     )
-    max_linked = stats.select(F.greatest(F.max("bug_linked_builds"), F.lit(1))).scalar()
-    max_fail = stats.select(F.greatest(F.max("total_fail_builds"), F.lit(1))).scalar()
+    keys = [item, *attributes, component]
+    apart = failures.select(*keys, F.explode(names).alias("_n")).where(F.col("_n.name").isNotNull())
+    apart = apart.groupBy(*keys, F.col("_n.is_unit").alias("_u"), F.col("_n.name").alias("_name")).agg(F.bool_or("_n.linked").alias("_l"))
+    stats = cut_lineage(
+        apart.groupBy(*keys).agg(
+            F.count_if(F.col("_u")).alias("total_fail_builds"),
+            F.count_if(F.col("_u") & F.col("_l")).alias("bug_linked_builds"),
+            F.count_if(~F.col("_u")).alias("distinct_bugs_linked"),
+        )
+    )
+    most = stats.agg(F.greatest(F.max("bug_linked_builds"), F.lit(1)), F.greatest(F.max("total_fail_builds"), F.lit(1))).first()
+    max_linked, max_fail = F.lit(most[0]), F.lit(most[1])
     scored = stats.withColumn(
         "investigation_rate",
         rounded(ratio(F.col("bug_linked_builds"), F.col("total_fail_builds")), 4),
