@@ -72,7 +72,8 @@ def remove_shared_lines(
     The first place of a line is the one with the smallest doc_id (null last), then row key, then
     position; it stays, also in each copy of that very row. Blank lines are never counted. A null
     site counts as none. A null text stays null; a document may end up empty. A column of ``docs``
-    named ``lines_removed`` is replaced, all others are kept.
+    named ``lines_removed`` is replaced, all others are kept. Texts of any length are cut into all
+    their lines; an empty table gives no rows.
     """
     lines = stage(_lines(docs, doc_id, text, site))
     shared = stage(shared_lines(lines, sites))

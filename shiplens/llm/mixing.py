@@ -95,7 +95,8 @@ def mix_sources(
     ``budget`` is in tokens and may use ``total``, all tokens of the tree. ``tokens`` counts a row's
     tokens (words of ``text`` by default). Rows of one id share their place in an epoch's order and
     are taken together. A row without tokens is taken where its place falls into the prefix. A leaf
-    without tokens gives nothing. Columns of ``docs`` stay, but ``epoch`` is replaced.
+    without tokens gives nothing. Columns of ``docs`` stay, but ``epoch`` is replaced. Repeated rows
+    are rows like others; a very long text is a row of many tokens; an empty table gives no rows.
     """
     names = fresh(docs, *[f"_level_{k}" for k in range(len(levels))])
     node = dict(zip(names, (F.coalesce(c.cast("string"), F.lit("none")) for c in levels.values())))

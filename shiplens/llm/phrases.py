@@ -212,7 +212,8 @@ def edited_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     The next row is that of the next higher doc_id, after the last the first; a null id comes
     before all, rows of one id are in the order of their texts. Null texts are empty; two empty
     texts are alike (1), an empty and another one are not (0). Repeated rows are rows like others.
-    Further columns are ignored. Each text moves once, to the task of its range of ids.
+    Further columns are ignored. Each text moves once, to the task of its range of ids, and is read
+    whole; an empty table gives no rows.
     """
     rows = docs.select(
         F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))).alias("at"),

@@ -70,7 +70,8 @@ def judge_urls(urls: DataFrame, rules: DataFrame, url: str = "url", otherwise: s
     The longest fitting rule decides; of equally long ones the one of the closer domain. Without
     one the verdict is ``otherwise``. A null url, or one without ``://``, has an empty host and
     path and fits no rule. Repeated rows stay; columns of ``urls`` with the names of the results
-    are replaced.
+    are replaced. Very long urls are judged whole; an empty table gives no rows, and without rules
+    every verdict is ``otherwise``.
     """
     results = ("host", "path", "rule", "verdict")
     events = stage(rule_events(rules))

@@ -136,7 +136,8 @@ def token_counts(
 
     Words are runs without ASCII white space; each is preceded by ``mark`` and matched greedily in
     UTF-8. A word that no pieces cover is one token. Null and empty texts have none; repeated rows
-    are returned as often as given; further columns are ignored. The vocabulary is part of the
+    are returned as often as given; further columns are ignored; an empty table gives no rows. The
+    work is linear in a text, whatever its length. The vocabulary is part of the
     task and must be of a tokenizer's usual size.
     """
     if len(pieces) > 2_000_000:
