@@ -173,7 +173,8 @@ def drop_near_duplicates(
     """One row of each group of near copies: that of the smallest doc_id.
 
     Where rows share that id, the one with the smallest row key stays, and of equal rows a single
-    one. Null ids come last. The columns and any further ones are those of ``docs``.
+    one. Null ids come last. The columns and any further ones are those of ``docs``. Texts
+    are read whole; an empty table gives no rows.
     """
     rows = stage(_grouped(docs, limit, segments, dense, doc_id, text))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
