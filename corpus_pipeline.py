@@ -15,7 +15,11 @@ from shiplens.sources.readers import load
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language cannot be told go; a told language replaces the declared one."""
+    """Documents whose language cannot be told go; a told language replaces the declared one.
+
+    Null and empty texts cannot be told and go; a null id or source is no evidence. Of languages with
+    equal odds the first by name is told. Repeated rows stay or go together.
+    """
     model = train(docs)
     if model is None:
         return docs
@@ -33,7 +37,11 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines of many sites go from all documents but the first; a document left empty goes too."""
+    """Lines of many sites go from all documents but the first; a document left empty goes too.
+
+    A null text or source shares no line. The first document is that of the smallest id, null last, then
+    of the smallest row key; repeated rows are treated alike.
+    """
     cleaned = remove_shared_lines(docs)
     changed = F.col("lines_removed") > 0
     kept = cleaned.filter(~changed | (F.trim("text") != ""))
@@ -42,18 +50,29 @@ def shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
+    """One document of each group of near copies stays: that of the smallest id, null ids last.
+
+    Of rows with that id the smallest row key stays, of repeated rows one. Null and empty texts are
+    copies of each other.
+    """
     return drop_near_duplicates(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents into which a benchmark item has leaked go."""
+    """Documents into which a benchmark item has leaked go, repeated rows together.
+
+    A null or empty text holds no item; null ids are like others.
+    """
     leaks = leaked_items(docs, load(spark, sf_dir, "benchmark"))
     return drop_rows(docs, stage(leaks.select(F.col("row_key").alias("_key")).distinct()), row_key())
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents by the mixture's weights, a row for each epoch that takes them."""
+    """Documents by the mixture's weights, a row for each epoch that takes them.
+
+    A null source or language is a node of its own, ``none``. Rows of one id, null ids too, are taken
+    together; ties of the order are rows of one id.
+    """
     return mixture(docs)
 
 
