@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,6 +101,12 @@ def file_inventory(lines: DataFrame, path: str, module: Column) -> DataFrame:
     )
 
 
+def ascii_boundaries(pattern: str) -> str:
+    r"""The pattern with ``\b`` written out, as Java up to 18 counts letters such as é there, unlike in ``\w``."""
+    edge = r"(?:(?<=\w)(?!\w)|(?<!\w)(?=\w))"
+    return re.sub(r"\\(.)", lambda m: edge if m[1] == "b" else m[0], pattern, flags=re.S)
+
+
 def flagged_share(
     lines: DataFrame,
     path: str,
@@ -109,13 +117,16 @@ def flagged_share(
     files: str | None = SOURCE_FILES,
     tests: str | None = INVENTORY_TEST_FILES,
 ) -> DataFrame:
-    """Share of a module's files in which some line matches a pattern."""
+    r"""Share of a module's files in which some line matches a pattern.
+
+    ``\b`` in a pattern stands between an ASCII word character and any other, as ``\w`` has it.
+    """
     rows = lines
     if files:
         rows = rows.where(F.col(path).rlike(files))
     if tests:
         rows = rows.where(~F.col(path).rlike(tests))
-    hit = F.col(text).rlike("|".join(f"(?:{p})" for p in patterns))
+    hit = F.col(text).rlike("|".join(f"(?:{ascii_boundaries(p)})" for p in patterns))
     per_file = (
         rows.select(module.alias("module_path"), F.col(path).alias("_file"), hit.alias("_hit"))
         .groupBy("module_path", "_file")

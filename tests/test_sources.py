@@ -146,3 +146,9 @@ def test_flagged_files(spark):
     df = spark.createDataFrame([("m/A.java", "@FeatureFlag x"), ("m/A.java", "y"), ("m/B.java", "y"), ("m/ATest.java", "@FeatureFlag")], "p string, v string")
     r = vcs.flagged_share(df, "p", "v", F.lit("m")).first()
     assert (r["flagged_file_count"], r["total_file_count"], r["flag_pct"], r["is_flagged"]) == (1, 2, 0.5, True)
+
+
+def test_word_ends_of_flagged_files_are_ascii(spark):
+    df = spark.createDataFrame([("m/A.java", "nationé"), ("m/B.java", "nations"), ("m/C.java", "a nation"), ("m/D.java", "\\\\b")], "p string, v string")
+    r = vcs.flagged_share(df, "p", "v", F.lit("m"), patterns=(r"ation\b", r"\\\\b")).first()
+    assert (r["flagged_file_count"], r["total_file_count"]) == (3, 4)
