@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import LDA, LDAModel
+from pyspark.ml.clustering import LDA  # noqa: F401  Spark's own, which tests compare with
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from shiplens.functions.stats import ratio, share_of_total, rounded
 from shiplens.lineage import cut_lineage, run_folder, spread
 from shiplens.operators.bridge import top_with_ties
+from shiplens.plans.topicmodel import TopicModel, first_model
 
 # A short stop list; callers add their own words as a table.
 STOP_WORDS = (
@@ -25,12 +26,10 @@ N_TOPICS = 10
 #: Places of the term matrix at most.
 SLOTS = 1 << 18
 TOP_TERMS = 10
-#: Passes of the topic model over all documents before it is first tested, the share of
-#: log-perplexity that further ones must gain, and the weight that delays the first steps; at
-#: Spark's default of 1024 each pass would move the topics by three hundredths only.
+#: Passes of the topic model over all documents before it is first tested, and the share of
+#: log-perplexity that further ones must gain.
 PASSES = 12
 TOLERANCE = 0.02
-LEARNING_OFFSET = 1.0
 
 
 def words_of(text: Column) -> Column:
@@ -186,24 +185,23 @@ def term_matrix(
 
 def fit_topics(
     matrix: DataFrame, k: int = N_TOPICS, seed: int = 1234, max_iter: int = PASSES, tolerance: float = TOLERANCE
-) -> LDAModel:
+) -> TopicModel:
     """Topics of all documents, in full passes, until they explain the words no better.
 
-    The number of passes doubles from ``max_iter`` on, until log-perplexity falls by less than
-    ``tolerance`` of itself.
+    The number of passes doubles from ``max_iter`` on, each going on from the topics before it, until
+    log-perplexity falls by less than ``tolerance`` of itself.
     """
-    before, passes = None, max_iter
+    model, before, passes, done = first_model(matrix, k, seed), None, max_iter, 0
     while True:
-        # A draw of rate 1 takes as many documents as there are, with replacement.
-        lda = LDA(k=k, seed=seed, maxIter=passes, optimizer="online", subsamplingRate=1.0, learningOffset=LEARNING_OFFSET)
-        model = lda.fit(matrix)
+        for _ in range(passes - done):
+            model, _ = model.step(matrix)
         now = model.logPerplexity(matrix)
         if before is not None and before - now < tolerance * abs(before):
             return model
-        before, passes = now, passes * 2
+        before, passes, done = now, passes * 2, passes
 
 
-def topic_terms(model: LDAModel, names: DataFrame, n: int = TOP_TERMS) -> DataFrame:
+def topic_terms(model: TopicModel, names: DataFrame, n: int = TOP_TERMS) -> DataFrame:
     """Heaviest terms of each topic with their weights."""
     top = model.describeTopics(n)
     pairs = top.select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "t"))
@@ -215,12 +213,9 @@ def topic_terms(model: LDAModel, names: DataFrame, n: int = TOP_TERMS) -> DataFr
     )
 
 
-def topic_weights(model: LDAModel, matrix: DataFrame, doc: str) -> DataFrame:
+def topic_weights(model: TopicModel, matrix: DataFrame, doc: str) -> DataFrame:
     """Weight of each topic in each document, long form."""
-    from pyspark.ml.functions import vector_to_array
-
-    dist = model.transform(matrix).select(doc, vector_to_array("topicDistribution").alias("_g"))
-    return dist.select(doc, F.posexplode("_g").alias("_t", "gamma")).select(
+    return model.weights(matrix, doc).select(doc, F.posexplode("gamma").alias("_t", "gamma")).select(
         doc, (F.col("_t") + 1).alias("topic"), "gamma"
     )
 

@@ -97,6 +97,18 @@ def test_topics_beat_one_topic_and_reach_every_document(spark):
     assert rare.agg(F.max("weight")).first()[0] > 0.75
 
 
+def test_rounds_of_a_document_do_not_grow_with_its_words():
+    """A document of ten million words settles like one of a thousand, and to the same shares."""
+    from shiplens.plans import topicmodel
+
+    draw = random.Random(3)
+    beta = np.array([[draw.random() * (1.05 if i % 3 == t else 1) for i in range(300)] for t in range(3)])
+    counts = np.array([float(draw.randint(1, 9)) for _ in range(300)])
+    few, many = (topicmodel.document_weights(counts * n, beta, 1 / 3) for n in (1, 10_000))
+    assert many[3] <= few[3] + 5
+    assert np.abs(few[0] / few[0].sum() - many[0] / many[0].sum()).max() < 0.05
+
+
 def test_places_of_words_are_shared_not_dropped(spark):
     df = spark.createDataFrame([(1, "alpha beta gamma delta " * 3), (2, "alpha " * 4), (3, "x 12"), (4, None)], "d int, t string")
     matrix, names = terms.term_matrix(df, "d", "t", slots=2)
