@@ -14,11 +14,12 @@ def salted_join(
     Adaptive execution splits a hot partition only between two plain shuffles; where the
     right side is an aggregate it does not. Left rows are spread over ``salts`` by
     ``salt_by`` and the right side is repeated for each, so one key is shared by as many
-    tasks.
+    tasks. Spark does not see the copies in its estimate, so it would broadcast a table
+    ``salts`` times its threshold; the hint rules that out.
     """
     spread = left.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int"))
     copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread.join(copies, [key, "_salt"], how).drop("_salt")
+    return spread.join(copies.hint("merge"), [key, "_salt"], how).drop("_salt")
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:

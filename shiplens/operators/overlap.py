@@ -75,8 +75,9 @@ def shared_unit_pairs(
         F.col(key).alias("_kb"),
         F.explode(F.sequence(F.lit(0), chunks - 1)).alias("_chunk"),
     ).repartition(tasks, unit, "_chunk")
+    # A staged table is far smaller as a file than in memory; neither side may be broadcast by it.
     found = (
-        left.join(right, [unit, "_chunk"])
+        left.join(right.hint("merge"), [unit, "_chunk"])
         .where(F.col("_ka") < F.col("_kb"))
         .groupBy(a, b)
         .agg(F.count(F.lit(1)).alias("_n"))

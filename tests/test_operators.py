@@ -304,3 +304,12 @@ def test_names_resolve_through_aliases(spark):
     known = spark.createDataFrame([("A > B",), ("New",)], "n string")
     got = periods.resolve_names(df, "r", known, "n", {"Old": "New"}, "name")
     assert rows(got, "r", "name") == [("A > B", "A > B"), ("C > D", "C"), ("Old", "New")]
+
+
+def test_salted_copies_are_not_broadcast(spark):
+    from shiplens.operators.joins import salted_join
+
+    many, few = spark.range(100).selectExpr("id % 5 AS k", "id AS v"), spark.range(5).selectExpr("id AS k", "id * 2 AS w")
+    out = salted_join(many, few, "k", F.col("v"))
+    assert sorted((r.v, r.w) for r in out.collect()) == [(i, i % 5 * 2) for i in range(100)]
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
