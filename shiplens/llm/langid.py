@@ -24,15 +24,13 @@ from pyspark.sql import functions as F
 from shiplens.llm.common import row_key, slices, stage, text_or_empty
 
 BUCKETS = 1 << 16
-#: Labelled documents of each language that the model is fitted on, at most.
-SAMPLE = 300
 #: Table cells that scoring reads of a text at a time.
 CELLS = 1 << 22
 #: How often a declared language or an address suffix is right.
 DECLARED_RIGHT, SUFFIX_RIGHT = 0.9, 0.8
 #: Weight of the level above, in documents.
 HOST_PRIOR = 20.0
-#: Mean log-likelihood that a text may fall below all but two in a hundred of the sample; the mean
+#: Mean log-likelihood that a text may fall below all but two in a hundred of the labelled; the mean
 #: of n trigrams scatters, so a short text may fall lower by SCATTER / sqrt(n) times as much.
 SLACK, LOWEST_SHARE, SCATTER = 1.0, 0.02, 10.0
 CONFIDENT = 0.5
@@ -68,13 +66,17 @@ def _sample(docs: DataFrame, label: Column, key: Column, size: int) -> DataFrame
     return ranked.filter(F.col("_rank") <= size).select("_key", "_label")
 
 
-def train(docs: DataFrame, label: str = "lang", text: str = "text", doc_id: str = "doc_id", size: int = SAMPLE) -> LanguageModel | None:
-    """A model of all labels, lower-cased, from at most ``size`` labelled documents each; None without any."""
-    key = F.col(doc_id)
-    picked = stage(_sample(docs, F.col(label), key, size))
-    # At most size rows a label.
-    rows = docs.select(key.alias("_key"), F.lower(text_or_empty(text)).alias("text"))
-    rows = stage(rows.join(F.broadcast(picked), "_key").select(F.col("_label").alias("label"), "text"))
+def train(docs: DataFrame, label: str = "lang", text: str = "text", doc_id: str = "doc_id", size: int | None = None) -> LanguageModel | None:
+    """A model of all labels, lower-cased, from all labelled documents, or ``size`` of each; None without any."""
+    name = F.lower(F.col(label))
+    if size is None:
+        rows = docs.select(name.alias("label"), F.lower(text_or_empty(text)).alias("text")).filter("label <> ''")
+    else:
+        key = F.col(doc_id)
+        picked = stage(_sample(docs, F.col(label), key, size))
+        # At most size rows a label.
+        rows = docs.select(key.alias("_key"), F.lower(text_or_empty(text)).alias("text"))
+        rows = stage(rows.join(F.broadcast(picked), "_key").select(F.col("_label").alias("label"), "text")).coalesce(4)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -82,15 +84,21 @@ def train(docs: DataFrame, label: str = "lang", text: str = "text", doc_id: str
             for name, x in zip(batch.column("label").to_pylist(), batch.column("text").cast(pa.binary())):
                 n = np.bincount(trigram_codes(x.as_buffer().to_pybytes()), minlength=BUCKETS)
                 sums[name] = sums.get(name, 0) + n
-        names = sorted(sums)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), pa.array([sums[n].astype("<i8").tobytes() for n in names], pa.binary())],
-            names=["label", "counts"],
-        )
+        for name in sorted(sums):
+            seen = np.flatnonzero(sums[name])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name] * len(seen), pa.string()), pa.array(seen, pa.int32()), pa.array(sums[name][seen], pa.int64())],
+                names=["label", "bucket", "n"],
+            )
 
+    counted = rows.mapInArrow(count, "label string, bucket int, n bigint").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
     totals: dict[str, np.ndarray] = {}
-    for r in rows.coalesce(4).mapInArrow(count, "label string, counts binary").toLocalIterator():
-        totals[r[0]] = totals.get(r[0], 0) + np.frombuffer(r[1], dtype="<i8")
+    for batch in counted.toArrow().to_batches():
+        columns = batch.column("label").to_pylist(), batch.column("bucket").to_pylist(), batch.column("n").to_pylist()
+        for found, bucket, n in zip(*columns):
+            if found not in totals:
+                totals[found] = np.zeros(BUCKETS, dtype=np.int64)
+            totals[found][bucket] = n
     totals = {k: v for k, v in totals.items() if v.sum() > 0}
     if not totals:
         return None
@@ -101,7 +109,9 @@ def train(docs: DataFrame, label: str = "lang", text: str = "text", doc_id: str
         logp[:, i] = np.log(counts / counts.sum())
     model = LanguageModel(languages, logp, -np.inf)
     worst = text_scores(rows.withColumn("_one", F.lit(1)).select("_one", "text"), model, ["_one"])
-    lowest = worst.filter("n_grams > 0").agg(F.percentile(F.array_max("means"), F.lit(LOWEST_SHARE))).first()[0]
+    # Rounded, so that the values counted for the percentile are few whatever the number of texts.
+    best = F.round(F.array_max("means"), 4)
+    lowest = worst.filter("n_grams > 0").agg(F.percentile(best, F.lit(LOWEST_SHARE))).first()[0]
     model.floor = lowest if lowest is not None else -np.inf
     return model
 

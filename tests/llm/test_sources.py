@@ -262,3 +262,12 @@ def test_suffixes():
         m = re.match(r"^(?:[^/?#]*://)?([^/?#:]*)", address or "")
         s = re.search(r"\.([A-Za-z]{2})$", m[1])
         assert (s and s[1].lower()) == want
+
+
+def test_the_language_model_counts_every_labelled_document(spark):
+    """One word that only the last of 400 documents has is counted."""
+    rows = [(i, "common words of this", "aa") for i in range(399)] + [(399, "zzqqzz", "AA"), (400, "other letters", None)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    code = int(langid.trigram_codes(b"zqq")[0])
+    assert model.languages == ["aa"]
+    assert model.logp[code, 0] > model.logp.min() + 1
