@@ -168,7 +168,8 @@ def term_matrix(
     places = names.withColumn("slot", (F.row_number().over(Window.orderBy("_hash")) - 1).cast("int"))
     places = cut_lineage(places)
     known = corpus.join(places.select("_hash", "slot"), "_hash").select("word", "slot")
-    cells = counts.join(known, "word").groupBy(doc, "slot").agg(F.sum("n").cast("double").alias("v"))
+    # Dealt by document once, for the places and for the rows.
+    cells = counts.join(known, "word").select(doc, "slot", "n").repartition(doc).groupBy(doc, "slot").agg(F.sum("n").cast("double").alias("v"))
     size = places.count()
     bags = cells.groupBy(doc).agg(F.sort_array(F.collect_list(F.struct("slot", "v"))).alias("_c"))
     # The stored form of a sparse vector; read back under the vector type, it is one.

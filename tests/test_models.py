@@ -137,3 +137,12 @@ def test_stream_resumes_and_merges(spark, tmp_path):
     builds.recompute_weeks(rows, table, spark.createDataFrame([(3,)], "id long"), "id", "ts", F.col("bad"))
     got = sorted((str(r["week_of"]), r["n_events"], r["n_failed"]) for r in table.read().collect())
     assert got == [("2024-01-01", 2, 1), ("2024-01-08", 1, 0)]
+
+
+def test_term_matrix_deals_cells_once_and_reads_vectors_as_stored(spark):
+    """The rows' query parses no vector, and the stored vectors are structs in files."""
+    from shiplens.catalog import QUERIES
+
+    out = QUERIES["term_matrix_rows"](spark, "/root/testdata/sf0.001")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "json" not in plan.lower().replace(".json", "") and out.count() > 0
