@@ -2,9 +2,11 @@
 
 For each kind a strict generator finds the base spans and a loose one finds whatever might be one,
 overlapping the base or other kinds. Boosted trees score the candidates by format and context; they
-are fitted on a bounded sample of the corpus, in which the base spans are the positive rows, and on a
-few labelled examples of what the strict patterns miss. Per kind the lowest score at which held-out
-candidates are right often enough is the threshold. Base spans always stay.
+are fitted on all candidates of the corpus, in which the base spans are the positive rows, and on a
+few labelled examples of what the strict patterns miss. What the trees see are small whole numbers, so
+candidates that look alike are counted first and one row stands for them, with their number as weight.
+Per kind the lowest score at which held-out candidates are right often enough is the threshold. Base
+spans always stay.
 
 All of it is column expressions and Spark's own tree learner. Regular expressions are written with
 possessive repeats and look-behinds, so that each is linear in the text and needs no deep stack.
@@ -72,13 +74,15 @@ EXAMPLES = (
     ("it sold @ 3.50 then", None), ("lot 555-01 34-22 stays", None),
 )
 #: An example's row weighs as much as this many of the corpus, and all of them at least as much as
-#: the sample. A leaf needs a share of the weight that no single row of the corpus has: a span that
+#: the corpus. A leaf needs a share of the weight that no single row of the corpus has: a span that
 #: the strict patterns miss is an unlabelled row there, not a proven negative.
 EXAMPLE_WEIGHT = 20.0
 LEAST_LEAF = 0.005
 
-#: Rows the trees are fitted on and tried on, at most.
-SAMPLE = 20_000
+#: Sizes up to this one count each for itself, larger ones in four steps for each doubling.
+EXACT = 32
+#: Every value of a feature may be a split, so that the learner draws no sample to find them.
+BINS = 256
 #: Share of selected held-out candidates that must be right.
 PRECISION = 0.98
 LEAST_SCORE = 0.5
@@ -104,6 +108,12 @@ def _digits(value: Column) -> Column:
 OCTETS = r"^0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:[.,]0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])){3}$"
 
 
+def _step(n: Column) -> Column:
+    """A size as the trees see it: whole numbers, few for all lengths."""
+    n = n.cast("double")
+    return F.when(n <= EXACT, n).otherwise(EXACT + F.floor(F.log2(n / EXACT) * 4)).cast("double")
+
+
 def _valid(kind: str, value: Column) -> Column:
     if kind == "email":
         return F.lit(True)
@@ -144,10 +154,10 @@ def _candidate(kind: str, text: Column, span: Column, base: Column) -> Column:
     number = lambda c: F.coalesce(c.cast("double"), F.lit(0.0))
     told = {f"is_{k}": F.lit(float(k == kind)) for k in KINDS}
     told |= {
-        "length": number(F.length(value)),
-        "digits": number(F.length(digits)),
-        "groups": number(F.size(F.split(F.regexp_replace(value, "^[^0-9]+|[^0-9]+$", ""), "[^0-9]+"))),
-        "signs": number(F.length(F.regexp_replace(value, "[A-Za-z0-9]", ""))),
+        "length": _step(F.length(value)),
+        "digits": _step(F.length(digits)),
+        "groups": _step(F.size(F.split(F.regexp_replace(value, "^[^0-9]+|[^0-9]+$", ""), "[^0-9]+"))),
+        "signs": _step(F.length(F.regexp_replace(value, "[A-Za-z0-9]", ""))),
         "plus": number(F.startswith(value, F.lit("+"))),
         "luhn": number(F.when(F.length(digits).between(13, 19), luhn(digits)).otherwise(False)),
         "octets": number(value.rlike(OCTETS)),
@@ -201,28 +211,30 @@ def _examples(spark: SparkSession) -> DataFrame:
     return found.select("row_key", "c.*", label.alias("label"))
 
 
-def train(rows: DataFrame, size: int = SAMPLE, precision: float = PRECISION) -> Selector | None:
-    """Trees and thresholds from at most ``size`` candidates, drawn by hash, and the examples.
+def train(rows: DataFrame, precision: float = PRECISION) -> Selector | None:
+    """Trees and thresholds from all candidates and the examples.
 
-    None where the corpus has no candidate.
+    A third of the candidates, by hash, is held out and tells the thresholds. None where the corpus
+    has no candidate.
     """
-    order = F.xxhash64("row_key", "kind", "start", "end")
-    picked = stage(rows.withColumn("order", order).orderBy("order", "kind", "start").limit(size))
-    weight = max(EXAMPLE_WEIGHT, picked.count() / len(EXAMPLES))
-    picked = picked.withColumns({"label": F.col("base").cast("double"), "weight": F.lit(1.0)})
-    told = _examples(rows.sparkSession).withColumns({"order": order, "weight": F.lit(weight)})
-    # A bounded sample in one partition, so that the same rows give the same trees.
-    sample = stage(picked.unionByName(told).coalesce(1)).coalesce(1)
-    fitted, held = sample.filter("weight > 1 or pmod(order, 3) > 0"), sample.filter("weight = 1 and pmod(order, 3) = 0")
+    held_out = F.pmod(F.xxhash64("row_key", "kind", "start", "end"), F.lit(3)) == 0
+    alike = rows.groupBy("kind", *FEATURES, F.col("base").cast("double").alias("label"), held_out.alias("held"))
+    counted = stage(alike.agg(F.count("*").cast("double").alias("weight")).withColumn("told", F.lit(False)))
+    weight = max(EXAMPLE_WEIGHT, (counted.agg(F.sum("weight")).first()[0] or 0.0) / len(EXAMPLES))
+    told = _examples(rows.sparkSession).withColumns({"held": F.lit(False), "weight": F.lit(weight), "told": F.lit(True)})
+    # One row for all candidates that look alike, in one ordered partition, so that the same rows give the same trees.
+    every = counted.unionByName(told.select(*counted.columns))
+    every = stage(every.coalesce(1).sortWithinPartitions("told", "held", "label", "kind", *FEATURES)).coalesce(1)
+    fitted, held = every.filter("told or not held"), every.filter("held")
     if held.isEmpty():
         return None
     learner = GBTClassifier(
         maxIter=20, maxDepth=5, stepSize=0.4, seed=7, labelCol="label", featuresCol="features", weightCol="weight",
-        minWeightFractionPerNode=LEAST_LEAF,
+        minWeightFractionPerNode=LEAST_LEAF, maxBins=BINS,
     )
     trees = learner.fit(_assembled(fitted))
     # An example is held against the trees too: of each kind there are always some candidates.
-    tried = scored(held.unionByName(sample.filter("weight > 1")), trees)
+    tried = scored(held.unionByName(every.filter("told")), trees)
     counts = (
         tried.groupBy("kind", F.floor(F.col("score") * 100).alias("step"))
         .agg(F.sum("weight").alias("n"), F.sum(F.col("weight") * F.col("label")).alias("right"))

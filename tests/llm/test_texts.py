@@ -324,6 +324,18 @@ def test_method_adds_what_examples_show(spark, given):
     assert all(r.b == plain_base(t) for r, t in ((got[x.doc_id], x.text) for x in given.collect()))
 
 
+def test_trees_learn_from_all_candidates(spark):
+    """Alike candidates of which two in three are wrong, the right ones first by hash."""
+    features = {f: F.lit(1.0 if f in ("is_phone", "hint") else 9.0 if f in ("length", "digits") else 0.0) for f in pii.FEATURES}
+    rows = spark.range(60_000).select(F.col("id").alias("row_key"), F.lit("phone").alias("kind"), F.lit(0).alias("start"), F.lit(9).alias("end"))
+    order = F.xxhash64("row_key", "kind", "start", "end")
+    first = rows.orderBy(order).limit(20_000).select("row_key", F.lit(True).alias("base"))
+    rows = rows.join(first, "row_key", "left").withColumn("base", F.coalesce("base", F.lit(False))).withColumns(features).cache()
+    found = pii.train(rows)
+    assert pii.scored(rows.limit(1), found.trees).first()["score"] < pii.LEAST_SCORE
+    rows.unpersist()
+
+
 def test_personal_data_of_odd_documents(spark, odd, clashing, none):
     key = lambda docs: sorted(((r.doc_id, r.every) for r in spans(docs)), key=str)
     assert key(odd) == key(clashing) and len(key(odd)) == odd.count() and spans(none) == []
