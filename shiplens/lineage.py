@@ -59,3 +59,8 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def tasks_for(rows: int | None, each: int = 250_000) -> int:
+    """How many tasks ``rows`` are dealt over where their bytes in a shuffle say little of the work."""
+    return (rows or 0) // each + 1

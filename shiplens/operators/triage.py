@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shiplens.functions.paths import culprit_file, name_fragments, path_suffixes
 from shiplens.functions.stats import mode_per_group, ratio, rounded
+from shiplens.lineage import cut_lineage, tasks_for
 from shiplens.operators.bridge import top_per_group
 from shiplens.operators.containment import contained
 
@@ -380,13 +381,16 @@ def named_blocks(failures: DataFrame, case_id: str, matched: str, blocks: DataFr
     path with the same file name.
     """
     part = F.explode(F.transform(F.split(F.lower(matched), r"\|"), F.trim)).alias("_f")
-    names = failures.select(case_id, part).where("_f <> ''").distinct()
-    low = blocks.select(path).distinct().withColumn("_p", F.lower(path))
+    names = cut_lineage(failures.select(case_id, part).where("_f <> ''").distinct())
+    low = cut_lineage(blocks.select(path).distinct().withColumn("_p", F.lower(path)))
     tails = contained(low, "_p", names, "_f").where(F.endswith("_p", "_f"))
     last = lambda c: F.element_at(F.split(c, "/"), -1)
     same = names.select("_f", last("_f").alias("_b")).distinct().join(low.select("_p", last("_p").alias("_b")), "_b")
     hits = tails.select("_p", "_f").union(same.select("_p", "_f")).distinct()
-    return names.join(hits, "_f").join(low, "_p").select(case_id, path).distinct()
+    hits = cut_lineage(hits.join(low, "_p").select("_f", path).distinct())
+    # Few bytes of names may stand for very many paths, so cases are dealt by the pairs they will make.
+    pairs = names.join(hits.groupBy("_f").agg(F.count("*").alias("_n")), "_f").agg(F.sum("_n")).first()[0]
+    return names.repartition(tasks_for(pairs), case_id).join(hits, "_f").select(case_id, path).distinct()
 
 
 def blocks_for_failure(

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from shiplens.operators import bridge, triage
 from shiplens.operators.containment import contained
@@ -61,3 +62,12 @@ def test_double_stars_cross_folders():
     pattern = re.compile(glob_pattern(("lib/*/x/**", "**/gen.js")))
     assert pattern.search("lib/a/x/b/c/d.js") and pattern.search("gen.js") and pattern.search("a/b/gen.js")
     assert not pattern.search("lib/a/b/x/c.js") and not pattern.search("a/regen.js.map")
+
+
+def test_paths_of_common_names_are_dealt_over_tasks(spark):
+    """A few names in few bytes, each of which ends very many paths."""
+    fails = spark.range(500).select("id", F.concat(F.lit("/x.java|"), F.lit("/no"), "id").alias("matched"))
+    blocks = spark.range(600).select(F.concat(F.lit("d"), "id", F.lit("/x.java")).alias("path"))
+    named = triage.named_blocks(fails, "id", "matched", blocks, "path")
+    held = named.groupBy(F.spark_partition_id()).count().select("count").collect()
+    assert sum(r[0] for r in held) == 300_000 and max(r[0] for r in held) < 250_000
