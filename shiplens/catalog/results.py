@@ -276,9 +276,10 @@ def item_quality_windowed(t):
 )
 def low_pass_windows(t):
     """The windows the gate drops."""
-    return testhealth.low_pass_windows(
-        _windowed(t, 0.0), "routine", "window_quarter", 0.66
-    ).withColumn("window_pass_rate", rounded("window_pass_rate", 6))
+    rates = testhealth.window_pass_rates(
+        _windowed_rows(t), "l_partkey", "routine", "window_quarter", "l_orderkey", _failed()
+    ).where(F.col("window_pass_rate") < 0.66)
+    return rates.withColumn("window_pass_rate", rounded("window_pass_rate", 6))
 
 
 @query(

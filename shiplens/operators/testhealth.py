@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiplens.functions.stats import ratio, rounded
-from shiplens.lineage import cut_lineage
+from shiplens.lineage import cut_lineage, tasks_for
 from shiplens.operators.joins import null_safe_join, salted_join
 from shiplens.operators.overlap import shared_unit_pairs
 
@@ -304,7 +304,7 @@ def item_quality_windowed(
     linked = failed & F.col(issue).isNotNull() & (F.length(F.trim(issue)) > 0)
     keys = [item, routine, window]
     # One row per unit first, so that units are counted without a distinct aggregate.
-    per_unit = results.groupBy(*keys, unit).agg(
+    per_unit = _dealt(results, item, unit).groupBy(*keys, unit).agg(
         F.min(F.struct(*order, *[c for c in attributes if c not in order])).alias("_first"),
         F.sum(F.when(failed, 1).otherwise(0)).alias("_failed"),
         F.sum(F.when(linked, 1).otherwise(0)).alias("_linked"),
@@ -339,10 +339,32 @@ def item_quality_windowed(
             4,
         ),
     )
-    bad = low_pass_windows(scored, routine, window, min_pass_rate)
+    bad = window_pass_rates(results, item, routine, window, unit, failed).where(F.col("window_pass_rate") < min_pass_rate)
     return null_safe_join(scored, bad.select(routine, window), [routine, window], "left_anti")
 
 
+def _dealt(results: DataFrame, item: str, unit: str) -> DataFrame:
+    """Rows dealt by item and unit before they are grouped by both: nearly every row is a group of
+    its own, so a task's memory goes with its rows and adding up before the shuffle saves nothing."""
+    return results.repartition(tasks_for(results.count()), item, unit)
+
+
+def window_pass_rates(
+    results: DataFrame, item: str, routine: str, window: str, unit: str, failed: Column
+) -> DataFrame:
+    """``window_pass_rate`` of each routine x window: the share of its items' units less its failed rows.
+
+    Failures count rows, so a rate may be negative. Null items, routines and windows are values like
+    others; a null unit is none.
+    """
+    per_unit = _dealt(results, item, unit).groupBy(item, routine, window, unit).agg(
+        F.sum(F.when(failed, 1).otherwise(0)).alias("_failed")
+    )
+    builds = F.count(unit)
+    rate = ratio(builds - F.sum("_failed"), F.greatest(builds, F.lit(1)))
+    return per_unit.groupBy(routine, window).agg(rate.alias("window_pass_rate"))
+
+
 def low_pass_windows(
     quality: DataFrame, routine: str, window: str, min_pass_rate: float = 0.60
 ) -> DataFrame:

@@ -313,3 +313,14 @@ def test_salted_copies_are_not_broadcast(spark):
     out = salted_join(many, few, "k", F.col("v"))
     assert sorted((r.v, r.w) for r in out.collect()) == [(i, i % 5 * 2) for i in range(100)]
     assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_windows_of_more_failed_rows_than_units_are_low(spark, tmp_path):
+    """Failures count rows, so one unit that fails three times has a rate of -2."""
+    from shiplens.catalog import QUERIES
+
+    row = "1L l_orderkey, 2L l_partkey, 3L l_suppkey, 'R' l_returnflag, 'F' l_linestatus, 0.01D l_discount, timestamp'1996-02-01' l_shipdate"
+    lines = spark.range(3).selectExpr("cast(id as int) l_linenumber", *row.split(", "))
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = QUERIES["low_pass_windows"](spark, str(tmp_path)).collect()
+    assert [(r["routine"], r["window_quarter"], r["window_pass_rate"]) for r in got] == [("F", "1996.Q1", -2.0)]
