@@ -324,3 +324,17 @@ def test_windows_of_more_failed_rows_than_units_are_low(spark, tmp_path):
     lines.write.parquet(f"{tmp_path}/lineitem.parquet")
     got = QUERIES["low_pass_windows"](spark, str(tmp_path)).collect()
     assert [(r["routine"], r["window_quarter"], r["window_pass_rate"]) for r in got] == [("F", "1996.Q1", -2.0)]
+
+
+def test_scope_of_orders_is_applied_before_line_items_join(spark):
+    from shiplens.catalog import QUERIES
+
+    plan = QUERIES["denormalise_results"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan()
+
+    def nodes(node):
+        yield node
+        for k in range(node.children().size()):
+            yield from nodes(node.children().apply(k))
+
+    joins = [n for n in nodes(plan) if n.nodeName() == "Join" and "(o_custkey" in n.simpleString(99)]
+    assert len(joins) == 1 and "l_partkey" not in joins[0].output().mkString(",")
