@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shiplens.functions.stats import ratio, share_of_total, rounded
-from shiplens.lineage import cut_lineage, run_folder, spread
+from shiplens.lineage import cut_lineage, run_folder, spread, tasks_for
 from shiplens.operators.bridge import top_with_ties
 from shiplens.plans.topicmodel import TopicModel, first_model
 
@@ -26,6 +26,8 @@ N_TOPICS = 10
 #: Places of the term matrix at most.
 SLOTS = 1 << 18
 TOP_TERMS = 10
+#: Characters of text whose word pairs one task counts.
+PIECE = 16_000_000
 #: Passes of the topic model over all documents before it is first tested, and the share of
 #: log-perplexity that further ones must gain.
 PASSES = 12
@@ -120,8 +122,16 @@ def blind_spots(
 def bigrams(
     docs: DataFrame, corpus: str, text: str, stop=STOP_WORDS, extra_stop: DataFrame | None = None
 ) -> DataFrame:
-    """Neighbouring word pairs, both words kept."""
-    rows = spread(docs.select(corpus, text)).select(corpus, words_of(F.col(text)).alias("_w"))
+    """Neighbouring word pairs, both words kept.
+
+    Texts are dealt in tasks of about ``PIECE`` characters: a large part of their pairs is new, so what
+    a task counts before the shuffle grows with its text.
+    """
+    docs = docs.select(corpus, text)
+    tasks = tasks_for(docs.agg(F.sum(F.length(text))).first()[0], PIECE)
+    if tasks > docs.rdd.getNumPartitions():
+        docs = docs.withColumn("_row", F.monotonically_increasing_id()).repartition(tasks, "_row")
+    rows = spread(docs).select(corpus, words_of(F.col(text)).alias("_w"))
     pairs = F.arrays_zip(
         F.slice("_w", F.lit(1), F.greatest(F.size("_w") - 1, F.lit(0))).alias("a"),
         F.slice("_w", F.lit(2), F.greatest(F.size("_w") - 1, F.lit(0))).alias("b"),

@@ -338,3 +338,14 @@ def test_scope_of_orders_is_applied_before_line_items_join(spark):
 
     joins = [n for n in nodes(plan) if n.nodeName() == "Join" and "(o_custkey" in n.simpleString(99)]
     assert len(joins) == 1 and "l_partkey" not in joins[0].output().mkString(",")
+
+
+def test_bigrams_of_much_text_are_counted_in_pieces(spark, monkeypatch):
+    from shiplens.plans import terms
+
+    monkeypatch.setattr(terms, "PIECE", 1000, raising=False)
+    docs = spark.range(50, numPartitions=1).select(F.lit("a").alias("lang"), F.repeat(F.concat(F.lit("word"), "id", F.lit(" other ")), 100).alias("text"))
+    pairs = terms.bigrams(docs, "lang", "text")
+    assert pairs.rdd.getNumPartitions() > 50 and pairs.count() == 50 * 199
+    top = terms.top_bigrams(docs, "lang", "text", 3)
+    assert {r["n"] for r in top.collect()} == {100}
