@@ -63,7 +63,7 @@ def _nodes(edges: DataFrame) -> DataFrame:
 @query(_EDGES + "SELECT node, dependent_count, dependency_count, is_shared_util FROM flag")
 def degree_stats(t):
     e = _edges(t)
-    return graph.degree_stats(_nodes(e), e, "node", "src", "dst", quantile=0.96)
+    return graph.degree_stats(_nodes(e), e, "node", "src", "dst", quantile=0.96, written=True)
 
 
 @query(

@@ -6,14 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiplens.functions.stats import cap_one, percentile_of_counts, ratio, rounded
-from shiplens.lineage import cut_lineage
+from shiplens.lineage import cut_lineage, spread
 
 
 def degree_stats(
-    nodes: DataFrame, edges: DataFrame, node: str, src: str, dst: str, quantile: float = 0.90
+    nodes: DataFrame, edges: DataFrame, node: str, src: str, dst: str, quantile: float = 0.90, written: bool = False
 ) -> DataFrame:
-    """Incoming and outgoing edges per node; ``is_shared_util`` marks the top by incoming."""
-    pairs = edges.select(src, dst).distinct()
+    """Incoming and outgoing edges per node; ``is_shared_util`` marks the top by incoming.
+
+    ``written`` says that ``edges`` is a table of distinct edges already.
+    """
+    pairs = edges.select(src, dst)
+    if not written:
+        pairs = pairs.distinct()
     zero = F.lit(0).cast("long")
     incoming = pairs.groupBy(F.col(dst).alias(node)).agg(F.count(F.lit(1)).alias("dependent_count"))
     outgoing = pairs.groupBy(F.col(src).alias(node)).agg(F.count(F.lit(1)).alias("dependency_count"))
@@ -54,9 +59,10 @@ def reach(
     )
     frontier = seen
     for depth in range(2, max_depth + 1):
-        # A frontier of few bytes may reach very far, so its rows go to all cores.
+        # A frontier of few bytes may reach very far, so its rows go to all cores; a large one is
+        # in tasks enough, and the join deals it anyway.
         step = (
-            frontier.repartition("source", "node")
+            spread(frontier)
             .join(back.withColumnRenamed("_from", "node"), "node")
             .where(F.col("source") != F.col("_to"))
             .select("source", F.col("_to").alias("node"))
@@ -108,9 +114,11 @@ def dependency_score(
     """
     if not written:
         edges = cut_lineage(edges.select(src, dst).distinct())
-    flags = degree_stats(nodes, edges, node, src, dst, quantile).select(node, "is_shared_util")
+    nodes = cut_lineage(nodes.select(node).distinct())
+    flags = cut_lineage(degree_stats(nodes, edges, node, src, dst, quantile, written=True).select(node, "is_shared_util"))
     blast = blast_radius(nodes, edges, node, src, dst, max_depth, written=True)
-    targets = flags.select(F.col(node).alias(dst), F.col("is_shared_util").alias("_shared"))
+    # Only the shared ones, which are few, meet the edges.
+    targets = flags.where("is_shared_util").select(F.col(node).alias(dst), F.col("is_shared_util").alias("_shared"))
     out = (
         edges.join(targets, dst, "left")
         .groupBy(F.col(src).alias(node))

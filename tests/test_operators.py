@@ -349,3 +349,18 @@ def test_bigrams_of_much_text_are_counted_in_pieces(spark, monkeypatch):
     assert pairs.rdd.getNumPartitions() > 50 and pairs.count() == 50 * 199
     top = terms.top_bigrams(docs, "lang", "text", 3)
     assert {r["n"] for r in top.collect()} == {100}
+
+
+def test_large_frontiers_are_dealt_once_and_distinct_edges_not_again(spark, monkeypatch):
+    edges = spark.range(40, numPartitions=8).select((F.col("id") % 7).alias("a"), F.col("id").alias("b")).distinct().repartition(16)
+    steps = []
+
+    def held(df):
+        steps.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return df.cache()
+
+    monkeypatch.setattr(graph, "cut_lineage", held)
+    graph.dependency_score(edges.select(F.col("a").alias("n")), edges, "n", "a", "b", written=True).count()
+    assert not any("RepartitionByExpression [source" in s for s in steps)
+    assert graph.degree_stats(edges.select(F.col("a").alias("n")), edges, "n", "a", "b", written=True).count() == 7
+    spark.catalog.clearCache()
