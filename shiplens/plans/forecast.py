@@ -47,7 +47,10 @@ def features(facts: DataFrame, base: DataFrame, quarters: list[str] | None = Non
 
 def impute_baseline(rows: DataFrame, used: DataFrame) -> DataFrame:
     """``legacy_avg`` and ``has_legacy`` of ``rows`` by the median of ``legacy_raw`` over ``used``."""
-    median = exact_percentile(used, [], "legacy_raw", 0.5, "q").scalar()
+    return _imputed(rows, exact_percentile(used, [], "legacy_raw", 0.5, "q").scalar())
+
+
+def _imputed(rows: DataFrame, median: Column) -> DataFrame:
     return rows.withColumns(
         {
             "legacy_avg": F.coalesce("legacy_raw", median),
@@ -293,6 +296,20 @@ def calibration(model: Fitted, valid: DataFrame, limit: float = BIAS_LIMIT) -> f
     return calibration_factor(model.predict(valid), limit)
 
 
+def fold_baselines(rows: DataFrame, quarters: list[str]) -> dict[tuple[int, bool], float]:
+    """Medians of ``legacy_raw`` by place of a quarter: over the quarters before it, and (True) over its own rows.
+
+    All folds are keys of one grouped percentile. A key without a value is absent.
+    """
+    place = F.array_position(F.array(*[F.lit(q) for q in quarters]), F.col("quarter")).cast("int") - 1
+    own = F.array(F.struct(place.alias("fold"), F.lit(True).alias("own")))
+    # The place after the last keeps the sequence ascending; no fold has it.
+    later = F.transform(F.sequence(place + 1, F.lit(len(quarters))), lambda i: F.struct(i.alias("fold"), F.lit(False).alias("own")))
+    keyed = rows.where(place >= 0).select("legacy_raw", F.explode(F.concat(own, later)).alias("f")).select("legacy_raw", "f.*")
+    found = exact_percentile(keyed, ["fold", "own"], "legacy_raw", 0.5, "q")
+    return {(r["fold"], r["own"]): r["q"] for r in found.collect()}
+
+
 def walk_forward(
     rows: DataFrame,
     quarters: list[str],
@@ -307,16 +324,19 @@ def walk_forward(
     Missing baselines are imputed anew from the rows each fit and each prediction uses.
     ``calibrate_on_target`` scales by the predicted quarter's own mean; it looks at the answer, so
     it is off by default. Up to ``at_once`` quarters are fitted at the same time, as one small fit
-    leaves most of a cluster idle.
+    leaves most of a cluster idle. Medians and row counts of all quarters are taken before the fits.
     """
     rows = rows.where(F.col("quarter").isin(*quarters)).cache()
+    counts = {r["quarter"]: r["count"] for r in rows.groupBy("quarter").count().collect()}
+    medians = fold_baselines(rows, quarters)
 
     def fold(i: int) -> DataFrame | None:
-        train = rows.where(F.col("quarter").isin(*quarters[:i]))
-        target = rows.where(F.col("quarter") == quarters[i])
-        if train.limit(min_rows).count() < min_rows or target.isEmpty():
+        n_train = sum(counts.get(q, 0) for q in set(quarters[:i]))
+        if n_train < min_rows or not counts.get(quarters[i]):
             return None
-        train, target = impute_baseline(train, train), impute_baseline(target, target)
+        before, own = medians.get((i, False)), medians.get((quarters.index(quarters[i]), True))
+        train = _imputed(rows.where(F.col("quarter").isin(*quarters[:i])), F.lit(before).cast("double"))
+        target = _imputed(rows.where(F.col("quarter") == quarters[i]), F.lit(own).cast("double"))
         model = next((m for name in prefer for m in fit_all(train, trees, names=[name])), None)
         if model is None:
             return None
@@ -325,12 +345,13 @@ def walk_forward(
             "quarter", "component", "actual",
             rounded(F.col("prediction") * scale, 2).alias("predicted_wf"),
             F.lit(model.name).alias("model_name"),
-            F.lit(i).alias("n_train_quarters"), F.lit(train.count()).alias("n_train_rows"),
+            F.lit(i).alias("n_train_quarters"), F.lit(n_train).alias("n_train_rows"),
         )
         return cut_lineage(part)  # the plan of all folds is then a union of small tables
 
     with ThreadPoolExecutor(at_once) as pool:
         parts = [p for p in pool.map(fold, range(2, len(quarters))) if p is not None]
+    rows.unpersist()
     out = None
     for part in parts:
         out = part if out is None else out.unionByName(part)

@@ -146,3 +146,23 @@ def test_term_matrix_deals_cells_once_and_reads_vectors_as_stored(spark):
     out = QUERIES["term_matrix_rows"](spark, "/root/testdata/sf0.001")
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "json" not in plan.lower().replace(".json", "") and out.count() > 0
+
+
+def test_forecast_reads_the_orders_once(spark):
+    """What the fits and their baselines use starts from the written facts, not from the orders again."""
+    from shiplens.catalog import forecasts
+    from shiplens.catalog.registry import Tables
+
+    for df in forecasts._facts(Tables(spark, "/root/testdata/sf0.001")):
+        assert df.inputFiles() and not any("orders.parquet" in f for f in df.inputFiles())
+
+
+def test_baselines_of_all_folds_in_one_pass(spark):
+    rows = _facts(spark).withColumn("legacy_raw", F.when(F.col("quarter") != "2023.Q2", F.col("legacy_raw") + F.col("stories")))
+    quarters = ["2023.Q1", "2023.Q2", "2023.Q3", "2023.Q4"]
+    got = forecast.fold_baselines(rows, quarters)
+    pdf = rows.select("quarter", "legacy_raw").toPandas()
+    for i, q in enumerate(quarters):
+        for own in (False, True):
+            values = pdf.legacy_raw[pdf.quarter.isin([q] if own else quarters[:i])].dropna()
+            assert got.get((i, own)) == (pytest.approx(values.median()) if len(values) else None)
