@@ -167,8 +167,8 @@ SELECT doc_id, count(DISTINCT word) AS n_terms, count(*)::DOUBLE AS n_words FROM
 )
 def term_matrix_rows(t):
     """The document-term matrix by its rows: terms and words of each document that has any."""
-    # So many places that no two of the words share one.
-    matrix, _ = terms.term_matrix(t.documents, "doc_id", "text", slots=(1 << 31) - 1)
+    # Terms are counted by their places, so no two words may share one.
+    matrix, _ = terms.term_matrix(t.documents, "doc_id", "text", slots=None)
     # The files hold the vectors as plain structs, which need no conversion.
     cells = t.spark.read.parquet(*matrix.inputFiles()).select("doc_id", F.col("features.values").alias("v"))
     return cells.select("doc_id", F.size("v").cast("long").alias("n_terms"), F.aggregate("v", F.lit(0.0), lambda a, x: a + x).alias("n_words"))

@@ -154,6 +154,16 @@ def top_bigrams(
     return top_with_ties(counts, [corpus], [F.desc("n")], n)
 
 
+def _numbered(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """Adds ``name``: 0, 1 and so on along the distinct ``key``, counted range by range."""
+    laid = cut_lineage(rows.repartitionByRange(key).withColumn("_range", F.spark_partition_id()))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = laid.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(key)) - 1 + F.col("_before")
+    return laid.join(before, "_range").withColumn(name, place.cast("int")).drop("_range", "_before")
+
+
 def term_matrix(
     docs: DataFrame,
     doc: str,
@@ -161,23 +171,23 @@ def term_matrix(
     min_count: int = MIN_CORPUS_COUNT,
     stop=STOP_WORDS,
     extra_stop: DataFrame | None = None,
-    slots: int = SLOTS,
+    slots: int | None = SLOTS,
 ) -> tuple[DataFrame, DataFrame]:
     """Sparse term counts per document (``features``) and the ``slot``, ``term`` table of their places.
 
     Words are hashed to ``slots`` and the used ones numbered, so neither driver nor tasks hold a
     vocabulary and a model's size is bounded; words that share a slot are counted together under the
-    name of the most frequent. Rows of one document are added up first, so a document may be of any
-    size. A document without a kept word has no row. The matrix is written in a part per core.
+    name of the most frequent. Without ``slots`` each word has a place of its own. Rows of one document
+    are added up first, so a document may be of any size. A document without a kept word has no row.
+    The matrix is written in a part per core.
     """
     counts = cut_lineage(token_counts(tokens(docs, [doc], text, stop, extra_stop), [doc]))
     corpus = counts.groupBy("word").agg(F.sum("n").alias("_n")).where(F.col("_n") >= min_count)
-    corpus = cut_lineage(corpus.withColumn("_hash", F.pmod(F.xxhash64("word"), F.lit(slots))))
-    names = corpus.groupBy("_hash").agg(F.max_by("word", F.struct("_n", "word")).alias("term"))
-    # At most ``slots`` rows in one window.
-    places = names.withColumn("slot", (F.row_number().over(Window.orderBy("_hash")) - 1).cast("int"))
-    places = cut_lineage(places)
-    known = corpus.join(places.select("_hash", "slot"), "_hash").select("word", "slot")
+    place = F.col("word") if slots is None else F.pmod(F.xxhash64("word"), F.lit(slots))
+    corpus = cut_lineage(corpus.withColumn("_place", place))
+    names = corpus.groupBy("_place").agg(F.max_by("word", F.struct("_n", "word")).alias("term"))
+    places = cut_lineage(_numbered(names, "_place", "slot"))
+    known = corpus.join(places.select("_place", "slot"), "_place").select("word", "slot")
     # Dealt by document once, for the places and for the rows.
     cells = counts.join(known, "word").select(doc, "slot", "n").repartition(doc).groupBy(doc, "slot").agg(F.sum("n").cast("double").alias("v"))
     size = places.count()

@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from shiplens.catalog import QUERIES
 from shiplens.operators.merge import PartitionedTable
 from shiplens.plans import forecast, terms
 from shiplens.streaming import builds
@@ -116,6 +117,19 @@ def test_places_of_words_are_shared_not_dropped(spark):
     assert cells == {1: 12.0, 2: 4.0} and names.count() <= 2 and "alpha" in {r.term for r in names.collect()}
 
 
+def test_words_of_one_hash_are_two_terms(spark, tmp_path):
+    pair = ["word256557", "word276253"]
+    hashes = spark.createDataFrame([(w,) for w in pair], "w string").select(F.pmod(F.xxhash64("w"), F.lit((1 << 31) - 1)))
+    assert hashes.distinct().count() == 1
+    data = [(1, " ".join(pair * 3)), (2, pair[0] + " other other other")]
+    spark.createDataFrame(data, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["term_matrix_rows"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == [(1, 2, 6.0), (2, 2, 4.0)]
+    df = spark.createDataFrame([(n, f"word{n} " * 3) for n in range(500)], "d int, t string")
+    _, names = terms.term_matrix(df, "d", "t", slots=None)
+    assert sorted(r.slot for r in names.collect()) == list(range(500))
+
+
 def test_stream_resumes_and_merges(spark, tmp_path):
     src, table = tmp_path / "in", PartitionedTable(spark, str(tmp_path / "out"), "week_of date, n_events long, n_failed long", ["week_of"])
     schema = "id long, ts timestamp, bad boolean"
