@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shiplens.functions.stats import ratio, rounded
 from shiplens.lineage import cut_lineage, tasks_for
-from shiplens.operators.joins import null_safe_join, salted_join
+from shiplens.operators.joins import null_safe_join
 from shiplens.operators.overlap import shared_unit_pairs
 
 # Error texts of infrastructure failures, matched without case.
@@ -165,14 +165,9 @@ def cofailure_pairs(
         .join(item_freq, item)
         .withColumn("member", F.monotonically_increasing_id())
     )
+    placed = members.join(numbered.select(item, group, "member").hint("merge"), [item, group])
     item_pairs = shared_unit_pairs(
-        salted_join(
-            members.withColumn("_k", F.struct(item, group)),
-            numbered.select(F.struct(item, group).alias("_k"), "member"),
-            "_k",
-            F.col(unit),
-        ),
-        unit, "member", min_pairs, side=group, hot_units=hot_units,
+        cut_lineage(placed.select(unit, "member", group)), unit, "member", min_pairs, side=group, hot_units=hot_units
     )
 
     def end(suffix):

@@ -39,6 +39,38 @@ def test_shared_unit_pairs_equal_brute_force(spark, hot, chunk, min_shared):
     assert rows(got, "i_a", "i_b", "shared") == want
 
 
+def _shuffled(plan) -> int:
+    """Rows written to shuffles by a plan that has run; an exchange that is used again counts once."""
+    name = plan.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return _shuffled(plan.executedPlan())
+    if name.endswith("QueryStageExec"):
+        return _shuffled(plan.plan())
+    n = plan.metrics().apply("shuffleRecordsWritten").value() if name == "ShuffleExchangeExec" else 0
+    return n + sum(_shuffled(plan.children().apply(i)) for i in range(plan.children().size()))
+
+
+@pytest.mark.parametrize(("units", "least", "by_two"), [(80, 2, True), (80, 3, True), (5, 2, False)])
+def test_pairs_that_meet_once_are_not_shuffled(spark, units, least, by_two):
+    rng = np.random.default_rng(units)
+    items = 1600 if by_two else 60
+    members = {(int(u), i) for i in range(items) for u in rng.choice(units, 4, replace=False)}
+    by_item = collections.defaultdict(set)
+    for u, i in members:
+        by_item[i].add(u)
+    # As with groups: pairs only of items of different sides.
+    want = sorted(
+        (a, b, len(by_item[a] & by_item[b]))
+        for a in by_item for b in by_item if a % 7 < b % 7 and len(by_item[a] & by_item[b]) >= least
+    )
+    df = spark.createDataFrame(sorted((u, i, i % 7) for u, i in members), "u int, i int, s int")
+    pairs = overlap.shared_unit_pairs(df, "u", "i", least, side="s")
+    assert rows(pairs, "i_a", "i_b", "shared") == want
+    if by_two:
+        once = sum(len(by_item[a] & by_item[b]) for a in by_item for b in by_item if a % 7 < b % 7)
+        assert _shuffled(pairs._jdf.queryExecution().executedPlan()) < once / 3
+
+
 def test_pairs_are_the_same_with_hot_units_set_aside(spark):
     t = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").join(
         spark.read.parquet("/root/testdata/sf0.001/part.parquet"), F.col("l_partkey") == F.col("p_partkey")
