@@ -32,6 +32,16 @@ def running_total(
     )
 
 
+def numbered(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Adds ``name``: 0, 1 and so on along ``keys``, which no two rows share, counted range by range."""
+    laid = cut_lineage(rows.repartitionByRange(*keys).withColumn("_range", F.spark_partition_id()))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = laid.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
+    before = counts.select("_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*keys)) - 1 + F.col("_before")
+    return laid.join(before, "_range").withColumn(name, place).drop("_range", "_before")
+
+
 def next_position(df: DataFrame, group: str, position: str, block: int = 10_000) -> DataFrame:
     """Adds ``_next``: the following position in the group, null at its end."""
     rows = df.select(group, position, F.floor(F.col(position) / block).alias("_blk"))

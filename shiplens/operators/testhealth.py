@@ -9,6 +9,7 @@ from shiplens.functions.stats import ratio, rounded
 from shiplens.lineage import cut_lineage, tasks_for
 from shiplens.operators.joins import null_safe_join
 from shiplens.operators.overlap import shared_unit_pairs
+from shiplens.operators.packing import numbered
 
 # Error texts of infrastructure failures, matched without case.
 NOISE_PATTERNS = (
@@ -157,22 +158,25 @@ def cofailure_pairs(
     item_freq = (
         everything.select(unit, item).distinct().groupBy(item).agg(F.count(F.lit(1)).alias("_n"))
     )
-    # An item is numbered together with its group, as it may sit in two; the numbers are
-    # fixed by writing them out, and pairs are then built on two longs.
-    numbered = cut_lineage(
-        members.select(item, group)
-        .distinct()
-        .join(item_freq, item)
-        .withColumn("member", F.monotonically_increasing_id())
+    # An item is numbered together with its group, as it may sit in two. Items of one group and
+    # frequency are one class, and a class can be read off its items' numbers, so that pairs need
+    # no look-up of their ends: they are counted by class first.
+    listed = cut_lineage(
+        numbered(members.select(item, group).distinct().join(item_freq, item), [group, "_n", item], "_place")
+    )
+    count = max(listed.count(), 1)
+    classes = cut_lineage(numbered(listed.select(group, "_n").distinct(), [group, "_n"], "_class"))
+    numbers = cut_lineage(
+        listed.join(classes, [group, "_n"]).select(item, group, (F.col("_class") * count + F.col("_place")).alias("member"))
     )
-    placed = members.join(numbered.select(item, group, "member").hint("merge"), [item, group])
+    placed = members.join(numbers.hint("merge"), [item, group])
     item_pairs = shared_unit_pairs(
         cut_lineage(placed.select(unit, "member", group)), unit, "member", min_pairs, side=group, hot_units=hot_units
     )
 
     def end(suffix):
-        return numbered.select(
-            F.col("member").alias(f"member_{suffix}"),
+        return classes.select(
+            F.col("_class").alias(f"_class_{suffix}"),
             F.col(group).alias(f"{group}_{suffix}"),
             F.col("_n").alias(f"_n{suffix}"),
         )
@@ -180,14 +184,19 @@ def cofailure_pairs(
     jaccard = rounded(
         ratio(F.col("shared"), F.col("_na") + F.col("_nb") - F.col("shared")), 4
     )
+    # Exact in longs, unlike a quotient of doubles.
+    class_of = {f"_class_{x}": F.expr(f"member_{x} div {count}") for x in "ab"}
     final = (
-        item_pairs.join(end("a"), "member_a")
-        .join(end("b"), "member_b")
+        item_pairs.withColumns(class_of)
+        .groupBy("_class_a", "_class_b", "shared")
+        .agg(F.count(F.lit(1)).alias("_pairs"))
+        .join(end("a"), "_class_a")
+        .join(end("b"), "_class_b")
         .groupBy(ga, gb)
         .agg(
-            rounded(F.avg(jaccard), 4).alias("jaccard_score"),
-            F.sum("shared").alias("co_fail_count"),
-            F.count(F.lit(1)).alias("test_pair_count"),
+            rounded(F.sum(jaccard * F.col("_pairs")) / F.sum("_pairs"), 4).alias("jaccard_score"),
+            F.sum(F.col("shared") * F.col("_pairs")).alias("co_fail_count"),
+            F.sum("_pairs").alias("test_pair_count"),
         )
         .where(F.col("test_pair_count") >= min_item_pairs)
         .join(pairs, [ga, gb])

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from shiplens.functions.stats import ratio, share_of_total, rounded
 from shiplens.lineage import cut_lineage, run_folder, spread, tasks_for
 from shiplens.operators.bridge import top_with_ties
+from shiplens.operators.packing import numbered
 from shiplens.plans.topicmodel import TopicModel, first_model
 
 # A short stop list; callers add their own words as a table.
@@ -154,16 +155,6 @@ def top_bigrams(
     return top_with_ties(counts, [corpus], [F.desc("n")], n)
 
 
-def _numbered(rows: DataFrame, key: str, name: str) -> DataFrame:
-    """Adds ``name``: 0, 1 and so on along the distinct ``key``, counted range by range."""
-    laid = cut_lineage(rows.repartitionByRange(key).withColumn("_range", F.spark_partition_id()))
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    counts = laid.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    before = counts.select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    place = F.row_number().over(Window.partitionBy("_range").orderBy(key)) - 1 + F.col("_before")
-    return laid.join(before, "_range").withColumn(name, place.cast("int")).drop("_range", "_before")
-
-
 def term_matrix(
     docs: DataFrame,
     doc: str,
@@ -186,7 +177,7 @@ def term_matrix(
     place = F.col("word") if slots is None else F.pmod(F.xxhash64("word"), F.lit(slots))
     corpus = cut_lineage(corpus.withColumn("_place", place))
     names = corpus.groupBy("_place").agg(F.max_by("word", F.struct("_n", "word")).alias("term"))
-    places = cut_lineage(_numbered(names, "_place", "slot"))
+    places = cut_lineage(numbered(names, ["_place"], "slot").withColumn("slot", F.col("slot").cast("int")))
     known = corpus.join(places.select("_place", "slot"), "_place").select("word", "slot")
     # Dealt by document once, for the places and for the rows.
     cells = counts.join(known, "word").select(doc, "slot", "n").repartition(doc).groupBy(doc, "slot").agg(F.sum("n").cast("double").alias("v"))
